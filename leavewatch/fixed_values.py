@@ -26,9 +26,8 @@ FILLED_COLUMNS = ["userAgent", "gender"]
 # ---- Fixed values: text patterns ------------------------------------------
 
 ARTIST_NOISE = r"[^0-9a-zA-Z]"
-AGENT_NOISE = r"[^a-zA-Z]"
-WHITESPACE_RUN = r"\s+"
-LONE_LETTER = r"\s[a-z]\s"
+AGENT_NOISE = r"[^a-zA-Z]+"
+LONE_LETTER = r" [a-z] "
 USER_KEY_IN_LINE = r'"userId"\s*:\s*"([^"]*)"'
 
 # ---- Fixed values: session measure -> the label it looks for ---------------

@@ -15,11 +15,11 @@ def cleaned_artist(artist: Column) -> Column:
 def cleaned_user_agent(agent: Column) -> Column:
     """Reduce a browser string to lower-case words.
 
-    The last pass does not overlap: of two single letters in a row only the
-    first goes, and a single letter at either end stays.
+    Each run of other characters becomes one blank. The last pass does not
+    overlap: of two single letters in a row only the first goes, and a single
+    letter at either end stays.
     """
-    letters = F.regexp_replace(agent, fixed.AGENT_NOISE, " ")
-    words = F.trim(F.lower(F.regexp_replace(letters, fixed.WHITESPACE_RUN, " ")))
+    words = F.trim(F.lower(F.regexp_replace(agent, fixed.AGENT_NOISE, " ")))
     return F.regexp_replace(words, fixed.LONE_LETTER, " ")
 
 

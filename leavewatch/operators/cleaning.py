@@ -13,8 +13,12 @@ from leavewatch.functions.text import cleaned_artist, cleaned_user_agent
 
 
 def drop_unkeyed_rows(log: DataFrame) -> DataFrame:
-    """Drop rows without a user or session; a blank user id counts as none."""
-    return log.na.drop("any", subset=["userId", "sessionId"]).where(F.col("userId") != "")
+    """Drop rows without a user or session; a blank user id counts as none.
+
+    Plain comparisons, unlike ``na.drop``, are pushed down to the scan.
+    """
+    return log.where(F.col("userId").isNotNull() & (F.col("userId") != "")
+                     & F.col("sessionId").isNotNull())
 
 
 def millis_to_seconds(df: DataFrame, columns: Sequence[str] = ("ts", "registration")) -> DataFrame:

@@ -81,14 +81,22 @@ def one_hot_events(log: DataFrame, labels: Labels) -> DataFrame:
     The cancellation page's column is called ``cancelled``: it is the label of
     the later model. A null category gives 0 everywhere.
     """
-    kept = [F.col(c) for c in log.columns if c not in labels]
+    kept = [c for c in log.columns if c not in labels]
+    # Each category is looked up once; the flags then compare small numbers.
+    places = {
+        column: F.coalesce(F.array_position(F.array(*[F.lit(v) for v in values]),
+                                            F.col(column).cast("string")), F.lit(0))
+        for column, values in labels.items() if values
+    }
+    placed = log.select(*kept, *[place.alias(f"_{c}") for c, place in places.items()])
     names = iter(one_hot_names(labels))
     flags = [
-        F.when(F.col(column).cast("string") == label, 1.0).otherwise(0.0).alias(next(names))
+        f"CAST(`_{column}` = {place} AS DOUBLE) AS `{next(names)}`"
         for column, values in labels.items()
-        for label in values
+        for place in range(1, len(values) + 1)
     ]
-    return log.select(*kept, *flags).withColumnRenamed(f"page_{fixed.LABEL_PAGE}", "cancelled")
+    return (placed.selectExpr(*[f"`{c}`" for c in kept], *flags)
+            .withColumnRenamed(f"page_{fixed.LABEL_PAGE}", "cancelled"))
 
 
 def one_hot_pipeline(columns: Sequence[str] = tuple(fixed.ENCODED_COLUMNS),

@@ -9,12 +9,24 @@ from pyspark.sql import Column, DataFrame, functions as F
 from leavewatch import fixed_values as fixed
 
 
-def _or_zero(value: Column, guards: bool) -> Column:
-    return F.coalesce(value, F.lit(0.0)) if guards else value
+def named(measures: dict[str, str]) -> list[Column]:
+    """SQL expressions as columns under their names."""
+    return [F.expr(f"{sql} AS {name}") for name, sql in measures.items()]
 
 
-def _flag(column: str, label: str) -> Column:
-    return F.max(F.when(F.col(column) == label, 1).otherwise(0))
+def quoted(label: str | int) -> str:
+    """A label as a SQL literal."""
+    if isinstance(label, int):
+        return str(label)
+    return "'" + label.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def count_sql(column: str, label: str | int) -> str:
+    return f"count(CASE WHEN {column} = {quoted(label)} THEN 1 END)"
+
+
+def flag_sql(column: str, label: str) -> str:
+    return f"max(CASE WHEN {column} = {quoted(label)} THEN 1 ELSE 0 END)"
 
 
 def counted_labels(signup_pages: bool = False) -> dict[str, tuple[str, str | int]]:
@@ -44,27 +56,25 @@ def session_measures(log: DataFrame, guards: bool = True, signup_pages: bool = F
     before the shuffle, so a session or user that holds much of the log is
     no hot spot.
     """
-    first_seen = F.min("ts")
-    registered = F.min("registration")
+    or_zero = "coalesce({}, 0D)" if guards else "{}"
     measures = {
-        "num_items_in_session": F.max("itemInSession"),
-        "longest_song_in_session": _or_zero(F.max("length"), guards),
-        "session_listening_time": _or_zero(F.sum("length"), guards),
-        "number_of_songs": F.count("song"),
-        "session_begin": first_seen,
-        "session_end": F.max("ts"),
-        "session_length": F.max("ts") - first_seen,
-        "registration": F.coalesce(registered, first_seen) if guards else registered,
-        "cancelled": _flag("page", fixed.LABEL_PAGE),
+        "num_items_in_session": "max(itemInSession)",
+        "longest_song_in_session": or_zero.format("max(length)"),
+        "session_listening_time": or_zero.format("sum(length)"),
+        "number_of_songs": "count(song)",
+        "session_begin": "min(ts)",
+        "session_end": "max(ts)",
+        "session_length": "max(ts) - min(ts)",
+        "registration": "coalesce(min(registration), min(ts))" if guards else "min(registration)",
+        "cancelled": flag_sql("page", fixed.LABEL_PAGE),
     }
     for name, label in fixed.GENDER_FLAGS.items():
-        measures[name] = _flag("gender", label)
+        measures[name] = flag_sql("gender", label)
     for name, (column, label) in counted_labels(signup_pages).items():
-        measures[name] = F.count_if(F.col(column) == label)
+        measures[name] = count_sql(column, label)
     for rank, label in enumerate(agents):
-        measures[agent_counter(rank)] = F.count_if(F.col("userAgent") == label)
-    return (log.groupBy("userId", "sessionId")
-            .agg(*[value.alias(name) for name, value in measures.items()]))
+        measures[agent_counter(rank)] = count_sql("userAgent", label)
+    return log.groupBy("userId", "sessionId").agg(*named(measures))
 
 
 def session_rollup(log: DataFrame, guards: bool = True, signup_pages: bool = False,

@@ -4,22 +4,26 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from leavewatch import fixed_values as fixed
-from leavewatch.functions.numeric import guarded_ratio
 from leavewatch.functions.text import cleaned_user_agent
 from leavewatch.operators.cleaning import fill_registration, fill_zero, rename_features
-from leavewatch.operators.sessions import agent_counter, counted_labels, session_measures
+from leavewatch.operators.sessions import (
+    agent_counter,
+    counted_labels,
+    named,
+    session_measures,
+)
 
 
-def _per_session(counter: str) -> Column:
+def _per_session(counter: str) -> str:
     """Mean of a counter that is never null.
 
     Same value as ``avg`` with half the buffer fields, which keeps the wide
     aggregate within generated code.
     """
-    return F.sum(counter) / F.count(F.lit(1))
+    return f"sum({counter}) / count(1)"
 
 
 def feature_name(measure: str) -> str:
@@ -34,25 +38,24 @@ def features_from_sessions(sessions: DataFrame, guards: bool = True, signup_page
 
     Times are subtracted as whole ticks and divided last.
     """
-    n_sessions = F.count("sessionId")
-    listening = F.sum("session_listening_time")
-    songs = F.sum("number_of_songs")
-    joined = F.min("registration")
-    idle = (F.max("session_end") - F.min("session_begin")) - F.sum("session_length")
+    ticks = ticks_per_second
+    idle = "max(session_end) - min(session_begin) - sum(session_length)"
+    song_length = "try_divide(sum(session_listening_time), sum(number_of_songs))"
+    if guards:
+        song_length = f"if(sum(number_of_songs) <= 0, 0D, {song_length})"
     features = {
-        "avg_num_items_in_session": F.avg("num_items_in_session"),
-        "longest_song": F.max("longest_song_in_session"),
-        "longest_song_per_session": F.avg("longest_song_in_session"),
-        "total_number_of_sessions": n_sessions,
-        "listening_time_per_session": F.try_divide(listening, n_sessions),
-        "avg_number_of_songs_per_session": F.try_divide(songs, n_sessions),
-        "avg_song_length": (guarded_ratio(listening, songs) if guards
-                            else F.try_divide(listening, songs)),
-        "avg_session_length": F.avg("session_length") / ticks_per_second,
-        "time_since_joined": (F.max("session_end") - joined) / ticks_per_second,
-        "time_to_first_session": (F.min("session_begin") - joined) / ticks_per_second,
+        "avg_num_items_in_session": "avg(num_items_in_session)",
+        "longest_song": "max(longest_song_in_session)",
+        "longest_song_per_session": "avg(longest_song_in_session)",
+        "total_number_of_sessions": "count(sessionId)",
+        "listening_time_per_session": "try_divide(sum(session_listening_time), count(sessionId))",
+        "avg_number_of_songs_per_session": "try_divide(sum(number_of_songs), count(sessionId))",
+        "avg_song_length": song_length,
+        "avg_session_length": f"avg(session_length) / {ticks}",
+        "time_since_joined": f"(max(session_end) - min(registration)) / {ticks}",
+        "time_to_first_session": f"(min(session_begin) - min(registration)) / {ticks}",
         "avg_time_between_sessions":
-            guarded_ratio(idle, n_sessions - 1) / ticks_per_second,
+            f"if(count(sessionId) <= 1, 0D, try_divide({idle}, count(sessionId) - 1)) / {ticks}",
     }
     genders = list(fixed.GENDER_FLAGS)
     for flag in genders if guards else genders[:2]:
@@ -62,9 +65,8 @@ def features_from_sessions(sessions: DataFrame, guards: bool = True, signup_page
             features[feature_name(counter)] = _per_session(counter)
     for rank in range(n_agents):
         features[feature_name(agent_counter(rank))] = _per_session(agent_counter(rank))
-    features["cancelled"] = F.max("cancelled")
-    return (sessions.groupBy("userId")
-            .agg(*[value.alias(name) for name, value in features.items()]))
+    features["cancelled"] = "max(cancelled)"
+    return sessions.groupBy("userId").agg(*named(features))
 
 
 def user_features(log: DataFrame, guards: bool = True, signup_pages: bool = False,

@@ -231,17 +231,22 @@ def union_zero_fill(spark, folder):
 
 # ---- encoding ---------------------------------------------------------------
 
+def _raw_categories(spark, folder):
+    """Keyed rows with raw browser strings, for label counts."""
+    keyed = cleaning.drop_unkeyed_rows(read_sample_log(spark, folder))
+    return cleaning.fill_unknown(keyed, ["gender"])
+
+
 @_query
 def label_index(spark, folder):
-    keyed = cleaning.fill_unknown(cleaning.drop_unkeyed_rows(read_sample_log(spark, folder)),
-                                  ["gender"])
-    return encoding.label_index(encoding.label_counts(keyed, clean_agents=True))
+    return encoding.label_index(
+        encoding.label_counts(_raw_categories(spark, folder), clean_agents=True))
 
 
 @_query
 def one_hot_events(spark, folder):
-    clean = _clean(spark, folder, seconds=True)
-    return encoding.one_hot_events(clean, encoding.fit_labels(clean))
+    labels = encoding.fit_labels(_raw_categories(spark, folder), clean_agents=True)
+    return encoding.one_hot_events(_clean(spark, folder, seconds=True), labels)
 
 
 # ---- rollups ----------------------------------------------------------------

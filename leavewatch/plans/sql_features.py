@@ -11,15 +11,11 @@ from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
 from pyspark.sql import DataFrame
 
 from leavewatch import fixed_values as fixed
-from leavewatch.operators.sessions import agent_counter
+from leavewatch.operators.sessions import agent_counter, quoted
 from leavewatch.operators.users import feature_name, user_features
 from leavewatch.sources.event_log import register_view, run_sql
 
 
-def _quoted(text: str) -> str:
-    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
-
-
 def feature_sql(view: str, agents: Sequence[str] = (),
                 ticks_per_second: int = fixed.MILLIS_PER_SECOND) -> str:
     """SQL text of the guarded user features over a view of the clean log."""
@@ -27,14 +23,14 @@ def feature_sql(view: str, agents: Sequence[str] = (),
     for column, labels in [("status", fixed.STATUS_COUNTS), ("level", fixed.LEVEL_COUNTS),
                            ("method", fixed.METHOD_COUNTS), ("page", fixed.PAGE_COUNTS)]:
         for name, label in labels.items():
-            counters[name] = f"{column} = {label if column == 'status' else _quoted(label)}"
+            counters[name] = f"{column} = {quoted(label)}"
     for rank, agent in enumerate(agents):
-        counters[agent_counter(rank)] = f"userAgent = {_quoted(agent)}"
-    flags = {name: f"gender = {_quoted(label)}" for name, label in fixed.GENDER_FLAGS.items()}
+        counters[agent_counter(rank)] = f"userAgent = {quoted(agent)}"
+    flags = {name: f"gender = {quoted(label)}" for name, label in fixed.GENDER_FLAGS.items()}
 
     per_session = [f"count_if({test}) AS {name}" for name, test in counters.items()]
     per_session += [f"max(int({test})) AS {name}"
-                    for name, test in {**flags, "cancelled": f"page = {_quoted(fixed.LABEL_PAGE)}"}.items()]
+                    for name, test in {**flags, "cancelled": f"page = {quoted(fixed.LABEL_PAGE)}"}.items()]
     per_user = [f"sum({name}) / count(1) AS {feature_name(name)}" for name in [*flags, *counters]]
     inner = ",\n    ".join(per_session)
     outer = ",\n  ".join(per_user)

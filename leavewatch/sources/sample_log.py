@@ -7,7 +7,7 @@ over one row, so the mapping adds no shuffle and is indifferent to hot users.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 from leavewatch.schema import EVENT_SCHEMA
 
@@ -35,57 +35,63 @@ PAGE_STEPS = {
 }
 
 
-def _page(event_type: Column, user: Column, k: Column) -> Column:
-    page = F.when((user % 25 == 13) & event_type.isin("purchase", "click"), F.lit("Home"))
+# The steps of the mapping as SQL text: one parse per column is much cheaper
+# to build than a tree of Column objects.
+_MILLIS = "timestampdiff(MICROSECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', ts) div 1000"
+
+_INPUTS = [
+    "user_id", "event_type", "value", "event_id % 50 AS slot",
+    f"{_MILLIS} AS ms",
+    "datediff(to_date(ts), DATE'2024-01-01') AS day",
+    """try_cast(regexp_extract(props, '"k": *([0-9]+)', 1) AS INT) AS k""",
+]
+
+
+def _texts(values: list[str]) -> str:
+    return "array({})".format(", ".join(f"'{v}'" for v in values))
+
+
+def _page_sql() -> str:
+    """Page by event type and k, each type being a constant table of 100 pages."""
+    branches = ["WHEN user_id % 25 = 13 AND event_type IN ('purchase', 'click') THEN 'Home'"]
     for kind, steps in PAGE_STEPS.items():
-        for bound, name in steps:
-            page = page.when((event_type == kind) & (k < bound), F.lit(name))
-    return page
+        pages = [next(name for bound, name in steps if k < bound) for k in range(100)]
+        branches.append(f"WHEN event_type = '{kind}' THEN get({_texts(pages)}, k)")
+    return f"CASE {' '.join(branches)} END"
+
+
+_COLUMNS = {
+    "artist": "CASE WHEN page = 'NextSong' THEN concat('Beyoncé & #', k) END",
+    "auth": "CASE WHEN page = 'Cancellation Confirmation' THEN 'Cancelled' "
+            "WHEN slot >= 48 THEN 'Logged Out' ELSE 'Logged In' END",
+    "firstName": "concat('f', user_id)",
+    "gender": "CASE WHEN user_id % 10 = 3 THEN NULL WHEN user_id % 2 = 0 THEN 'F' ELSE 'M' END",
+    # Minute of the day: like a real counter it never falls within a session.
+    "itemInSession": "(ms div 60000) % 1440",
+    "lastName": "concat('l', user_id)",
+    "length": "CASE WHEN page = 'NextSong' THEN value END",
+    "level": "if(k >= 40, 'paid', 'free')",
+    "location": "concat('loc', user_id % 7)",
+    "method": "if(event_type = 'view', 'GET', 'PUT')",
+    "page": "page",
+    "registration": "CASE WHEN user_id % 20 <> 7 "
+                    "THEN 1704067200000 - (user_id % 60 + 1) * 86400000 END",
+    "sessionId": "CASE WHEN slot = 47 THEN NULL "
+                 "ELSE user_id * 1000 + if(user_id % 25 = 11, 0, day) END",
+    "song": "CASE WHEN page = 'NextSong' THEN concat('song_', k) END",
+    "status": "CASE event_type WHEN 'error' THEN 404 WHEN 'signup' THEN 307 ELSE 200 END",
+    "ts": "ms",
+    "userAgent": f"get({_texts(BROWSERS)}, int(user_id % 5))",
+    "userId": "CASE WHEN slot = 49 THEN '' WHEN slot = 48 THEN NULL ELSE string(user_id) END",
+}
 
 
 def log_from_events(events: DataFrame) -> DataFrame:
     """Map the sample events to the columns of the event log."""
-    user, kind, k, ms = (F.col(c) for c in ("user_id", "event_type", "k", "ms"))
-    slot = F.col("event_id") % 50
-    base = events.select(
-        "event_id", "user_id", "event_type", "value",
-        F.expr("timestampdiff(MICROSECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', ts) "
-               "div 1000").alias("ms"),
-        F.datediff(F.to_date("ts"), F.lit("2024-01-01").cast("date")).alias("day"),
-        F.get_json_object("props", "$.k").cast("int").alias("k"),
-    )
-    base = base.withColumn("page", _page(kind, user, k))
-    played = F.col("page") == "NextSong"
-    browser = F.when(user % 5 == 0, F.lit(BROWSERS[0]))
-    for remainder in (1, 2, 3):
-        browser = browser.when(user % 5 == remainder, F.lit(BROWSERS[remainder]))
-    user_id = (F.when(slot == 49, F.lit(""))
-               .when(slot != 48, user.cast("string")))
-    columns = {
-        "artist": F.when(played, F.concat(F.lit("Beyoncé & #"), k.cast("string"))),
-        "auth": (F.when(F.col("page") == "Cancellation Confirmation", "Cancelled")
-                 .when(slot >= 48, "Logged Out").otherwise("Logged In")),
-        "firstName": F.concat(F.lit("f"), user.cast("string")),
-        "gender": F.when(user % 10 != 3, F.when(user % 2 == 0, "F").otherwise("M")),
-        # Minute of the day: like a real counter it never falls within a session.
-        "itemInSession": F.expr("(ms div 60000) % 1440"),
-        "lastName": F.concat(F.lit("l"), user.cast("string")),
-        "length": F.when(played, F.col("value")),
-        "level": F.when(k >= 40, "paid").otherwise("free"),
-        "location": F.concat(F.lit("loc"), (user % 7).cast("string")),
-        "method": F.when(kind == "view", "GET").otherwise("PUT"),
-        "page": F.col("page"),
-        "registration": F.when(user % 20 != 7,
-                               F.lit(1704067200000) - (user % 60 + 1) * 86400000),
-        "sessionId": F.when(slot != 47, user * 1000
-                            + F.when(user % 25 == 11, 0).otherwise(F.col("day"))),
-        "song": F.when(played, F.concat(F.lit("song_"), k.cast("string"))),
-        "status": F.when(kind == "error", 404).when(kind == "signup", 307).otherwise(200),
-        "ts": ms,
-        "userAgent": browser,
-        "userId": user_id,
-    }
-    return base.select([columns[f.name].cast(f.dataType).alias(f.name) for f in EVENT_SCHEMA])
+    return (events.selectExpr(*_INPUTS)
+            .selectExpr("*", f"{_page_sql()} AS page")
+            .selectExpr(*[f"CAST({_COLUMNS[f.name]} AS {f.dataType.simpleString()}) AS {f.name}"
+                          for f in EVENT_SCHEMA]))
 
 
 def read_sample_log(spark: SparkSession, folder: str) -> DataFrame:
