@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from leavewatch import fixed_values as fixed
 from leavewatch.functions.text import cleaned_artist, cleaned_user_agent
+from leavewatch.sources.shared_storage import cut_lineage
 
 
 def drop_unkeyed_rows(log: DataFrame) -> DataFrame:
@@ -119,11 +120,13 @@ def drop_zero_columns(df: DataFrame, columns: Sequence[str] | None = None,
     """Drop numeric columns that hold only zeros.
 
     ``rule="zero_mean"`` drops a column whose mean is zero instead, which also
-    hits columns whose values cancel out. Brings one row per column to the
-    driver, since the columns of a DataFrame must be known there.
+    hits columns whose values cancel out. The table is stored first, as it is
+    read twice. One row per column reaches the driver, since the columns of a
+    DataFrame must be known there.
     """
     if rule not in ("only_zeros", "zero_mean"):
         raise ValueError(f"unknown rule: {rule}")
+    df = cut_lineage(df)
     hits = zero_column_report(df, columns).where(F.col(rule) == 1).select("feature").collect()
     return df.drop(*[row["feature"] for row in hits])
 

@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, functions as F
 from leavewatch import fixed_values as fixed
 from leavewatch.functions.numeric import guarded_ratio, hours, student_975
 from leavewatch.operators.sessions import session_measures
+from leavewatch.sources.shared_storage import cut_lineage
 
 TIME_MEASURES = ["avg_time_between_sessions", "avg_session_length"]
 
@@ -94,7 +95,8 @@ def correlation_pairs(df: DataFrame, columns: Sequence[str],
     A constant column has no correlation, hence null.
 
     With ``complete`` (no nulls in the columns) the matrix is one distributed
-    product; only its columns-by-columns result is seen by the driver.
+    product; only its columns-by-columns result is seen by the driver. It takes
+    more than one pass, so the columns go to shared storage first.
     Otherwise each pair uses the rows in which both values are present.
     """
     columns = list(columns)
@@ -117,7 +119,8 @@ def correlation_pairs(df: DataFrame, columns: Sequence[str],
 
 
 def _from_matrix(df: DataFrame, columns: list[str]) -> DataFrame:
-    assembled = VectorAssembler(inputCols=columns, outputCol="_v").transform(df.select(*columns))
+    stored = cut_lineage(df.select(*columns))
+    assembled = VectorAssembler(inputCols=columns, outputCol="_v").transform(stored)
     matrix = Correlation.corr(assembled, "_v").head()[0].toArray()
     rows = [
         (columns[i], columns[j], None if matrix[i, j] != matrix[i, j] else float(matrix[i, j]))

@@ -18,32 +18,31 @@ def churn_phase(log: DataFrame, slice_ticks: int = HOUR_OF_MILLIS) -> DataFrame:
 
     ``phase`` is the sum of ``cancelled`` over the user's events with the same
     or a later ``ts``: the running sum by descending time, ties included.
+    ``ts`` must be whole ticks.
 
     One window per user would sort all of a user's events in one task. The
-    value depends on (user, ts) only, so the events of users who cancelled are
-    reduced to one row per such pair, then summed in two bounded steps: within
-    a time slice (at most ``slice_ticks`` rows) and over the slices of a user.
-    ``ts`` must be whole ticks. The joins have one match per row at most, and
-    adaptive execution splits the partition of a user who fills it.
+    value depends on (user, ts) only, so the log is first counted by that pair
+    and then summed in two bounded steps: within a time slice (at most
+    ``slice_ticks`` rows) and over the slices of a user.
     """
     flagged = log.withColumn("cancelled", cancel_flag())
-    narrow = flagged.select("userId", "ts", "cancelled")
-    # Only events up to a user's last cancellation have a phase above 0.
-    last = (narrow.where(F.col("cancelled") == 1)
-            .groupBy("userId").agg(F.max("ts").alias("_last")))
-    exposed = narrow.join(last, "userId").where(F.col("ts") <= F.col("_last"))
     time_slice = F.floor(F.col("ts") / slice_ticks)
-    moments = (exposed.groupBy("userId", time_slice.alias("_slice"), "ts")
-               .agg(F.sum("cancelled").alias("_n")))
-    slices = moments.groupBy("userId", "_slice").agg(F.sum("_n").alias("_n"))
+    moments = (flagged.where(F.col("userId").isNotNull() & F.col("ts").isNotNull())
+               .groupBy("userId", time_slice.alias("_slice"), "ts")
+               .agg(F.sum("cancelled").alias("_n"))
+               .where(F.col("_slice").isNotNull()))
     later = (Window.partitionBy("userId").orderBy(F.desc("_slice"))
              .rowsBetween(Window.unboundedPreceding, -1))
-    slices = slices.select("userId", "_slice",
-                           F.coalesce(F.sum("_n").over(later), F.lit(0)).alias("_later"))
+    slices = (moments.groupBy("userId", "_slice").agg(F.sum("_n").alias("_n"))
+              .select("userId", "_slice",
+                      F.coalesce(F.sum("_n").over(later), F.lit(0)).alias("_later")))
     within = (Window.partitionBy("userId", "_slice").orderBy(F.desc("ts"))
               .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     phases = (moments.withColumn("_within", F.sum("_n").over(within))
               .join(slices, ["userId", "_slice"])
-              .select("userId", "ts", (F.col("_within") + F.col("_later")).alias("phase")))
+              .select("userId", "ts", (F.col("_within") + F.col("_later")).alias("phase"))
+              .where(F.col("phase") > 0))
+    # At most one match per event. Most users never cancel, so the right side
+    # is small; a moment that holds much of the log is split by adaptive joins.
     return (flagged.join(phases, ["userId", "ts"], "left")
             .withColumn("phase", F.coalesce("phase", F.lit(0))))

@@ -19,7 +19,7 @@ _ROW_BITS = 33
 def with_position(df: DataFrame, *order: str | Column, name: str = "position") -> DataFrame:
     """Add the 0-based position of each row in the given order.
 
-    The order must tell all rows apart. The numbered rows go to reliable
+    The order must tell all rows apart. The numbered rows go to shared
     storage before they are used twice: range bounds come from a sample, and
     a second run could draw them differently.
     """

@@ -101,8 +101,10 @@ def user_agent_features(log: DataFrame, clean_agents: bool = False) -> DataFrame
     """
     counted = (log.groupBy("userId", "sessionId", "userAgent")
                .agg(F.count(F.lit(1)).alias("n")))
+    # Counting n keeps both branches alike up to the first shuffle, which then
+    # serves both.
     sessions = (counted.groupBy("userId", "sessionId").agg(F.sum("n").alias("n"))
-                .groupBy("userId").agg(F.count(F.lit(1)).alias("n_sessions")))
+                .groupBy("userId").agg(F.count("n").alias("n_sessions")))
     agent = F.col("userAgent")
     if clean_agents:
         agent = F.coalesce(cleaned_user_agent(agent), F.lit(fixed.UNKNOWN))

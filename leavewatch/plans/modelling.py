@@ -41,8 +41,13 @@ def minmax_pipeline(columns: Sequence[str], output: str = "scaled_features") ->
 
 def minmax_scaled(df: DataFrame, columns: Sequence[str] | None = None,
                   keep: Sequence[str] = (KEY, LABEL)) -> DataFrame:
-    """Columns scaled to [0, 1] under their own names; a constant one gives 0.5."""
+    """Columns scaled to [0, 1] under their own names; a constant one gives 0.5.
+
+    Reads the table twice, for the bounds and for the values, and so stores it
+    first.
+    """
     names = list(columns or feature_columns(df))
+    df = cut_lineage(df.select(*keep, *names))
     scaled = minmax_pipeline(names).fit(df).transform(df)
     return unpack_vector(scaled, "scaled_features", names, keep)
 

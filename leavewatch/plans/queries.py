@@ -18,7 +18,7 @@ from leavewatch.plans import modelling
 from leavewatch.plans.sql_features import SqlFeatureTransformer, UserFeatureTransformer
 from leavewatch.sources import event_log
 from leavewatch.sources.sample_log import read_sample_log
-from leavewatch.sources.shared_storage import fresh_path
+from leavewatch.sources.shared_storage import cut_lineage, fresh_path
 
 BUCKETS = 10
 DENIED = ["11", "29", "1261737"]
@@ -223,7 +223,7 @@ def drop_zero_columns(spark, folder):
 
 @_query
 def union_zero_fill(spark, folder):
-    table = _features(spark, folder)
+    table = cut_lineage(_features(spark, folder))
     left = table.where(F.col("cancelled") == 1).select("userId", "avg_num_errors", "longest_song")
     right = table.where(F.col("cancelled") == 0).select("userId", "avg_num_errors", "avg_num_upgrades")
     return rounded(cleaning.union_zero_fill(left, right))

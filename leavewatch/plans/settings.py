@@ -14,10 +14,3 @@ RECOMMENDED = {
     "spark.sql.codegen.maxFields": "300",
     "spark.sql.session.timeZone": "UTC",
 }
-
-
-def shuffle_partitions(shuffle_bytes: int, partition_bytes: int = 128 << 20,
-                       cores: int = 8) -> int:
-    """Shuffle partitions that keep each near ``partition_bytes``, a multiple of cores."""
-    needed = max(1, -(-shuffle_bytes // partition_bytes))
-    return -(-needed // cores) * cores

@@ -35,9 +35,13 @@ def fresh_path(spark: SparkSession, label: str) -> str:
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Compute once, keep the rows in reliable storage, forget the plan."""
-    context = df.sparkSession.sparkContext
-    folder = shared_folder(df.sparkSession)
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(folder)
-    return df.checkpoint()
+    """Compute once, keep the rows as a table in the shared folder, read that.
+
+    For results that several passes need. A lost executor then costs a reread
+    and not a rerun, later passes read only the columns they use, and the
+    optimizer knows the real size. The table stays until the folder is cleared.
+    """
+    spark = df.sparkSession
+    path = fresh_path(spark, "table")
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

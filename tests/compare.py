@@ -16,21 +16,30 @@ def connect(folder: str) -> duckdb.DuckDBPyConnection:
     return db
 
 
-def canonical(frame: pd.DataFrame, places: int | None = None) -> pd.DataFrame:
+def canonical(frame: pd.DataFrame) -> pd.DataFrame:
     frame = frame[sorted(frame.columns)].copy()
     for c in frame.columns:
-        if pd.api.types.is_float_dtype(frame[c]) and places is not None:
-            frame[c] = frame[c].round(places) + 0.0
         frame[c] = frame[c].map(lambda v: "" if pd.isna(v) else f"={v!r}" if isinstance(v, str)
                                 else repr(float(v)))
     return frame.sort_values(list(frame.columns)).reset_index(drop=True)
 
 
-def assert_same(actual: pd.DataFrame, expected: pd.DataFrame, places: int | None = None) -> None:
+def assert_same(actual: pd.DataFrame, expected: pd.DataFrame) -> None:
+    """Same rows, in any order, to the last digit."""
     assert sorted(actual.columns) == sorted(expected.columns)
     assert len(actual) == len(expected), f"{len(actual)} rows, expected {len(expected)}"
-    left, right = canonical(actual, places), canonical(expected, places)
+    left, right = canonical(actual), canonical(expected)
     unequal = (left != right).any(axis=1)
-    assert not unequal.any(), (
-        f"{int(unequal.sum())} rows differ, first: "
-        f"{ {c: (left[c][unequal.idxmax()], right[c][unequal.idxmax()]) for c in left if left[c][unequal.idxmax()] != right[c][unequal.idxmax()]} }")
+    if unequal.any():
+        row = unequal.idxmax()
+        cells = {c: (left[c][row], right[c][row]) for c in left if left[c][row] != right[c][row]}
+        raise AssertionError(f"{int(unequal.sum())} rows differ, first: {cells}")
+
+
+def assert_close(actual: pd.DataFrame, expected: pd.DataFrame, keys: list[str],
+                 tolerance: float = 1e-8) -> None:
+    """Same rows by key, numbers within a tolerance."""
+    assert sorted(actual.columns) == sorted(expected.columns)
+    left, right = (f.set_index(keys).sort_index() for f in (actual, expected))
+    pd.testing.assert_frame_equal(left[sorted(left)], right[sorted(right)], check_dtype=False,
+                                  rtol=0, atol=tolerance)
