@@ -20,7 +20,6 @@ from pyspark.sql import DataFrame, functions as F
 
 from leavewatch import fixed_values as fixed
 from leavewatch.functions.numeric import hash_percent, sign_colour
-from leavewatch.operators.encoding import unpack_vector
 from leavewatch.sources.shared_storage import cut_lineage
 
 KEY, LABEL = "userId", "cancelled"
@@ -43,13 +42,19 @@ def minmax_scaled(df: DataFrame, columns: Sequence[str] | None = None,
                   keep: Sequence[str] = (KEY, LABEL)) -> DataFrame:
     """Columns scaled to [0, 1] under their own names; a constant one gives 0.5.
 
-    Reads the table twice, for the bounds and for the values, and so stores it
-    first.
+    Same values as :func:`minmax_pipeline`, as plain arithmetic. Reads the
+    table twice, for the bounds and for the values, and so stores it first.
+    The bounds, two numbers per column, are constants of the second plan.
     """
     names = list(columns or feature_columns(df))
     df = cut_lineage(df.select(*keep, *names))
-    scaled = minmax_pipeline(names).fit(df).transform(df)
-    return unpack_vector(scaled, "scaled_features", names, keep)
+    bounds = df.agg(*[F.struct(F.min(c).cast("double"), F.max(c).cast("double")).alias(f"_{i}")
+                      for i, c in enumerate(names)]).head()
+    scaled = []
+    for name, (low, high) in zip(names, bounds):
+        value = F.lit(0.5) if low == high else (F.col(name) - low) / (high - low)
+        scaled.append(value.alias(name))
+    return df.select(*keep, *scaled)
 
 
 def with_split(df: DataFrame, test_percent: int = 25, key: str = KEY) -> DataFrame:

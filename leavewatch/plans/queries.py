@@ -393,6 +393,17 @@ def grid_results(spark, folder):
     return _fit(spark, folder, modelling.logistic_search()).grid
 
 
+@_query
+def churn_elastic_cv(spark, folder):
+    """Penalty given as inverse strength, scored by the F1 of the cancelled."""
+    table = _features(spark, folder)
+    stored = cut_lineage(modelling.with_split(table))
+    n_train = stored.where(F.col("split") == "train").count()
+    search = modelling.inverse_strength_search(n_train, [0.1, 1.0], [0.0, 0.5])
+    return modelling.fit_churn_model(stored.drop("split"), search, folds=2,
+                                     metric="fMeasureByLabel").summary()
+
+
 @_query
 def churn_gbt_cv(spark, folder):
     search = modelling.tree_search(depths=[2, 5], split_sizes=[2], rounds=10)

@@ -141,3 +141,10 @@ def test_splits_follow_the_user(features):
     again = modelling.with_fold(modelling.with_split(features.repartition(5)), 3)
     columns = ["userId", "split", "fold"]
     assert_same(once.select(columns).toPandas(), again.select(columns).toPandas())
+
+
+def test_scaling_equals_ml_stages(features):
+    names = modelling.feature_columns(features)
+    stages = modelling.minmax_pipeline(names).fit(features).transform(features)
+    unpacked = encoding.unpack_vector(stages, "scaled_features", names, ["userId", "cancelled"])
+    assert_close(modelling.minmax_scaled(features).toPandas(), unpacked.toPandas(), ["userId"])

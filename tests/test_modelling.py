@@ -1,6 +1,7 @@
 """Model fits: finite scores, repeatable results, honest errors."""
 
 import pytest
+from pyspark.ml.evaluation import MulticlassClassificationEvaluator
 from pyspark.sql import functions as F
 
 from leavewatch import fixed_values as fixed
@@ -21,6 +22,15 @@ def test_scores_are_finite_and_consistent(fit, features):
     assert row["accuracy"] + row["error"] == pytest.approx(1)
 
 
+def test_scores_equal_the_evaluator(fit):
+    row = fit.summary().head()
+    doubles = fit.predictions.select(F.col("label").cast("double"), F.col("prediction").cast("double"))
+    for metric, name in [("f1", "f1_weighted"), ("accuracy", "accuracy"),
+                         ("fMeasureByLabel", "f1_positive")]:
+        evaluator = MulticlassClassificationEvaluator(metricName=metric, metricLabel=1.0)
+        assert row[name] == pytest.approx(evaluator.evaluate(doubles))
+
+
 def test_grid_is_sorted_and_complete(fit):
     scores = [r["mean_score"] for r in fit.grid.collect()]
     assert len(scores) == 2 and scores == sorted(scores, reverse=True)

@@ -5,10 +5,11 @@ import re
 import pytest
 from conftest import MEDIUM
 
-from leavewatch.operators import cleaning, users
+from leavewatch.operators import cleaning, ranking, users
 from leavewatch.plans.queries import QUERIES
+from leavewatch.sources import event_log
 from leavewatch.sources.sample_log import read_sample_log
-from leavewatch.sources.shared_storage import cut_lineage
+from leavewatch.sources.shared_storage import cut_lineage, fresh_path
 
 
 def plan_of(df):
@@ -44,3 +45,21 @@ def test_no_python_and_no_cross_join(spark, name):
     plan = plan_of(QUERIES[name](spark, MEDIUM))
     for unwanted in ("EvalPython", "MapInPandas", "CartesianProduct", "BroadcastNestedLoop"):
         assert unwanted not in plan
+
+
+def test_bucket_scan_lists_one_folder(spark, stored_log):
+    path = fresh_path(spark, "pruned")
+    event_log.write_user_buckets(event_log.with_hash_bucket(stored_log.where("userId <> ''")), path)
+    plan = plan_of(event_log.read_user_bucket(spark, path, 3))
+    assert re.search(r"PartitionFilters: \[[^\]]*= 3\)", plan)
+
+
+def test_slices_need_no_shuffle_of_the_log(stored_log):
+    assert "Exchange" not in plan_of(ranking.with_user_slice(stored_log, ["b", "c"]))
+
+
+def test_browser_features_scan_the_log_once(spark):
+    df = QUERIES["user_agent_features"](spark, MEDIUM)
+    df.collect()
+    final = plan_of(df).split("== Initial Plan ==")[0]
+    assert final.count("FileScan") == 1 and "ReusedExchange" in final

@@ -8,8 +8,8 @@ from compare import assert_same, connect
 
 QUERIES = entry_points.queries()
 ANSWERS = entry_points.oracle_sql()
-UNANSWERED = {"churn_logreg_cv", "churn_gbt_cv", "churn_predictions", "churn_coefficients",
-              "grid_results"}
+UNANSWERED = {"churn_logreg_cv", "churn_elastic_cv", "churn_gbt_cv", "churn_predictions",
+              "churn_coefficients", "grid_results"}
 
 
 @pytest.fixture(scope="module")
