@@ -30,12 +30,36 @@ def drop_identity_columns(log: DataFrame) -> DataFrame:
     return log.drop(*fixed.IDENTITY_COLUMNS)
 
 
-def clean_text(log: DataFrame, artist: bool = True) -> DataFrame:
-    """Simplify the browser string and, if asked, the artist name."""
-    edits = {"userAgent": cleaned_user_agent(F.col("userAgent"))}
+def agent_table(log: DataFrame, max_bytes: int = 16 << 20) -> DataFrame | None:
+    """Distinct browser strings and their clean form, or None if they exceed ``max_bytes``.
+
+    A log repeats its browser strings many times over. The table lets
+    :func:`clean_text` look them up, which is far cheaper than the regular
+    expressions on every event. Its size is known before it is broadcast.
+    """
+    raw = cut_lineage(log.select("userAgent").where(F.col("userAgent").isNotNull()).distinct())
+    # Twice the text, for both columns, and some bytes of overhead per row.
+    size = raw.agg(F.sum(2 * F.octet_length("userAgent") + 64)).head()[0] or 0
+    if size > max_bytes:
+        return None
+    return raw.withColumn("_agent", cleaned_user_agent(F.col("userAgent")))
+
+
+def clean_text(log: DataFrame, artist: bool = True, agents: DataFrame | None = None) -> DataFrame:
+    """Simplify the browser string and, if asked, the artist name.
+
+    ``agents`` is the result of :func:`agent_table`; without it each event is
+    cleaned by itself.
+    """
+    agent = cleaned_user_agent(F.col("userAgent"))
+    columns = log.columns
+    if agents is not None:
+        log = log.join(F.broadcast(agents), "userAgent", "left")
+        agent = F.col("_agent")
+    edits = {"userAgent": agent}
     if artist:
         edits["artist"] = cleaned_artist(F.col("artist"))
-    return log.withColumns(edits)
+    return log.select(*[edits[c].alias(c) if c in edits else c for c in columns])
 
 
 def fill_unknown(log: DataFrame, columns: Sequence[str] = tuple(fixed.FILLED_COLUMNS)) -> DataFrame:
@@ -47,14 +71,15 @@ def fill_registration(log: DataFrame) -> DataFrame:
     return log.withColumn("registration", F.coalesce("registration", "ts"))
 
 
-def clean_events(log: DataFrame, seconds: bool = True, artist: bool = True) -> DataFrame:
+def clean_events(log: DataFrame, seconds: bool = True, artist: bool = True,
+                 agents: DataFrame | None = None) -> DataFrame:
     """The clean log: keyed rows, no identities, simple text, no null category.
 
     The rollups want ``seconds=False``: they subtract whole milliseconds and
     divide once, at the end.
     """
     clean = drop_identity_columns(drop_unkeyed_rows(log))
-    clean = fill_unknown(clean_text(clean, artist=artist))
+    clean = fill_unknown(clean_text(clean, artist, agents))
     return millis_to_seconds(clean) if seconds else clean
 
 

@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from leavewatch import fixed_values as fixed
 from leavewatch.operators.cleaning import (
+    agent_table,
     clean_events,
     deny_users,
     drop_unkeyed_rows,
@@ -51,10 +52,12 @@ class FeatureOptions:
 def build_features(log: DataFrame, options: FeatureOptions = FeatureOptions()) -> DataFrame:
     """User features of a raw log."""
     agents: list[str] = []
+    table = None
     if options.max_agents:
+        table = agent_table(log)
         keyed = fill_unknown(drop_unkeyed_rows(log), ["gender"])
         agents = fit_labels(keyed, ["userAgent"], options.max_agents, clean_agents=True)["userAgent"]
-    clean = deny_users(clean_events(log, seconds=False), options.denied)
+    clean = deny_users(clean_events(log, seconds=False, agents=table), options.denied)
     if options.extended:
         features = user_features_extended(clean, agents)
     else:

@@ -430,7 +430,9 @@ FROM clean c JOIN totals USING ("userId") GROUP BY c."userId", c."userAgent"
 _WIDE = _users(head=LABELLED, agents=5) + "SELECT * FROM users"
 
 ORACLE_SQL: dict[str, str] = {
-    "scan_json_roundtrip": RAW + "SELECT * FROM raw_log",
+    "scan_json_roundtrip": RAW + """
+SELECT * REPLACE (CAST(registration AS VARCHAR) AS registration,
+  CAST("sessionId" AS VARCHAR) AS "sessionId") FROM raw_log""",
     "user_bucket_assign": CLEAN + _SLICES + "SELECT * FROM sliced",
     "user_bucket_counts": CLEAN + _SLICES + """
 SELECT bucket, count(DISTINCT "userId") AS n_users, count(*) AS n_events

@@ -7,7 +7,7 @@ from conftest import MEDIUM
 from pyspark.sql import functions as F
 
 from leavewatch import fixed_values as fixed
-from leavewatch.operators import encoding, explore, phases, ranking, sessions, users
+from leavewatch.operators import cleaning, encoding, explore, phases, ranking, sessions, users
 from leavewatch.plans import modelling
 from leavewatch.plans.sql_features import SqlFeatureTransformer, UserFeatureTransformer
 from leavewatch.sources import event_log
@@ -148,3 +148,12 @@ def test_scaling_equals_ml_stages(features):
     stages = modelling.minmax_pipeline(names).fit(features).transform(features)
     unpacked = encoding.unpack_vector(stages, "scaled_features", names, ["userId", "cancelled"])
     assert_close(modelling.minmax_scaled(features).toPandas(), unpacked.toPandas(), ["userId"])
+
+
+def test_browser_table_changes_nothing(spark):
+    log = read_sample_log(spark, MEDIUM)
+    table = cleaning.agent_table(log)
+    assert table.count() == 4
+    assert_same(cleaning.clean_events(log, agents=table).toPandas(),
+                cleaning.clean_events(log).toPandas())
+    assert cleaning.agent_table(log, max_bytes=100) is None

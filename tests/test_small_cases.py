@@ -84,6 +84,12 @@ def test_guards(spark):
     assert filled["time_since_joined"] == 0 and "avg_num_upgrade_clicks" in filled
 
 
+def test_labels_with_quotes_are_counted(spark):
+    label = "it's a \\ \"test\""
+    row = one(users.user_features(events(spark, {"userAgent": label}, {}), agents=[label, "a"]))
+    assert row["avg_userAgent_0_interactions"] == 1 and row["avg_userAgent_1_interactions"] == 1
+
+
 def test_label_ties_go_by_name(spark):
     df = spark.createDataFrame([(c,) for c in "bacc"], "page string")
     assert encoding.fit_labels(df, ["page"]) == {"page": ["c", "a", "b"]}
