@@ -125,12 +125,8 @@ def zero_column_report(df: DataFrame, columns: Sequence[str] | None = None) -> D
     """
     names = list(columns or _numeric_columns(df))
     stats = df.agg(*[
-        F.struct(
-            F.lit(c).alias("feature"),
-            F.min(c).cast("double").alias("min_value"),
-            F.max(c).cast("double").alias("max_value"),
-            F.avg(c).alias("mean_value"),
-        ).alias(f"s{i}")
+        F.expr(f"named_struct('feature', '{c}', 'min_value', CAST(min(`{c}`) AS DOUBLE), "
+               f"'max_value', CAST(max(`{c}`) AS DOUBLE), 'mean_value', avg(`{c}`)) AS s{i}")
         for i, c in enumerate(names)
     ])
     rows = stats.select(F.inline(F.array(*stats.columns)))

@@ -102,13 +102,10 @@ def correlation_pairs(df: DataFrame, columns: Sequence[str],
     columns = list(columns)
     if complete:
         return _from_matrix(df, columns)
-    pairs = F.array(*[
-        F.struct(F.lit(i).alias("_i"), F.lit(j).alias("_j"),
-                 F.col(columns[i]).cast("double").alias("_x"),
-                 F.col(columns[j]).cast("double").alias("_y"))
-        for i in range(len(columns)) for j in range(i)
-    ])
-    both = (df.select(F.inline(pairs))
+    values = F.expr(f"array({', '.join(f'CAST(`{c}` AS DOUBLE)' for c in columns)})")
+    firsts = df.select(values.alias("_v")).select("_v", F.posexplode("_v").alias("_i", "_x"))
+    before = F.slice("_v", 1, F.col("_i"))
+    both = (firsts.select("_i", "_x", F.posexplode(before).alias("_j", "_y"))
             .withColumn("_both", F.col("_x").isNotNull() & F.col("_y").isNotNull()))
     x, y = F.when(F.col("_both"), F.col("_x")), F.when(F.col("_both"), F.col("_y"))
     names = F.array(*[F.lit(c) for c in columns])

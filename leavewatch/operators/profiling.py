@@ -10,17 +10,13 @@ from pyspark.sql import DataFrame, functions as F
 def profile_missing(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """One row: per column, how many values are null or, in text, blank."""
     kinds = dict(df.dtypes)
-
-    def missing(c: str):
-        absent = F.isnull(c)
-        return absent | (F.col(c) == "") if kinds[c] == "string" else absent
-
-    return df.agg(*[F.count_if(missing(c)).alias(c) for c in columns or df.columns])
+    blank = {c: f" OR `{c}` = ''" if kinds[c] == "string" else "" for c in columns or df.columns}
+    return df.agg(*[F.expr(f"count_if(`{c}` IS NULL{also}) AS `{c}`") for c, also in blank.items()])
 
 
 def profile_nulls(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """One row: per column, how many values are null."""
-    return df.agg(*[F.count_if(F.isnull(c)).alias(c) for c in columns or df.columns])
+    return df.agg(*[F.expr(f"count_if(`{c}` IS NULL) AS `{c}`") for c in columns or df.columns])
 
 
 def profile_shape(df: DataFrame) -> DataFrame:

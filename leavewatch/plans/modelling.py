@@ -48,8 +48,8 @@ def minmax_scaled(df: DataFrame, columns: Sequence[str] | None = None,
     """
     names = list(columns or feature_columns(df))
     df = cut_lineage(df.select(*keep, *names))
-    bounds = df.agg(*[F.struct(F.min(c).cast("double"), F.max(c).cast("double")).alias(f"_{i}")
-                      for i, c in enumerate(names)]).head()
+    bounds = df.agg(*[F.expr(f"struct(CAST(min(`{c}`) AS DOUBLE), CAST(max(`{c}`) AS DOUBLE))")
+                      for c in names]).head()
     scaled = []
     for name, (low, high) in zip(names, bounds):
         value = F.lit(0.5) if low == high else (F.col(name) - low) / (high - low)

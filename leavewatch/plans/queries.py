@@ -36,8 +36,8 @@ def _query(run: Query) -> Query:
 
 def rounded(df: DataFrame, places: int = 8) -> DataFrame:
     """Round the doubles, so that the order of float sums does not show."""
-    return df.select([F.round(c, places).alias(c) if kind == "double" else F.col(f"`{c}`")
-                      for c, kind in df.dtypes])
+    return df.selectExpr(*[f"round(`{c}`, {places}) AS `{c}`" if kind == "double" else f"`{c}`"
+                           for c, kind in df.dtypes])
 
 
 def _clean(spark: SparkSession, folder: str, seconds: bool = False) -> DataFrame:
