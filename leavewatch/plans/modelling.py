@@ -158,7 +158,7 @@ def check_folds(train: DataFrame, folds: int) -> int:
 
 def fit_churn_model(table: DataFrame, search: Search, folds: int = 3, test_percent: int = 25,
                     scale: bool = True, fit_scope: str = "train", metric: str = "f1",
-                    parallelism: int = 4, key: str = KEY, label: str = LABEL) -> ChurnFit:
+                    parallelism: int = 8, key: str = KEY, label: str = LABEL) -> ChurnFit:
     """Split, scale, cross-validate over the grid, refit the best, predict.
 
     ``fit_scope`` says which rows the scaler sees: ``train``, or ``all``.

@@ -8,6 +8,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 _SETTING = "spark.checkpoint.dir"
+_local_folders: list[tempfile.TemporaryDirectory] = []  # removed when Python exits
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -25,7 +26,9 @@ def shared_folder(spark: SparkSession) -> str:
         return known
     if not context.master.startswith("local"):
         raise ValueError(f"set {_SETTING} to a folder that all executors share")
-    context.setCheckpointDir(tempfile.mkdtemp(prefix="leavewatch-"))
+    folder = tempfile.TemporaryDirectory(prefix="leavewatch-", ignore_cleanup_errors=True)
+    _local_folders.append(folder)
+    context.setCheckpointDir(folder.name)
     return context.getCheckpointDir()
 
 
