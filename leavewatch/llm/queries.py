@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from leavewatch.llm import packing, token_output
+from leavewatch.llm import decontamination, packing, token_output, warc
 from leavewatch.llm.tables import table
 from leavewatch.sources.shared_storage import fresh_path
 
@@ -21,8 +21,29 @@ def best_fit(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack_documents(table(spark, folder, "documents"))
 
 
+def benchmark_hits(spark: SparkSession, folder: str) -> DataFrame:
+    return decontamination.report(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
+def warc_revisits(spark: SparkSession, folder: str) -> DataFrame:
+    path = fresh_path(spark, "warc")
+    warc.write_archives(table(spark, folder, "pages"), path)
+    return warc.read_pages(spark, path)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_token_files": token_files,
+    "op4_benchmark_decontamination": benchmark_hits,
     "op8_best_fit_packing": best_fit,
+    "op9_warc_revisits": warc_revisits,
+}
+ORACLE_SQL: dict[str, str] = {
+    "op9_warc_revisits": """
+        WITH full_pages AS (
+            SELECT page_id, coalesce(html, '') AS html, strlen(coalesce(html, '')) AS payload_bytes FROM pages),
+        firsts AS (SELECT *, min(page_id) OVER (PARTITION BY html) AS first_page FROM full_pages)
+        SELECT page_id, payload_bytes, sha256(html) AS payload_digest,
+               CASE WHEN payload_bytes >= 100 AND page_id > first_page THEN 'revisit' ELSE 'response' END AS record_type,
+               CASE WHEN payload_bytes >= 100 AND page_id > first_page THEN first_page END AS refers_to
+        FROM firsts""",
 }
-ORACLE_SQL: dict[str, str] = {}
