@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from leavewatch.llm import decontamination, packing, token_output, warc
+from leavewatch.llm import cover_tree, decontamination, packing, token_output, warc
 from leavewatch.llm.tables import table
 from leavewatch.sources.shared_storage import fresh_path
 
@@ -31,13 +31,30 @@ def warc_revisits(spark: SparkSession, folder: str) -> DataFrame:
     return warc.read_pages(spark, path)
 
 
+def vector_top_k(spark: SparkSession, folder: str) -> DataFrame:
+    vectors = table(spark, folder, "embeddings")
+    return cover_tree.top_k(vectors, cover_tree.stated_queries(vectors))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_token_files": token_files,
     "op4_benchmark_decontamination": benchmark_hits,
+    "op7_cover_tree_top_k": vector_top_k,
     "op8_best_fit_packing": best_fit,
     "op9_warc_revisits": warc_revisits,
 }
 ORACLE_SQL: dict[str, str] = {
+    "op7_cover_tree_top_k": """
+        WITH whole AS (
+            SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v FROM embeddings
+            WHERE embedding IS NOT NULL AND len(embedding) > 0
+              AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+        scored AS (
+            SELECT q.vec_id AS query_id, c.vec_id, CAST(list_inner_product(q.v, c.v) AS BIGINT) AS score
+            FROM whole q JOIN whole c ON q.vec_id % 50 = 0 AND c.vec_id <> q.vec_id AND len(q.v) = len(c.v)),
+        ranked AS (
+            SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM scored)
+        SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5""",
     "op9_warc_revisits": """
         WITH full_pages AS (
             SELECT page_id, coalesce(html, '') AS html, strlen(coalesce(html, '')) AS payload_bytes FROM pages),
