@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from leavewatch.llm import cover_tree, decontamination, packing, token_output, warc
+from leavewatch.llm import cover_tree, decontamination, line_dedup, packing, token_output, warc
 from leavewatch.llm.tables import table
 from leavewatch.sources.shared_storage import fresh_path
 
@@ -36,7 +37,13 @@ def vector_top_k(spark: SparkSession, folder: str) -> DataFrame:
     return cover_tree.top_k(vectors, cover_tree.stated_queries(vectors))
 
 
+def line_chunks(spark: SparkSession, folder: str) -> DataFrame:
+    found = line_dedup.deduplicated(table(spark, folder, "documents"))
+    return found.select("doc_id", "n_lines", "n_removed", "n_chunks_removed", F.sha2("text", 256).alias("kept_sha256"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_line_dedup": line_chunks,
     "op2_token_files": token_files,
     "op4_benchmark_decontamination": benchmark_hits,
     "op7_cover_tree_top_k": vector_top_k,
@@ -44,6 +51,23 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_warc_revisits": warc_revisits,
 }
 ORACLE_SQL: dict[str, str] = {
+    "op1_line_dedup": """
+        WITH bodies AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS ls FROM documents),
+        lines AS (
+            SELECT doc_id, i, ls[i] AS line, len(ls) AS n
+            FROM bodies, unnest(range(1, len(ls) + 1)) AS u(i)),
+        hashed AS (SELECT *, CAST('0x' || substr(md5(line), 1, 8) AS BIGINT) AS h FROM lines),
+        marked AS (
+            SELECT *, CAST(i = n OR (coalesce(lag(h) OVER w, 0) * 31 + h) % 4 = 0 AS INTEGER) AS is_end
+            FROM hashed WINDOW w AS (PARTITION BY doc_id ORDER BY i)),
+        numbered AS (SELECT *, coalesce(sum(is_end) OVER (PARTITION BY doc_id ORDER BY i
+                                        ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS no FROM marked),
+        parts AS (SELECT doc_id, no, count(*) AS size, string_agg(line, chr(10) ORDER BY i) AS part FROM numbered GROUP BY ALL),
+        judged AS (SELECT *, size >= 2 AND row_number() OVER (PARTITION BY size >= 2, part ORDER BY doc_id, no) > 1 AS gone FROM parts)
+        SELECT doc_id, CAST(sum(size) AS BIGINT) AS n_lines, CAST(coalesce(sum(size) FILTER (gone), 0) AS BIGINT) AS n_removed,
+               count(*) FILTER (gone) AS n_chunks_removed,
+               sha256(coalesce(string_agg(part, chr(10) ORDER BY no) FILTER (NOT gone), '')) AS kept_sha256
+        FROM judged GROUP BY doc_id""",
     "op7_cover_tree_top_k": """
         WITH whole AS (
             SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v FROM embeddings

@@ -21,15 +21,22 @@ def restored(key: str = "doc_id") -> Column:
     return F.when(F.col(key) != NO_ID, F.col(key)).alias("doc_id")
 
 
-def bodies(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """(doc_id, text), one row per doc_id, no nulls: null text is empty, null doc_id is NO_ID.
+def one_per_id(docs: DataFrame) -> DataFrame:
+    """All columns, with doc_id as a key and null text as empty; one row per doc_id.
 
-    Rows that repeat a doc_id are one document, the one with the least text.
-    Whether there are any is one aggregate over the ids; only then are texts
-    grouped.
+    Of rows that repeat a doc_id the one with the least text stays (then the
+    least of the other columns). Whether there are any is one aggregate over
+    the ids; only then are texts grouped.
     """
-    keyed = docs.select(key_column(doc_id), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"))
+    keyed = docs.withColumns({"doc_id": key_column(), "text": F.coalesce(F.col("text").cast("string"), F.lit(""))})
     repeated = keyed.groupBy("doc_id").count().where("count > 1")
     if repeated.isEmpty():
         return keyed
-    return keyed.groupBy("doc_id").agg(F.min("text").alias("text"))
+    order = ["text"] + [c for c in docs.columns if c not in ("doc_id", "text")]
+    least = keyed.groupBy("doc_id").agg(F.min(F.struct(*(F.col(f"`{c}`") for c in order))).alias("row"))
+    return least.select("doc_id", "row.*").select(*(F.col(f"`{c}`") for c in docs.columns))
+
+
+def bodies(docs: DataFrame) -> DataFrame:
+    """(doc_id, text) of one_per_id."""
+    return one_per_id(docs.select("doc_id", "text"))
