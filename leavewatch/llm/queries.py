@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from leavewatch.llm import cover_tree, decontamination, line_dedup, packing, token_output, warc
+from leavewatch.llm import cover_tree, decontamination, language_id, line_dedup, packing, token_output, warc
 from leavewatch.llm.tables import table
 from leavewatch.sources.shared_storage import fresh_path
 
@@ -42,10 +42,15 @@ def line_chunks(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", "n_lines", "n_removed", "n_chunks_removed", F.sha2("text", 256).alias("kept_sha256"))
 
 
+def languages(spark: SparkSession, folder: str) -> DataFrame:
+    return language_id.report(table(spark, folder, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_line_dedup": line_chunks,
     "op2_token_files": token_files,
     "op4_benchmark_decontamination": benchmark_hits,
+    "op6_language_mixture": languages,
     "op7_cover_tree_top_k": vector_top_k,
     "op8_best_fit_packing": best_fit,
     "op9_warc_revisits": warc_revisits,
