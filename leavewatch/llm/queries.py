@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from leavewatch.llm import cover_tree, decontamination, language_id, line_dedup, packing, token_output, warc
+from leavewatch.llm import cover_tree, decontamination, language_id, line_dedup, packing, substring_dedup, token_output, warc
 from leavewatch.llm.tables import table
 from leavewatch.sources.shared_storage import fresh_path
 
@@ -46,10 +46,16 @@ def languages(spark: SparkSession, folder: str) -> DataFrame:
     return language_id.report(table(spark, folder, "documents"))
 
 
+def word_passages(spark: SparkSession, folder: str) -> DataFrame:
+    found = substring_dedup.deduplicated(table(spark, folder, "documents"), digest=True)
+    return found.withColumnRenamed("kept", "kept_sha256")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_line_dedup": line_chunks,
     "op2_token_files": token_files,
     "op4_benchmark_decontamination": benchmark_hits,
+    "op5_substring_dedup": word_passages,
     "op6_language_mixture": languages,
     "op7_cover_tree_top_k": vector_top_k,
     "op8_best_fit_packing": best_fit,
