@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from leavewatch.llm import cover_tree, decontamination, language_id, line_dedup, packing, substring_dedup, token_output, warc
+from leavewatch.llm import cover_tree, decontamination, language_id, line_dedup, packing, substring_dedup, suffix_dedup, token_output, warc
 from leavewatch.llm.tables import table
 from leavewatch.sources.shared_storage import fresh_path
 
@@ -51,6 +51,11 @@ def word_passages(spark: SparkSession, folder: str) -> DataFrame:
     return found.withColumnRenamed("kept", "kept_sha256")
 
 
+def byte_strings(spark: SparkSession, folder: str) -> DataFrame:
+    found = suffix_dedup.deduplicated(table(spark, folder, "documents"), digest=True)
+    return found.withColumnRenamed("kept", "kept_sha256")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_line_dedup": line_chunks,
     "op2_token_files": token_files,
@@ -60,6 +65,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_cover_tree_top_k": vector_top_k,
     "op8_best_fit_packing": best_fit,
     "op9_warc_revisits": warc_revisits,
+    "op10_suffix_dedup": byte_strings,
 }
 ORACLE_SQL: dict[str, str] = {
     "op1_line_dedup": """
