@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from leavewatch.llm import cover_tree, decontamination, language_id, line_dedup, packing, substring_dedup, suffix_dedup, token_output, warc
+from leavewatch.llm import cover_tree, decontamination, jaccard_join, language_id, line_dedup, packing, substring_dedup, suffix_dedup, token_output, warc
 from leavewatch.llm.tables import table
 from leavewatch.sources.shared_storage import fresh_path
 
@@ -56,9 +56,14 @@ def byte_strings(spark: SparkSession, folder: str) -> DataFrame:
     return found.withColumnRenamed("kept", "kept_sha256")
 
 
+def near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
+    return jaccard_join.similar(table(spark, folder, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_line_dedup": line_chunks,
     "op2_token_files": token_files,
+    "op3_jaccard_join": near_duplicates,
     "op4_benchmark_decontamination": benchmark_hits,
     "op5_substring_dedup": word_passages,
     "op6_language_mixture": languages,
