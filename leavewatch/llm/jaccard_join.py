@@ -225,7 +225,7 @@ def _scattered(pairs: np.ndarray, like: np.ndarray) -> np.ndarray:
 LINKS = "doc_id long, n_links long, joined long"
 
 
-def _verify(threshold: float):
+def _verify(threshold: float, step: int):
     """Links of a tile: of each class how many, and the least class it hangs together with."""
     def verify(table: pa.Table) -> pa.Table:
         ids, shard = np.asarray(table.column("doc_id")), np.asarray(table.column("shard"))
@@ -236,11 +236,11 @@ def _verify(threshold: float):
         n_links, label = np.zeros(len(ids), dtype=np.int64), np.arange(len(ids))
         crossing = len(np.unique(shard)) > 1
         first = int((shard == shard[0]).sum()) if crossing else len(ids)
-        rows = range(0, first, SHARD // 4)
+        rows = range(0, first, step)
         right = np.arange(first, len(ids)) if crossing else np.arange(len(ids))
         linked = []
         for at in rows:
-            left = np.arange(at, min(at + SHARD // 4, first))
+            left = np.arange(at, min(at + step, first))
             shared = common([sets[i] for i in left], [sets[i] for i in right])
             near = shared >= threshold * (size[left][:, None] + size[right] - shared) - 1e-9
             if not crossing:
@@ -264,7 +264,7 @@ def _verify(threshold: float):
     return verify
 
 
-def similar(docs: DataFrame, threshold: float = THRESHOLD, target: float = TARGET) -> DataFrame:
+def similar(docs: DataFrame, threshold: float = THRESHOLD, target: float = TARGET, shard: int = SHARD) -> DataFrame:
     """(doc_id, class_id, class_size, n_links, group_id) of every document.
 
     class_id is the least doc_id with the same shingles, n_links the number
@@ -283,7 +283,7 @@ def similar(docs: DataFrame, threshold: float = THRESHOLD, target: float = TARGE
     edges = sent.groupBy("bucket").applyInArrow(_edges, "a long, b long")
     islands = components(edges)
     counted = islands.groupBy("label").agg(F.count("*").alias("held"))
-    shards = F.when(F.col("held") > 2 * SHARD, F.ceil(F.col("held") / SHARD)).otherwise(1).cast("int")
+    shards = F.when(F.col("held") > 2 * shard, F.ceil(F.col("held") / shard)).otherwise(1).cast("int")
     dealt = (islands.join(counted, "label").withColumn("shards", shards)
              .withColumn("shard", F.pmod(F.xxhash64("node"), F.col("shards")).cast("int")))
     tiles = F.transform(F.sequence(F.lit(0), F.col("shards") - 1), lambda s: F.least(s, "shard") * F.col("shards") + F.greatest(s, "shard"))
@@ -291,7 +291,7 @@ def similar(docs: DataFrame, threshold: float = THRESHOLD, target: float = TARGE
     sets = (body.join(dealt, "doc_id").select("island", "tiles", "shard", "doc_id", "text")
             .mapInArrow(_sets, "island long, tiles array<int>, shard int, doc_id long, items binary")
             .select("island", F.explode("tiles").alias("tile"), "shard", "doc_id", "items"))
-    found = cut_lineage(sets.groupBy("island", "tile").applyInArrow(_verify(threshold), LINKS))
+    found = cut_lineage(sets.groupBy("island", "tile").applyInArrow(_verify(threshold, max(1, shard // 4)), LINKS))
     joined = components(found.select(F.col("doc_id").alias("a"), F.col("joined").alias("b")))
     links = (found.groupBy("doc_id").agg(F.sum("n_links").alias("n_links"))
              .join(joined.select(F.col("node").alias("doc_id"), "label"), "doc_id", "left").withColumnRenamed("doc_id", "class_id"))

@@ -78,9 +78,30 @@ def deduplicated(docs: DataFrame, divisor: int = DIVISOR, rolled: int = ROLLED,
 
     The first copy of a chunk, by doc_id and place, stays. A null text is
     empty and stays so; an empty text is one empty line. doc_ids are unique in
-    the result (see tables.one_per_id).
+    the result (see tables.one_per_id); other columns are not read.
     """
-    body = one_per_id(docs.select("doc_id", "text"))
+    found = _judged(one_per_id(docs.select("doc_id", "text")), divisor, rolled, least_lines)
+    return found.withColumn("doc_id", restored())
+
+
+def cleaned(docs: DataFrame, length_column: str = "n_chars") -> DataFrame:
+    """The documents with repeated chunks taken out, less those that lost all text; other columns as they were.
+
+    Where a text was cut, length_column, if there is one, is its new length.
+    """
+    whole = one_per_id(docs)
+    found = _judged(whole.select("doc_id", "text"), DIVISOR, ROLLED, LEAST_LINES)
+    found = found.where("n_removed = 0 or n_lines > n_removed").select(
+        F.col("doc_id").alias("_id"), F.struct("text", "n_removed").alias("_found"))
+    others = [c for c in whole.columns if c != "text"]
+    out = whole.select(*(F.col(f"`{c}`") for c in others)).join(found, F.col("doc_id") == F.col("_id"))
+    new = {"doc_id": restored(), "text": F.col("_found.text")}
+    if length_column in docs.columns:
+        new[length_column] = F.when(F.col("_found.n_removed") > 0, F.length("_found.text")).otherwise(F.col(length_column)).cast(docs.schema[length_column].dataType)
+    return out.withColumns(new).select(*(F.col(f"`{c}`") for c in docs.columns))
+
+
+def _judged(body: DataFrame, divisor: int, rolled: int, least_lines: int) -> DataFrame:
     found = body.join(repeated_chunks(body, divisor, rolled, least_lines), "doc_id", "left")
 
     def kept(all_chunks: Column) -> Column:
@@ -93,7 +114,7 @@ def deduplicated(docs: DataFrame, divisor: int = DIVISOR, rolled: int = ROLLED,
     n_lines = F.length(F.col("text")) - F.length(F.translate("text", "\n", "")) + 1
     return (found.select("doc_id", "text", n_lines.alias("n_lines"), F.when(gone, F.size("removed")).otherwise(0).alias("n_chunks_removed"),
                          F.when(gone, cleaned).alias("cleaned"))
-            .select(restored(), F.when(F.col("cleaned").isNotNull(), F.col("cleaned.text")).otherwise(F.col("text")).alias("text"),
+            .select("doc_id", F.when(F.col("cleaned").isNotNull(), F.col("cleaned.text")).otherwise(F.col("text")).alias("text"),
                     F.col("n_lines").cast("long").alias("n_lines"),
                     F.when(F.col("cleaned").isNotNull(), F.col("n_lines") - F.col("cleaned.n")).otherwise(0).cast("long").alias("n_removed"),
                     F.col("n_chunks_removed").cast("long").alias("n_chunks_removed")))
