@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import random
 
+from pyspark.sql import functions as F  # noqa: F401 - for the tests
 from pyspark.sql import types as T
 
 CLASHING = ["row", "spans", "bucket", "payload", "key", "removed", "n_words", "kept", "class_id", "label", "score", "page", "first"]
