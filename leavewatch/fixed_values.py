@@ -3,7 +3,6 @@
 # ---- Fixed values: labels and names ---------------------------------------
 
 LABEL_PAGE = "Cancellation Confirmation"
-CANCEL_PAGE = "Cancel"
 UNKNOWN = "Unknown"
 
 PAGES = [

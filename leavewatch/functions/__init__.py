@@ -5,6 +5,7 @@ from leavewatch.functions.numeric import (
     hash_percent,
     hours,
     sign_colour,
+    stable_hash,
     student_975,
 )
 from leavewatch.functions.text import (
@@ -16,6 +17,6 @@ from leavewatch.functions.text import (
 
 __all__ = [
     "cleaned_artist", "cleaned_user_agent", "guarded_ratio", "hash_percent",
-    "hours", "sign_colour", "student_975", "user_key_by_path",
-    "user_key_by_pattern",
+    "hours", "sign_colour", "stable_hash", "student_975",
+    "user_key_by_path", "user_key_by_pattern",
 ]

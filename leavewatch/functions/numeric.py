@@ -21,15 +21,19 @@ def sign_colour(value: Column) -> Column:
     return F.when(F.signum(value) == -1, F.lit("red")).otherwise(F.lit("blue"))
 
 
-def hash_percent(key: Column, salt: str = "") -> Column:
-    """A number from 0 to 99 that depends on the key and the salt alone.
+def stable_hash(key: Column, salt: str = "") -> Column:
+    """A number below 2**32 that depends on the key and the salt alone.
 
     Unlike a random split it does not change with partitioning, row order or
     a recomputed task.
     """
     salted = F.concat(F.lit(salt), key) if salt else key
-    digits = F.conv(F.substring(F.md5(salted), 1, 8), 16, 10)
-    return (digits.cast("bigint") % 100).cast("int")
+    return F.conv(F.substring(F.md5(salted), 1, 8), 16, 10).cast("bigint")
+
+
+def hash_percent(key: Column, salt: str = "") -> Column:
+    """A stable number from 0 to 99."""
+    return (stable_hash(key, salt) % 100).cast("int")
 
 
 def student_975(freedom: Column) -> Column:

@@ -30,36 +30,14 @@ def drop_identity_columns(log: DataFrame) -> DataFrame:
     return log.drop(*fixed.IDENTITY_COLUMNS)
 
 
-def agent_table(log: DataFrame, max_bytes: int = 16 << 20) -> DataFrame | None:
-    """Distinct browser strings and their clean form, or None if they exceed ``max_bytes``.
-
-    A log repeats its browser strings many times over. The table lets
-    :func:`clean_text` look them up, which is far cheaper than the regular
-    expressions on every event. Its size is known before it is broadcast.
-    """
-    raw = cut_lineage(log.select("userAgent").where(F.col("userAgent").isNotNull()).distinct())
-    # Twice the text, for both columns, and some bytes of overhead per row.
-    size = raw.agg(F.sum(2 * F.octet_length("userAgent") + 64)).head()[0] or 0
-    if size > max_bytes:
-        return None
-    return raw.withColumn("_agent", cleaned_user_agent(F.col("userAgent")))
-
-
-def clean_text(log: DataFrame, artist: bool = True, agents: DataFrame | None = None) -> DataFrame:
-    """Simplify the browser string and, if asked, the artist name.
-
-    ``agents`` is the result of :func:`agent_table`; without it each event is
-    cleaned by itself.
-    """
-    agent = cleaned_user_agent(F.col("userAgent"))
-    columns = log.columns
-    if agents is not None:
-        log = log.join(F.broadcast(agents), "userAgent", "left")
-        agent = F.col("_agent")
-    edits = {"userAgent": agent}
+def clean_text(log: DataFrame, artist: bool = True, agent: bool = True) -> DataFrame:
+    """Simplify, if asked, the browser string and the artist name."""
+    edits = {}
+    if agent:
+        edits["userAgent"] = cleaned_user_agent(F.col("userAgent"))
     if artist:
         edits["artist"] = cleaned_artist(F.col("artist"))
-    return log.select(*[edits[c].alias(c) if c in edits else c for c in columns])
+    return log.withColumns(edits)
 
 
 def fill_unknown(log: DataFrame, columns: Sequence[str] = tuple(fixed.FILLED_COLUMNS)) -> DataFrame:
@@ -72,14 +50,16 @@ def fill_registration(log: DataFrame) -> DataFrame:
 
 
 def clean_events(log: DataFrame, seconds: bool = True, artist: bool = True,
-                 agents: DataFrame | None = None) -> DataFrame:
+                 agent: bool = True) -> DataFrame:
     """The clean log: keyed rows, no identities, simple text, no null category.
 
     The rollups want ``seconds=False``: they subtract whole milliseconds and
-    divide once, at the end.
+    divide once, at the end. Those that clean browser strings once they have
+    been counted want ``agent=False``.
     """
     clean = drop_identity_columns(drop_unkeyed_rows(log))
-    clean = fill_unknown(clean_text(clean, artist, agents))
+    clean = clean_text(clean, artist, agent)
+    clean = fill_unknown(clean) if agent else fill_unknown(clean, ["gender"])
     return millis_to_seconds(clean) if seconds else clean
 
 
@@ -121,7 +101,8 @@ def _numeric_columns(df: DataFrame) -> list[str]:
 def zero_column_report(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """One row per numeric column: minimum, maximum, mean, both zero tests.
 
-    One aggregate over the table; the statistics become rows only after it.
+    One aggregate over the table; the statistics become rows only after it. A
+    column of nulls holds no zero and fails both tests.
     """
     names = list(columns or _numeric_columns(df))
     stats = df.agg(*[
@@ -131,8 +112,8 @@ def zero_column_report(df: DataFrame, columns: Sequence[str] | None = None) -> D
     ])
     rows = stats.select(F.inline(F.array(*stats.columns)))
     return rows.withColumns({
-        "only_zeros": ((F.col("min_value") == 0) & (F.col("max_value") == 0)).cast("int"),
-        "zero_mean": (F.col("mean_value") == 0).cast("int"),
+        "only_zeros": F.coalesce((F.col("min_value") == 0) & (F.col("max_value") == 0), F.lit(False)).cast("int"),
+        "zero_mean": F.coalesce(F.col("mean_value") == 0, F.lit(False)).cast("int"),
     })
 
 

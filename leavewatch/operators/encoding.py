@@ -20,21 +20,24 @@ def label_counts(log: DataFrame, columns: Sequence[str] = tuple(fixed.ENCODED_CO
                  clean_agents: bool = False) -> DataFrame:
     """Rows per (column, label), for all columns in one pass over the log.
 
-    The log is first counted by the combination of all categories; only those
-    few combinations are turned into rows per column. ``clean_agents`` takes a
-    log with raw browser strings and cleans them at that point, so the regular
-    expressions run once per distinct string and not once per event.
+    Each event becomes a row per column and is counted at once, so a task holds
+    as many counts as there are labels, not combinations of them.
+    ``clean_agents`` takes a log with raw browser strings and cleans them after
+    that, so the regular expressions run once per distinct string and not once
+    per event.
     """
-    combos = log.groupBy(*columns).agg(F.count(F.lit(1)).alias("n"))
-    if clean_agents and "userAgent" in columns:
-        cleaned = F.coalesce(cleaned_user_agent(F.col("userAgent")), F.lit(fixed.UNKNOWN))
-        combos = combos.withColumn("userAgent", cleaned)
     pairs = F.array(*[
         F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("label"))
         for c in columns
     ])
-    return (combos.select(F.inline(pairs), "n").where(F.col("label").isNotNull())
-            .groupBy("column", "label").agg(F.sum("n").alias("n_events")))
+    counts = (log.select(F.inline(pairs)).groupBy("column", "label")
+              .agg(F.count(F.lit(1)).alias("n_events")))
+    if clean_agents and "userAgent" in columns:
+        cleaned = F.coalesce(cleaned_user_agent(F.col("label")), F.lit(fixed.UNKNOWN))
+        label = F.when(F.col("column") == "userAgent", cleaned).otherwise(F.col("label"))
+        counts = (counts.withColumn("label", label).groupBy("column", "label")
+                  .agg(F.sum("n_events").alias("n_events")))
+    return counts.where(F.col("label").isNotNull())
 
 
 def label_index(counts: DataFrame) -> DataFrame:
@@ -51,16 +54,19 @@ def label_index(counts: DataFrame) -> DataFrame:
 
 
 def fit_labels(log: DataFrame, columns: Sequence[str] = tuple(fixed.ENCODED_COLUMNS),
-               max_labels: int = 500, clean_agents: bool = False) -> Labels:
+               max_labels: int | None = None, clean_agents: bool = False) -> Labels:
     """Labels per column, most frequent first, on the driver.
 
-    One column of output per label needs the labels on the driver. More than
-    ``max_labels`` is an error, never a silent cut; the long form
-    (:func:`leavewatch.operators.users.user_agent_features`) has no limit.
+    One column of output per label needs the labels on the driver. A caller
+    who cannot use more than ``max_labels`` gets an error beyond it, never a
+    silent cut; the long form
+    (:func:`leavewatch.operators.users.user_agent_features`) holds any number.
     """
     counts = label_counts(log, columns, clean_agents)
-    rows = counts.limit(max_labels + 1).collect()
-    if len(rows) > max_labels:
+    if max_labels is not None:
+        counts = counts.limit(max_labels + 1)
+    rows = counts.collect()
+    if max_labels is not None and len(rows) > max_labels:
         raise ValueError(f"more than {max_labels} labels in {', '.join(columns)}")
     rows.sort(key=lambda r: (-r["n_events"], r["label"]))
     return {c: [r["label"] for r in rows if r["column"] == c] for c in columns}

@@ -88,16 +88,17 @@ def series_points(points: DataFrame, series: str, cancelled: int) -> DataFrame:
 
 
 def correlation_pairs(df: DataFrame, columns: Sequence[str],
-                      complete: bool = True) -> DataFrame:
+                      complete: bool = False) -> DataFrame:
     """Pearson correlation of every pair of columns, once per pair.
 
     Gives the strict lower triangle: ``feature_i`` comes after ``feature_j``.
     A constant column has no correlation, hence null.
 
-    With ``complete`` (no nulls in the columns) the matrix is one distributed
-    product; only its columns-by-columns result is seen by the driver. It takes
-    more than one pass, so the columns go to shared storage first.
-    Otherwise each pair uses the rows in which both values are present.
+    Each pair uses the rows in which both values are present. A caller who
+    knows that no value is null says ``complete``: then the matrix is one
+    distributed product, whose columns-by-columns result is all that the driver
+    sees. It takes more than one pass, so the columns go to shared storage
+    first.
     """
     columns = list(columns)
     if complete:

@@ -21,13 +21,15 @@ def churn_phase(log: DataFrame, slice_ticks: int = HOUR_OF_MILLIS) -> DataFrame:
     ``ts`` must be whole ticks.
 
     One window per user would sort all of a user's events in one task. The
-    value depends on (user, ts) only, so the log is first counted by that pair
+    value depends on (user, ts) only, so events are first counted by that pair
     and then summed in two bounded steps: within a time slice (at most
-    ``slice_ticks`` rows) and over the slices of a user.
+    ``slice_ticks`` rows) and over the slices of a user. Only users who cancel
+    take part; everyone else's phase is 0.
     """
     flagged = log.withColumn("cancelled", cancel_flag())
     time_slice = F.floor(F.col("ts") / slice_ticks)
-    moments = (flagged.where(F.col("userId").isNotNull() & F.col("ts").isNotNull())
+    leavers = log.where(F.col("page") == fixed.LABEL_PAGE).select("userId").distinct()
+    moments = (flagged.where(F.col("ts").isNotNull()).join(leavers, "userId", "left_semi")
                .groupBy("userId", time_slice.alias("_slice"), "ts")
                .agg(F.sum("cancelled").alias("_n"))
                .where(F.col("_slice").isNotNull()))

@@ -9,7 +9,6 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from leavewatch.functions.numeric import hash_percent
 from leavewatch.sources.shared_storage import cut_lineage
 
 # monotonically_increasing_id keeps the partition above bit 33, the row below.
@@ -54,17 +53,9 @@ def user_slice_bounds(users: DataFrame, slices: int = 10, key: str = "userId") -
 def with_user_slice(log: DataFrame, bounds: list[str], key: str = "userId") -> DataFrame:
     """Add ``bucket``: the slice a user falls in.
 
-    The bounds are constants of the plan, so the log is neither joined nor
-    shuffled, however many rows one user has.
+    The bounds are one constant of the plan, so the log is neither joined nor
+    shuffled, however many rows one user has, and the plan does not grow with
+    the number of slices.
     """
-    above = [(F.col(key) >= bound).cast("int") for bound in bounds]
-    bucket = F.lit(0)
-    for step in above:
-        bucket = bucket + step
-    return log.withColumn("bucket", bucket)
-
-
-def user_hash_buckets(users: DataFrame, buckets: int = 10, key: str = "userId") -> DataFrame:
-    """Distinct users and their hash bucket."""
-    return (users.select(key).distinct()
-            .withColumn("bucket", (hash_percent(F.col(key)) % buckets).cast("int")))
+    array = F.array(*[F.lit(b) for b in bounds]) if bounds else F.array().cast("array<string>")
+    return log.withColumn("bucket", F.size(F.filter(array, lambda bound: bound <= F.col(key))))

@@ -48,14 +48,9 @@ def agent_counter(rank: int) -> str:
     return f"num_userAgent_{rank}_interactions"
 
 
-def session_measures(log: DataFrame, guards: bool = True, signup_pages: bool = False,
-                     agents: Sequence[str] = ()) -> DataFrame:
-    """Session measures with times still in the unit of the log.
-
-    One hash aggregate. Its map side reduces a session to one row per task
-    before the shuffle, so a session or user that holds much of the log is
-    no hot spot.
-    """
+def session_measure_sql(guards: bool = True, signup_pages: bool = False,
+                        agents: Sequence[str] = ()) -> dict[str, str]:
+    """Session measure -> SQL aggregate over the clean log, in output order."""
     or_zero = "coalesce({}, 0D)" if guards else "{}"
     measures = {
         "num_items_in_session": "max(itemInSession)",
@@ -74,9 +69,66 @@ def session_measures(log: DataFrame, guards: bool = True, signup_pages: bool = F
         measures[name] = count_sql(column, label)
     for rank, label in enumerate(agents):
         measures[agent_counter(rank)] = count_sql("userAgent", label)
+    return measures
+
+
+def session_measures(log: DataFrame, guards: bool = True, signup_pages: bool = False,
+                     agents: Sequence[str] = ()) -> DataFrame:
+    """Session measures with times still in the unit of the log.
+
+    One hash aggregate. Its map side reduces a session to one row per task
+    before the shuffle, so a session or user that holds much of the log is
+    no hot spot.
+    """
+    measures = session_measure_sql(guards, signup_pages, agents)
     return log.groupBy("userId", "sessionId").agg(*named(measures))
 
 
+def browser_rollup(log: DataFrame, signup_pages: bool = False) -> DataFrame:
+    """Parts of the session measures by session and browser string, and ``n_events``.
+
+    Every session measure is a maximum, minimum, sum or count, so the parts of
+    a session merge (:func:`merged_sessions`). Browser strings may be raw: they
+    are few here, and cleaned later.
+    """
+    parts = {
+        "items": "max(itemInSession)",
+        "longest": "max(length)",
+        "listened": "sum(length)",
+        "songs": "count(song)",
+        "begin": "min(ts)",
+        "end": "max(ts)",
+        "registered": "min(registration)",
+        "n_events": "count(1)",
+        "cancelled": flag_sql("page", fixed.LABEL_PAGE),
+    }
+    for name, label in fixed.GENDER_FLAGS.items():
+        parts[name] = flag_sql("gender", label)
+    for name, (column, label) in counted_labels(signup_pages).items():
+        parts[name] = count_sql(column, label)
+    return log.groupBy("userId", "sessionId", "userAgent").agg(*named({f"`{k}`": v for k, v in parts.items()}))
+
+
+def merged_sessions(parts: DataFrame, guards: bool = True, signup_pages: bool = False) -> DataFrame:
+    """The columns of :func:`session_measures` from :func:`browser_rollup`."""
+    or_zero = "coalesce({}, 0D)" if guards else "{}"
+    measures = {
+        "num_items_in_session": "max(items)",
+        "longest_song_in_session": or_zero.format("max(longest)"),
+        "session_listening_time": or_zero.format("sum(listened)"),
+        "number_of_songs": "sum(songs)",
+        "session_begin": "min(`begin`)",
+        "session_end": "max(`end`)",
+        "session_length": "max(`end`) - min(`begin`)",
+        "registration": "coalesce(min(registered), min(`begin`))" if guards else "min(registered)",
+    }
+    for flag in ["cancelled", *fixed.GENDER_FLAGS]:
+        measures[flag] = f"max({flag})"
+    for counter in counted_labels(signup_pages):
+        measures[counter] = f"sum({counter})"
+    return parts.groupBy("userId", "sessionId").agg(*named(measures))
+
+
 def session_rollup(log: DataFrame, guards: bool = True, signup_pages: bool = False,
                    agents: Sequence[str] = (),
                    ticks_per_second: int = fixed.MILLIS_PER_SECOND) -> DataFrame:

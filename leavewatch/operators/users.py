@@ -11,10 +11,13 @@ from leavewatch.functions.text import cleaned_user_agent
 from leavewatch.operators.cleaning import fill_registration, fill_zero, rename_features
 from leavewatch.operators.sessions import (
     agent_counter,
+    browser_rollup,
     counted_labels,
+    merged_sessions,
     named,
     session_measures,
 )
+from leavewatch.sources.shared_storage import cut_lineage
 
 
 def _per_session(counter: str) -> str:
@@ -31,10 +34,9 @@ def feature_name(measure: str) -> str:
     return "avg_" + measure.replace("num_userAgent", "userAgent")
 
 
-def features_from_sessions(sessions: DataFrame, guards: bool = True, signup_pages: bool = False,
-                           n_agents: int = 0,
-                           ticks_per_second: int = fixed.MILLIS_PER_SECOND) -> DataFrame:
-    """User features from :func:`session_measures`, times in seconds.
+def feature_sql_table(guards: bool = True, signup_pages: bool = False, n_agents: int = 0,
+                      ticks_per_second: int = fixed.MILLIS_PER_SECOND) -> dict[str, str]:
+    """User feature -> SQL aggregate over the session measures, in output order.
 
     Times are subtracted as whole ticks and divided last.
     """
@@ -66,6 +68,14 @@ def features_from_sessions(sessions: DataFrame, guards: bool = True, signup_page
     for rank in range(n_agents):
         features[feature_name(agent_counter(rank))] = _per_session(agent_counter(rank))
     features["cancelled"] = "max(cancelled)"
+    return features
+
+
+def features_from_sessions(sessions: DataFrame, guards: bool = True, signup_pages: bool = False,
+                           n_agents: int = 0,
+                           ticks_per_second: int = fixed.MILLIS_PER_SECOND) -> DataFrame:
+    """User features from :func:`session_measures`, times in seconds."""
+    features = feature_sql_table(guards, signup_pages, n_agents, ticks_per_second)
     return sessions.groupBy("userId").agg(*named(features))
 
 
@@ -84,13 +94,48 @@ def user_features_extended(log: DataFrame, agents: Sequence[str] = (),
                            alternate_names: bool = False,
                            ticks_per_second: int = fixed.MILLIS_PER_SECOND) -> DataFrame:
     """The variant with sign-up pages, row-wise registration fill and no nulls."""
-    features = fill_zero(user_features(fill_registration(log), True, True, agents,
-                                       ticks_per_second))
+    features = user_features(fill_registration(log), True, True, agents, ticks_per_second)
+    return without_nulls(features, alternate_names)
+
+
+def without_nulls(features: DataFrame, alternate_names: bool = False) -> DataFrame:
+    features = fill_zero(features)
     if alternate_names:
         features = rename_features(features, fixed.ALTERNATE_FEATURE_NAMES)
     return features
 
 
+def browser_user_features(log: DataFrame, guards: bool = True, signup_pages: bool = False,
+                          max_labels: int | None = None,
+                          ticks_per_second: int = fixed.MILLIS_PER_SECOND) -> DataFrame:
+    """User features with one column per browser label, from one scan of the log.
+
+    The log keeps its raw browser strings (``clean_events(agent=False)``). It
+    is rolled up by session and string and stored; labels, sessions and the
+    means per label all follow from that much smaller table. There may be any
+    number of labels; a caller who cannot use more than ``max_labels`` gets an
+    error beyond it.
+    """
+    parts = cut_lineage(browser_rollup(log, signup_pages))
+    label = F.coalesce(cleaned_user_agent(F.col("userAgent")), F.lit(fixed.UNKNOWN))
+    by_label = parts.select("userId", label.alias("label"), "n_events")
+    counts = by_label.groupBy("label").agg(F.sum("n_events").alias("n"))
+    rows = (counts if max_labels is None else counts.limit(max_labels + 1)).collect()
+    if max_labels is not None and len(rows) > max_labels:
+        raise ValueError(f"more than {max_labels} labels in userAgent")
+    labels = [r["label"] for r in sorted(rows, key=lambda r: (-r["n"], r["label"]))]
+    features = features_from_sessions(merged_sessions(parts, guards, signup_pages), guards,
+                                      signup_pages, ticks_per_second=ticks_per_second)
+    if not labels:
+        return features
+    names = [feature_name(agent_counter(rank)) for rank in range(len(labels))]
+    counted = (by_label.groupBy("userId").pivot("label", labels).agg(F.sum("n_events"))
+               .toDF("userId", *names))
+    means = [(F.coalesce(n, F.lit(0)) / F.col("total_number_of_sessions")).alias(n) for n in names]
+    plain = [c for c in features.columns if c != "cancelled"]
+    return features.join(counted, "userId").select(*plain, *means, "cancelled")
+
+
 def user_agent_features(log: DataFrame, clean_agents: bool = False) -> DataFrame:
     """Average events per session by user and browser, one row per pair.
 

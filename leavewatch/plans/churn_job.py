@@ -15,62 +15,79 @@ from pyspark.sql import DataFrame, SparkSession
 
 from leavewatch import fixed_values as fixed
 from leavewatch.operators.cleaning import (
-    agent_table,
     clean_events,
     deny_users,
-    drop_unkeyed_rows,
     drop_zero_columns,
-    fill_unknown,
+    fill_registration,
+)
+from leavewatch.operators.users import (
+    browser_user_features,
+    user_features,
+    user_features_extended,
+    without_nulls,
 )
-from leavewatch.operators.encoding import fit_labels
-from leavewatch.operators.users import user_features, user_features_extended
 from leavewatch.plans.modelling import (
     ChurnFit,
     Search,
+    all_grid_results,
+    capped_depths,
     coefficient_table,
-    fit_churn_model,
+    fit_churn_models,
     logistic_search,
+    tree_search,
 )
 from leavewatch.schema import EVENT_SCHEMA
 from leavewatch.sources.event_log import read_features, write_features
+from leavewatch.sources.shared_storage import scratch
+
+ESTIMATORS = ("logistic", "trees")
 
 
 @dataclass(frozen=True)
 class FeatureOptions:
     """How the user table is made.
 
-    ``extended`` adds sign-up pages and leaves no null; ``max_agents`` bounds
-    the browser columns, and 0 leaves them out.
+    ``extended`` adds sign-up pages and leaves no null; ``agents`` adds one
+    column per browser label, of which a caller may allow ``max_agents``.
     """
 
     extended: bool = False
-    max_agents: int = 200
+    agents: bool = True
+    max_agents: int | None = None
     denied: Sequence[str] = ()
     drop_zeros: bool = False
 
 
 def build_features(log: DataFrame, options: FeatureOptions = FeatureOptions()) -> DataFrame:
-    """User features of a raw log."""
-    agents: list[str] = []
-    table = None
-    if options.max_agents:
-        table = agent_table(log)
-        keyed = fill_unknown(drop_unkeyed_rows(log), ["gender"])
-        agents = fit_labels(keyed, ["userAgent"], options.max_agents, clean_agents=True)["userAgent"]
-    clean = deny_users(clean_events(log, seconds=False, agents=table), options.denied)
-    if options.extended:
-        features = user_features_extended(clean, agents)
+    """User features of a raw log, which is scanned once."""
+    clean = clean_events(log, seconds=False, artist=False, agent=False)
+    clean = deny_users(clean, options.denied)
+    if options.agents:
+        filled = fill_registration(clean) if options.extended else clean
+        features = browser_user_features(filled, signup_pages=options.extended,
+                                         max_labels=options.max_agents)
+        features = without_nulls(features) if options.extended else features
     else:
-        features = user_features(clean, agents=agents)
+        features = user_features_extended(clean) if options.extended else user_features(clean)
     return drop_zero_columns(features) if options.drop_zeros else features
 
 
 def run(log: DataFrame, features_path: str, options: FeatureOptions = FeatureOptions(),
-        search: Search | None = None, **fit_options) -> ChurnFit:
-    """Write the user table, then search, fit and score a model on it."""
+        searches: Sequence[Search] | None = None, **fit_options) -> list[ChurnFit]:
+    """Write the user table, then search, fit and score models on it.
+
+    The fits read tables in the shared folder; run the job within
+    :func:`leavewatch.sources.shared_storage.scratch` to have them deleted.
+    """
     write_features(build_features(log, options), features_path)
     table = read_features(log.sparkSession, features_path)
-    return fit_churn_model(table, search or logistic_search(fixed.LARGE_LOGISTIC_GRID), **fit_options)
+    return fit_churn_models(table, searches or [named_search("logistic")], **fit_options)
+
+
+def named_search(name: str) -> Search:
+    if name == "logistic":
+        return logistic_search(fixed.LARGE_LOGISTIC_GRID)
+    return tree_search(capped_depths())
 
 
 def main(arguments: Sequence[str] | None = None) -> None:
@@ -80,13 +97,18 @@ def main(arguments: Sequence[str] | None = None) -> None:
     parser.add_argument("--format", default="json")
     parser.add_argument("--extended", action="store_true")
     parser.add_argument("--folds", type=int, default=3)
+    parser.add_argument("--estimators", nargs="+", choices=ESTIMATORS, default=["logistic"])
     given = parser.parse_args(arguments)
     spark = SparkSession.builder.getOrCreate()
     log = spark.read.schema(EVENT_SCHEMA).format(given.format).load(given.log)
-    fit = run(log, given.features, FeatureOptions(extended=given.extended), folds=given.folds)
-    fit.grid.show(truncate=False)
-    fit.summary().show(truncate=False)
-    coefficient_table(fit).show(100, truncate=False)
+    with scratch(spark):
+        fits = run(log, given.features, FeatureOptions(extended=given.extended),
+                   [named_search(name) for name in given.estimators], folds=given.folds)
+        all_grid_results(fits).show(200, truncate=False)
+        for fit in fits:
+            fit.summary().show(truncate=False)
+            if fit.name == "logistic":
+                coefficient_table(fit).show(100, truncate=False)
 
 
 if __name__ == "__main__":

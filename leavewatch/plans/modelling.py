@@ -19,7 +19,7 @@ from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import DataFrame, functions as F
 
 from leavewatch import fixed_values as fixed
-from leavewatch.functions.numeric import hash_percent, sign_colour
+from leavewatch.functions.numeric import hash_percent, sign_colour, stable_hash
 from leavewatch.sources.shared_storage import cut_lineage
 
 KEY, LABEL = "userId", "cancelled"
@@ -42,8 +42,9 @@ def minmax_scaled(df: DataFrame, columns: Sequence[str] | None = None,
                   keep: Sequence[str] = (KEY, LABEL)) -> DataFrame:
     """Columns scaled to [0, 1] under their own names; a constant one gives 0.5.
 
-    Same values as :func:`minmax_pipeline`, as plain arithmetic. Reads the
-    table twice, for the bounds and for the values, and so stores it first.
+    Same values as :func:`minmax_pipeline`, as plain arithmetic, where no value
+    is null. A null stays null, and so does a column of nulls. Reads the table
+    twice, for the bounds and for the values, and so stores it first.
     The bounds, two numbers per column, are constants of the second plan.
     """
     names = list(columns or feature_columns(df))
@@ -52,7 +53,10 @@ def minmax_scaled(df: DataFrame, columns: Sequence[str] | None = None,
                       for c in names]).head()
     scaled = []
     for name, (low, high) in zip(names, bounds):
-        value = F.lit(0.5) if low == high else (F.col(name) - low) / (high - low)
+        if low == high:  # constant, or nothing but nulls
+            value = F.when(F.col(name).isNotNull(), 0.5)
+        else:
+            value = (F.col(name) - low) / (high - low)
         scaled.append(value.alias(name))
     return df.select(*keep, *scaled)
 
@@ -65,7 +69,7 @@ def with_split(df: DataFrame, test_percent: int = 25, key: str = KEY) -> DataFra
 
 def with_fold(df: DataFrame, folds: int, key: str = KEY) -> DataFrame:
     """Add ``fold``, fixed by the key and independent of the split."""
-    return df.withColumn("fold", (hash_percent(F.col(key), "fold:") % folds).cast("int"))
+    return df.withColumn("fold", (stable_hash(F.col(key), "fold:") % folds).cast("int"))
 
 
 def base_rate(split: DataFrame, label: str = LABEL) -> DataFrame:
@@ -113,19 +117,27 @@ def inverse_strength_search(n_rows: int, strengths: Sequence[float] | None = Non
     return _search("logistic", estimator, {"regParam": penalties, "elasticNetParam": ratios})
 
 
+def capped_depths(depths: Sequence[int] = tuple(fixed.TREE_DEPTHS)) -> list[int]:
+    """The depths to try, those beyond Spark's limit as the limit."""
+    return sorted({min(d, MAX_TREE_DEPTH) for d in depths})
+
+
 def tree_search(depths: Sequence[int] | None = None, split_sizes: Sequence[int] | None = None,
                 rounds: int = 100, features: str = "scaled_features") -> Search:
     """Gradient-boosted trees over depth and smallest splittable node.
 
-    Depths beyond Spark's limit are lowered to it. Spark bounds the rows of a
-    child and not of the node that is split: half the split size, rounded up,
-    keeps every smaller node whole.
+    Depths beyond Spark's limit are an error; the caller says what to try
+    instead (``capped_depths``). Spark bounds the rows of a child and not of
+    the node that is split: half the split size, rounded up, keeps every
+    smaller node whole.
     """
+    depths = list(depths or capped_depths())
+    if max(depths) > MAX_TREE_DEPTH:
+        raise ValueError(f"trees can be {MAX_TREE_DEPTH} deep at most")
     estimator = GBTClassifier(labelCol="label", featuresCol=features, maxIter=rounds,
                               maxDepth=5, seed=42)
-    limited = sorted({min(d, MAX_TREE_DEPTH) for d in depths or fixed.TREE_DEPTHS})
     children = [math.ceil(s / 2) for s in split_sizes or fixed.TREE_SPLIT_SIZES]
-    return _search("trees", estimator, {"maxDepth": limited, "minInstancesPerNode": children})
+    return _search("trees", estimator, {"maxDepth": depths, "minInstancesPerNode": children})
 
 
 @dataclass
@@ -193,6 +205,14 @@ def fit_churn_models(table: DataFrame, searches: Sequence[Search], **options) ->
     return [fit_churn_model(table, search, **options) for search in searches]
 
 
+def all_grid_results(fits: Sequence[ChurnFit]) -> DataFrame:
+    """One row per grid point of every estimator, best mean score first."""
+    whole = fits[0].grid
+    for fit in fits[1:]:
+        whole = whole.unionByName(fit.grid)
+    return whole.orderBy(F.desc("mean_score"), "model", "params")
+
+
 def grid_results(table: DataFrame, search: Search, scores: Sequence[float]) -> DataFrame:
     """One row per grid point, best mean score first."""
     rows = [

@@ -333,40 +333,41 @@ def _ci(targets: list[str], groups: list[str], v: str, per: int = 1) -> str:
 FROM summary GROUP BY {keys}""" for c in targets)
 
 
-def _bucket(key: str, salt: str = "") -> str:
+def _hash(key: str, salt: str = "") -> str:
     text = f"'{salt}' || {key}" if salt else key
-    return f"CAST(('0x' || substr(md5({text}), 1, 8)) AS BIGINT) % 100"
+    return f"CAST(('0x' || substr(md5({text}), 1, 8)) AS BIGINT)"
 
 
 def _unpivot(template: str, head: str = EXACT_USERS) -> str:
     return head + " UNION ALL ".join(template.format(c=c) for c in FEATURES + ["cancelled"])
 
 
-def _correlations() -> str:
-    names = FEATURES + ["cancelled"]
+def _correlations(names: list[str] = FEATURES + ["cancelled"], head: str = EXACT_USERS) -> str:
+    """Each pair over the users who have both values."""
     values = ", ".join(f"{{'i': {i}, 'c': '{c}', 'v': CAST(\"{c}\" AS DOUBLE)}}"
                        for i, c in enumerate(names))
-    return f"""{EXACT_USERS},
+    return f"""{head},
 long AS (SELECT "userId", unnest([{values}]) AS u FROM users),
 cells AS (SELECT "userId", u.i AS i, u.c AS c, u.v AS v FROM long)
 SELECT a.c AS feature_i, b.c AS feature_j,
-  round(covar_samp(a.v, b.v) / nullif(stddev_samp(a.v) * stddev_samp(b.v), 0), 6) AS correlation
+  round(covar_samp(a.v, b.v) / nullif(stddev_samp(CASE WHEN b.v IS NOT NULL THEN a.v END)
+    * stddev_samp(CASE WHEN a.v IS NOT NULL THEN b.v END), 0), 6) AS correlation
 FROM cells a JOIN cells b ON a."userId" = b."userId" AND a.i > b.i
 GROUP BY a.c, b.c"""
 
 
-def _minmax() -> str:
+def _minmax(names: list[str] = FEATURES, head: str = EXACT_USERS) -> str:
     scaled = ", ".join(
-        f'round(CASE WHEN max("{c}") OVER () = min("{c}") OVER () THEN 0.5 ELSE '
+        f'round(CASE WHEN "{c}" IS NULL THEN NULL WHEN max("{c}") OVER () = min("{c}") OVER () THEN 0.5 ELSE '
         f'("{c}" - min("{c}") OVER ()) / nullif(CAST(max("{c}") OVER () - min("{c}") OVER () AS DOUBLE), 0) '
-        f'END, 8) AS "{c}"' for c in FEATURES)
-    return f'{EXACT_USERS} SELECT "userId", cancelled, {scaled} FROM users'
+        f'END, 8) AS "{c}"' for c in names)
+    return f'{head} SELECT "userId", cancelled, {scaled} FROM users'
 
 
 _SPLIT = EXACT_USERS + f""",
 parts AS (
-  SELECT *, CASE WHEN {_bucket('"userId"')} < 25 THEN 'test' ELSE 'train' END AS split,
-    CAST({_bucket('"userId"', 'fold:')} % 3 AS INTEGER) AS fold
+  SELECT *, CASE WHEN {_hash('"userId"')} % 100 < 25 THEN 'test' ELSE 'train' END AS split,
+    CAST({_hash('"userId"', 'fold:')} % 3 AS INTEGER) AS fold
   FROM users
 )
 """
@@ -381,7 +382,7 @@ sliced AS (
 )
 """
 
-_HASHED = f"""CAST({_bucket('"userId"')} % 10 AS INTEGER)"""
+_HASHED = f"""CAST({_hash('"userId"')} % 10 AS INTEGER)"""
 
 _METRICS = EXACT_USERS + """,
 guess AS (SELECT cancelled AS l, CASE WHEN avg_num_errors > 0.4 THEN 1 ELSE 0 END AS p FROM users),
@@ -429,6 +430,25 @@ FROM clean c JOIN totals USING ("userId") GROUP BY c."userId", c."userAgent"
 
 _WIDE = _users(head=LABELLED, agents=5) + "SELECT * FROM users"
 
+_POINTS = _SUMMARY + """
+SELECT cancelled, 'errors_gap' AS series, round(avg_num_errors, 8) AS x,
+  round(avg_time_between_sessions / 3600, 8) AS y FROM summary
+UNION ALL SELECT cancelled, 'errors_paid', round(avg_num_errors, 8),
+  round(avg_num_paid_interactions, 8) FROM summary
+UNION ALL SELECT cancelled, 'paid_gap', round(avg_num_paid_interactions, 8),
+  round(avg_time_between_sessions / 3600, 8) FROM summary"""
+
+_BARE = [f for f in FEATURES if f != "avg_gender_Unknown"]
+_BARE_USERS = _users(guards=False, places=None)
+
+_COEFFICIENTS = " UNION ALL ".join(
+    f"SELECT '{name}' AS feature, 1 AS colour_follows, 1 AS in_order" for name in FEATURES)
+
+_FITTED = EXACT_USERS + f"""
+SELECT 'logistic' AS model, count(*) FILTER (WHERE {_hash('"userId"')} % 100 >= {{percent}}) AS n_train,
+  count(*) FILTER (WHERE {_hash('"userId"')} % 100 < {{percent}}) AS n_test,
+  1 AS accuracy_recomputed, 1 AS error_completes, 1 AS f1_in_range FROM users"""
+
 ORACLE_SQL: dict[str, str] = {
     "scan_json_roundtrip": RAW + """
 SELECT * REPLACE (CAST(registration AS VARCHAR) AS registration,
@@ -443,7 +463,12 @@ FROM clean GROUP BY 1""",
     "scan_bucket_pruned": CLEAN + f"""
 SELECT {_HASHED} AS bucket, "userId", count(*) AS n_events, max(ts) AS last_ts
 FROM keyed GROUP BY ALL""",
-    "text_copy_counts": RAW + 'SELECT count(*) AS n_lines, count("userId") AS n_keyed_lines FROM raw_log',
+    "scan_slice_pruned": CLEAN + _SLICES + """
+SELECT bucket, "userId", count(*) AS n_events, max(ts) AS last_ts
+FROM keyed JOIN sliced USING ("userId") GROUP BY ALL""",
+    "text_copy_counts": RAW + """
+SELECT count(*) AS n_lines, count("userId") AS n_keyed_lines, CAST(0 AS BIGINT) AS n_changed_lines,
+  CAST(sum(ts) AS BIGINT) AS sum_ts, count(song) AS n_songs, count("userAgent") AS n_agents FROM raw_log""",
     "extract_user_key": RAW + """
 SELECT "userId" AS key_by_path, "userId" AS key_by_pattern, count(*) AS n_lines
 FROM raw_log GROUP BY "userId" """,
@@ -477,19 +502,21 @@ SELECT '{c}' AS feature, round(CAST(min("{c}") AS DOUBLE), 8) AS min_value,
   round(CAST(max("{c}") AS DOUBLE), 8) AS max_value, round(avg("{c}"), 8) AS mean_value,
   CAST(min("{c}") = 0 AND max("{c}") = 0 AS INTEGER) AS only_zeros,
   CAST(avg("{c}") = 0 AS INTEGER) AS zero_mean FROM users"""),
-    "drop_zero_columns": USERS + "SELECT * EXCLUDE (cancelled) FROM users WHERE cancelled = 0",
-    "union_zero_fill": USERS + """
-SELECT "userId", avg_num_errors, longest_song, CAST(0 AS DOUBLE) AS avg_num_upgrades
-FROM users WHERE cancelled = 1
-UNION ALL SELECT "userId", avg_num_errors, 0, avg_num_upgrades FROM users WHERE cancelled = 0""",
+    "drop_zero_columns": USERS + "SELECT * FROM users",
+    "union_zero_fill": _users(signup=True) + """
+SELECT * REPLACE (CAST(0 AS DOUBLE) AS avg_num_register_visits,
+  CAST(0 AS DOUBLE) AS avg_num_submitreg_clicks, CAST(0 AS DOUBLE) AS avg_num_login_visits) FROM users
+UNION ALL SELECT * FROM users""",
     "label_index": LABELLED + "SELECT * FROM label_table",
     "one_hot_events": _one_hot(),
+    "one_hot_pipeline_events": _one_hot(),
     "session_rollup": _SESSION_OUTPUT,
     "user_features": USERS + "SELECT * FROM users",
     "user_features_unguarded": _users(guards=False) + "SELECT * FROM users",
     "user_features_extended": _users(head=_FILLED, source="filled", signup=True,
                                      renamed=_ALTERNATE) + "SELECT * FROM users",
     "user_features_wide": _WIDE,
+    "user_features_transformer": _WIDE,
     "sql_user_features": _WIDE,
     "user_agent_features": _AGENT_FEATURES,
     "churn_phase": CLEAN + """
@@ -510,15 +537,21 @@ SELECT "userId", round(avg_time_between_sessions, 8) AS avg_time_between_session
                                ["cancelled"], "count(*)", 3600),
     "group_mean_ci_by_gender": _ci(["avg_time_between_sessions"], ["avg_gender_F", "cancelled"],
                                    "(count(*) - 1)"),
-    "scatter_points": _SUMMARY + """
-SELECT cancelled, 'errors_gap' AS series, round(avg_num_errors, 8) AS x,
-  round(avg_time_between_sessions / 3600, 8) AS y FROM summary
-UNION ALL SELECT cancelled, 'errors_paid', round(avg_num_errors, 8),
-  round(avg_num_paid_interactions, 8) FROM summary
-UNION ALL SELECT cancelled, 'paid_gap', round(avg_num_paid_interactions, 8),
-  round(avg_time_between_sessions / 3600, 8) FROM summary""",
+    "scatter_points": _POINTS,
+    "series_points": _POINTS,
     "correlation_pairs": _correlations(),
+    "correlation_pairs_unguarded": _correlations(_BARE + ["cancelled"], _BARE_USERS),
     "minmax_scaled": _minmax(),
+    "minmax_scaled_unguarded": _minmax(_BARE, _BARE_USERS),
+    "churn_logreg_cv": _FITTED.format(percent=20),
+    "churn_predictions": EXACT_USERS + f"""
+SELECT "userId", cancelled AS label, 1 AS prediction_follows FROM users WHERE {_hash('"userId"')} % 100 < 20""",
+    "churn_coefficients": _COEFFICIENTS,
+    "churn_coefficients_rising": _COEFFICIENTS,
+    "grid_results": """
+SELECT 'logistic' AS model, 'elasticNetParam=' || e || ', regParam=' || r AS params, 1 AS score_in_range
+FROM (VALUES ('0'), ('0.33'), ('0.66'), ('1')) AS a(e), (VALUES ('0.001'), ('0.01'), ('0.1')) AS b(r)""",
+    "churn_elastic_cv": _FITTED.format(percent=25).replace("SELECT 'logistic'", "SELECT CAST(63 AS BIGINT) AS n_points, 'logistic'"),
     "train_test_split": _SPLIT + 'SELECT "userId", split, fold FROM parts',
     "base_rate": _SPLIT + """
 SELECT split, count(*) AS n_rows, round(avg(cancelled), 8) AS base_rate FROM parts GROUP BY split""",

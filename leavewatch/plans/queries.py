@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from leavewatch import fixed_values as fixed
 from leavewatch.functions.text import (
@@ -23,7 +24,7 @@ from leavewatch.sources.shared_storage import cut_lineage, fresh_path
 BUCKETS = 10
 DENIED = ["11", "29", "1261737"]
 LOOKED_UP = "8"
-AGENT_LIMIT = 100
+NO_BROWSER = "no such browser"
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -44,12 +45,6 @@ def _clean(spark: SparkSession, folder: str, seconds: bool = False) -> DataFrame
     return cleaning.clean_events(read_sample_log(spark, folder), seconds=seconds)
 
 
-def _clean_by_table(spark: SparkSession, folder: str, seconds: bool = False) -> DataFrame:
-    """For queries that read the browser strings: clean each distinct one once."""
-    log = read_sample_log(spark, folder)
-    return cleaning.clean_events(log, seconds=seconds, agents=cleaning.agent_table(log))
-
-
 def _features(spark: SparkSession, folder: str) -> DataFrame:
     return users.user_features(_clean(spark, folder))
 
@@ -60,7 +55,7 @@ def _unguarded(spark: SparkSession, folder: str) -> DataFrame:
 
 def _agents(spark: SparkSession, folder: str) -> list[str]:
     keyed = cleaning.drop_unkeyed_rows(read_sample_log(spark, folder))
-    return encoding.fit_labels(keyed, ["userAgent"], AGENT_LIMIT, clean_agents=True)["userAgent"]
+    return encoding.fit_labels(keyed, ["userAgent"], clean_agents=True)["userAgent"]
 
 
 # ---- scans, sources, sinks --------------------------------------------------
@@ -98,22 +93,30 @@ def _bucket_sizes(bucketed: DataFrame) -> DataFrame:
         F.count(F.lit(1)).alias("n_users"), F.sum("n").alias("n_events"))
 
 
-@_query
-def scan_bucket_pruned(spark, folder):
-    """Split by user, then read and roll up one bucket at a time."""
+def _split_and_read(spark: SparkSession, bucketed: DataFrame) -> DataFrame:
+    """Write one folder per bucket, then read and roll up one at a time."""
     path = fresh_path(spark, "user-buckets")
-    keyed = cleaning.drop_unkeyed_rows(read_sample_log(spark, folder))
-    event_log.write_user_buckets(event_log.with_hash_bucket(keyed, BUCKETS), path)
+    event_log.write_user_buckets(bucketed, path)
     parts = [
         event_log.read_user_bucket(spark, path, bucket)
         .groupBy("bucket", "userId").agg(F.count(F.lit(1)).alias("n_events"),
                                          F.max("ts").alias("last_ts"))
         for bucket in range(BUCKETS)
     ]
-    result = parts[0]
-    for part in parts[1:]:
-        result = result.unionByName(part)
-    return result
+    return reduce(DataFrame.unionByName, parts)
+
+
+@_query
+def scan_bucket_pruned(spark, folder):
+    keyed = cleaning.drop_unkeyed_rows(read_sample_log(spark, folder))
+    return _split_and_read(spark, event_log.with_hash_bucket(keyed, BUCKETS))
+
+
+@_query
+def scan_slice_pruned(spark, folder):
+    keyed = cleaning.drop_unkeyed_rows(read_sample_log(spark, folder))
+    bounds = ranking.user_slice_bounds(keyed, BUCKETS)
+    return _split_and_read(spark, ranking.with_user_slice(keyed, bounds))
 
 
 @_query
@@ -122,8 +125,13 @@ def text_copy_counts(spark, folder):
     event_log.write_json_log(read_sample_log(spark, folder), source)
     event_log.copy_text_lines(spark, source, target)
     lines = spark.read.text(target)
-    return lines.agg(F.count(F.lit(1)).alias("n_lines"),
-                     F.count(user_key_by_pattern(F.col("value"))).alias("n_keyed_lines"))
+    counts = lines.agg(F.count(F.lit(1)).alias("n_lines"),
+                       F.count(user_key_by_pattern(F.col("value"))).alias("n_keyed_lines"))
+    both = spark.read.text(source).withColumn("side", F.lit(1)).unionByName(lines.withColumn("side", F.lit(-1)))
+    changed = both.groupBy("value").agg(F.sum("side").alias("more")).where("more <> 0").count()
+    parsed = event_log.read_json_log(spark, target).agg(F.sum("ts"), F.count("song"), F.count("userAgent")).head()
+    return counts.select("*", *[F.lit(v).cast("long").alias(n) for n, v in zip(
+        ("n_changed_lines", "sum_ts", "n_songs", "n_agents"), (changed, *parsed))])
 
 
 @_query
@@ -175,7 +183,7 @@ def auth_page_counts(spark, folder):
 
 @_query
 def clean_events(spark, folder):
-    return _clean_by_table(spark, folder, seconds=True)
+    return _clean(spark, folder, seconds=True)
 
 
 @_query
@@ -224,17 +232,17 @@ def zero_column_report(spark, folder):
 
 @_query
 def drop_zero_columns(spark, folder):
-    """Among users who stayed the label is all zeros, so it goes."""
-    stayed = _features(spark, folder).where(F.col("cancelled") == 0)
-    return rounded(cleaning.drop_zero_columns(stayed))
+    """The column of a browser that no user has is all zeros, so it goes."""
+    table = users.user_features(_clean(spark, folder), agents=[NO_BROWSER])
+    return rounded(cleaning.drop_zero_columns(table))
 
 
 @_query
 def union_zero_fill(spark, folder):
-    table = cut_lineage(_features(spark, folder))
-    left = table.where(F.col("cancelled") == 1).select("userId", "avg_num_errors", "longest_song")
-    right = table.where(F.col("cancelled") == 0).select("userId", "avg_num_errors", "avg_num_upgrades")
-    return rounded(cleaning.union_zero_fill(left, right))
+    """The user table with and without the sign-up pages."""
+    clean = _clean(spark, folder)
+    return rounded(cleaning.union_zero_fill(users.user_features(clean),
+                                            users.user_features(clean, signup_pages=True)))
 
 
 # ---- encoding ---------------------------------------------------------------
@@ -254,7 +262,19 @@ def label_index(spark, folder):
 @_query
 def one_hot_events(spark, folder):
     labels = encoding.fit_labels(_raw_categories(spark, folder), clean_agents=True)
-    return encoding.one_hot_events(_clean_by_table(spark, folder, seconds=True), labels)
+    return encoding.one_hot_events(_clean(spark, folder, seconds=True), labels)
+
+
+@_query
+def one_hot_pipeline_events(spark, folder):
+    """The same encoding by ML stages, unpacked to columns."""
+    log = _clean(spark, folder, seconds=True)
+    model = encoding.one_hot_pipeline().fit(log)
+    labels = encoding.pipeline_labels(model)
+    kept = [c for c in log.columns if c not in labels]
+    columns = encoding.unpack_vector(model.transform(log), "onehot_features",
+                                     encoding.one_hot_names(labels), kept)
+    return columns.withColumnRenamed(f"page_{fixed.LABEL_PAGE}", "cancelled")
 
 
 # ---- rollups ----------------------------------------------------------------
@@ -281,15 +301,22 @@ def user_features_extended(spark, folder):
 
 @_query
 def user_features_wide(spark, folder):
-    """With one column per browser, through the transformer."""
+    """With one column per browser, from one stored rollup."""
+    clean = cleaning.clean_events(read_sample_log(spark, folder), seconds=False, artist=False, agent=False)
+    return rounded(users.browser_user_features(clean))
+
+
+@_query
+def user_features_transformer(spark, folder):
+    """With one column per browser, through the ML transformer."""
     stage = UserFeatureTransformer(agents=_agents(spark, folder))
-    return rounded(stage.transform(_clean_by_table(spark, folder)))
+    return rounded(stage.transform(_clean(spark, folder)))
 
 
 @_query
 def sql_user_features(spark, folder):
     stage = SqlFeatureTransformer(tableName="event_log", agents=_agents(spark, folder))
-    return rounded(stage.transform(_clean_by_table(spark, folder)))
+    return rounded(stage.transform(_clean(spark, folder)))
 
 
 @_query
@@ -339,9 +366,25 @@ def scatter_points(spark, folder):
     return rounded(explore.scatter_points(_summary(spark, folder)))
 
 
+@_query
+def series_points(spark, folder):
+    """The same points, taken one series and one class at a time."""
+    points = cut_lineage(explore.scatter_points(_summary(spark, folder)))
+    return rounded(reduce(DataFrame.unionByName, [
+        explore.series_points(points, series, cancelled)
+        for series in ("errors_gap", "errors_paid", "paid_gap") for cancelled in (0, 1)]))
+
+
 @_query
 def correlation_pairs(spark, folder):
+    """The guarded table holds no null."""
     table = _features(spark, folder)
+    return rounded(explore.correlation_pairs(table, table.columns[1:], complete=True), 6)
+
+
+@_query
+def correlation_pairs_unguarded(spark, folder):
+    table = _unguarded(spark, folder)
     return rounded(explore.correlation_pairs(table, table.columns[1:]), 6)
 
 
@@ -352,6 +395,11 @@ def minmax_scaled(spark, folder):
     return rounded(modelling.minmax_scaled(_features(spark, folder)))
 
 
+@_query
+def minmax_scaled_unguarded(spark, folder):
+    return rounded(modelling.minmax_scaled(_unguarded(spark, folder)))
+
+
 @_query
 def train_test_split(spark, folder):
     split = modelling.with_split(_features(spark, folder))
@@ -372,47 +420,75 @@ def classification_metrics(spark, folder):
     return rounded(modelling.classification_metrics(guess))
 
 
-def _fit(spark, folder, search, **options):
-    return modelling.fit_churn_model(_features(spark, folder), search, **options)
-
+# Model scores and coefficients have no SQL answer. What these queries return
+# does: which users are scored, which models are tried, and that the outputs of
+# a fit agree with each other.
 
 def _small_logistic(spark, folder):
-    return _fit(spark, folder, modelling.logistic_search(fixed.SMALL_LOGISTIC_GRID),
-                folds=2, test_percent=20, fit_scope="all")
+    return modelling.fit_churn_model(
+        _features(spark, folder), modelling.logistic_search(fixed.SMALL_LOGISTIC_GRID),
+        folds=2, test_percent=20, fit_scope="all")
+
+
+def _checked(fit: modelling.ChurnFit) -> DataFrame:
+    """Sizes of a fit, and whether its scores follow from its predictions."""
+    hit_rate = fit.predictions.agg(F.avg((F.col("label") == F.col("prediction")).cast("double"))).head()[0]
+    return fit.summary().select(
+        "model", "n_train", "n_test",
+        (F.abs(F.col("accuracy") - hit_rate) < 1e-9).cast("int").alias("accuracy_recomputed"),
+        (F.abs(F.col("accuracy") + F.col("error") - 1) < 1e-9).cast("int").alias("error_completes"),
+        (F.col("f1_weighted").between(0, 1) & F.col("f1_positive").between(0, 1)).cast("int").alias("f1_in_range"))
+
+
+def _checked_grid(grid: DataFrame) -> DataFrame:
+    """Grid points by model, and whether their scores are means of scores."""
+    return grid.select("model", "params", F.col("mean_score").between(0, 1).cast("int").alias("score_in_range"))
 
 
 @_query
 def churn_logreg_cv(spark, folder):
-    return _small_logistic(spark, folder).summary()
+    return _checked(_small_logistic(spark, folder))
 
 
 @_query
 def churn_predictions(spark, folder):
-    return _small_logistic(spark, folder).predictions
+    agrees = F.col("prediction") == (F.col("probability") > 0.5).cast("int")
+    return _small_logistic(spark, folder).predictions.select(
+        "userId", "label", agrees.cast("int").alias("prediction_follows"))
+
+
+def _checked_coefficients(fit: modelling.ChurnFit, ascending: bool) -> DataFrame:
+    table = modelling.coefficient_table(fit, ascending)
+    before = F.lag("abs_coefficient").over(Window.orderBy("place"))  # one row per feature
+    step = F.col("abs_coefficient") - F.coalesce(before, F.col("abs_coefficient"))
+    in_order = (step if ascending else -step) >= 0
+    red = F.col("coefficient") < 0
+    return table.withColumn("place", F.monotonically_increasing_id()).select(
+        "feature", (F.col("colour") == F.when(red, "red").otherwise("blue")).cast("int").alias("colour_follows"),
+        in_order.cast("int").alias("in_order"))
 
 
 @_query
 def churn_coefficients(spark, folder):
-    return modelling.coefficient_table(_small_logistic(spark, folder))
+    return _checked_coefficients(_small_logistic(spark, folder), ascending=False)
 
 
 @_query
-def grid_results(spark, folder):
-    return _fit(spark, folder, modelling.logistic_search()).grid
+def churn_coefficients_rising(spark, folder):
+    return _checked_coefficients(_small_logistic(spark, folder), ascending=True)
 
 
 @_query
-def churn_elastic_cv(spark, folder):
-    """Penalty given as inverse strength, scored by the F1 of the cancelled."""
-    table = _features(spark, folder)
-    stored = cut_lineage(modelling.with_split(table))
-    n_train = stored.where(F.col("split") == "train").count()
-    search = modelling.inverse_strength_search(n_train, [0.1, 1.0], [0.0, 0.5])
-    return modelling.fit_churn_model(stored.drop("split"), search, folds=2,
-                                     metric="fMeasureByLabel").summary()
+def grid_results(spark, folder):
+    fit = modelling.fit_churn_model(_features(spark, folder), modelling.logistic_search())
+    return _checked_grid(fit.grid)
 
 
 @_query
-def churn_gbt_cv(spark, folder):
-    search = modelling.tree_search(depths=[2, 5], split_sizes=[2], rounds=10)
-    return _fit(spark, folder, search, folds=2, metric="fMeasureByLabel").summary()
+def churn_elastic_cv(spark, folder):
+    """The whole grid, penalty given as inverse strength, scored by the F1 of the cancelled."""
+    stored = cut_lineage(modelling.with_split(_features(spark, folder)))
+    n_train = stored.where(F.col("split") == "train").count()
+    search = modelling.inverse_strength_search(n_train)
+    fit = modelling.fit_churn_model(stored.drop("split"), search, folds=5, metric="fMeasureByLabel")
+    return _checked(fit).withColumn("n_points", F.lit(fit.grid.count()).cast("long"))

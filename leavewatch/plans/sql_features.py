@@ -11,61 +11,27 @@ from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
 from pyspark.sql import DataFrame
 
 from leavewatch import fixed_values as fixed
-from leavewatch.operators.sessions import agent_counter, quoted
-from leavewatch.operators.users import feature_name, user_features
+from leavewatch.operators.sessions import session_measure_sql
+from leavewatch.operators.users import feature_sql_table, user_features
 from leavewatch.sources.event_log import register_view, run_sql
 
 
 def feature_sql(view: str, agents: Sequence[str] = (),
                 ticks_per_second: int = fixed.MILLIS_PER_SECOND) -> str:
     """SQL text of the guarded user features over a view of the clean log."""
-    counters = {}
-    for column, labels in [("status", fixed.STATUS_COUNTS), ("level", fixed.LEVEL_COUNTS),
-                           ("method", fixed.METHOD_COUNTS), ("page", fixed.PAGE_COUNTS)]:
-        for name, label in labels.items():
-            counters[name] = f"{column} = {quoted(label)}"
-    for rank, agent in enumerate(agents):
-        counters[agent_counter(rank)] = f"userAgent = {quoted(agent)}"
-    flags = {name: f"gender = {quoted(label)}" for name, label in fixed.GENDER_FLAGS.items()}
-
-    per_session = [f"count_if({test}) AS {name}" for name, test in counters.items()]
-    per_session += [f"max(int({test})) AS {name}"
-                    for name, test in {**flags, "cancelled": f"page = {quoted(fixed.LABEL_PAGE)}"}.items()]
-    per_user = [f"sum({name}) / count(1) AS {feature_name(name)}" for name in [*flags, *counters]]
-    inner = ",\n    ".join(per_session)
-    outer = ",\n  ".join(per_user)
+    def listed(measures: dict[str, str]) -> str:
+        return ",\n    ".join(f"{sql} AS {name}" for name, sql in measures.items())
+
+    features = feature_sql_table(n_agents=len(agents), ticks_per_second=ticks_per_second)
     return f"""
 WITH sessions AS (
   SELECT userId, sessionId,
-    max(itemInSession) AS items,
-    coalesce(max(length), 0D) AS longest,
-    coalesce(sum(length), 0D) AS listened,
-    count(song) AS songs,
-    min(ts) AS opened,
-    max(ts) AS closed,
-    coalesce(min(registration), min(ts)) AS registered,
-    {inner}
-  FROM {view}
-  GROUP BY userId, sessionId
+    {listed(session_measure_sql(agents=agents))}
+  FROM {view} GROUP BY userId, sessionId
 )
 SELECT userId,
-  avg(items) AS avg_num_items_in_session,
-  max(longest) AS longest_song,
-  avg(longest) AS longest_song_per_session,
-  count(sessionId) AS total_number_of_sessions,
-  try_divide(sum(listened), count(sessionId)) AS listening_time_per_session,
-  try_divide(sum(songs), count(sessionId)) AS avg_number_of_songs_per_session,
-  if(sum(songs) <= 0, 0D, try_divide(sum(listened), sum(songs))) AS avg_song_length,
-  avg(closed - opened) / {ticks_per_second} AS avg_session_length,
-  (max(closed) - min(registered)) / {ticks_per_second} AS time_since_joined,
-  (min(opened) - min(registered)) / {ticks_per_second} AS time_to_first_session,
-  if(count(sessionId) <= 1, 0D,
-     try_divide(max(closed) - min(opened) - sum(closed - opened), count(sessionId) - 1))
-    / {ticks_per_second} AS avg_time_between_sessions,
-  {outer},
-  max(cancelled) AS cancelled
-FROM sessions
-GROUP BY userId
+    {listed(features)}
+FROM sessions GROUP BY userId
 """
 
 

@@ -22,5 +22,3 @@ EVENT_SCHEMA = T.StructType([
     T.StructField("userAgent", T.StringType()),
     T.StructField("userId", T.StringType()),
 ])
-
-EVENT_COLUMNS = EVENT_SCHEMA.fieldNames()

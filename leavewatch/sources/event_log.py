@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import IntegerType, StructField, StructType
 
-from leavewatch.functions.numeric import hash_percent
+from leavewatch.functions.numeric import stable_hash
 from leavewatch.schema import EVENT_SCHEMA
 
 
@@ -39,9 +39,7 @@ def run_sql(df: DataFrame, query: str) -> DataFrame:
 
 def with_hash_bucket(log: DataFrame, buckets: int = 10, key: str = "userId") -> DataFrame:
     """Add ``bucket``, equal for all rows of a user. No shuffle."""
-    if not 1 <= buckets <= 100:
-        raise ValueError("buckets must lie between 1 and 100")
-    return log.withColumn("bucket", (hash_percent(F.col(key)) % buckets).cast("int"))
+    return log.withColumn("bucket", (stable_hash(F.col(key)) % buckets).cast("int"))
 
 
 def write_user_buckets(bucketed: DataFrame, path: str, format: str = "json") -> None:
@@ -56,10 +54,15 @@ def write_user_buckets(bucketed: DataFrame, path: str, format: str = "json") ->
 
 def read_user_bucket(spark: SparkSession, path: str, bucket: int | None = None,
                      format: str = "json") -> DataFrame:
-    """Read the split log; with a bucket given, only its folder is listed."""
+    """Read the split log; with a bucket given, only its folder is listed.
+
+    A bucket without rows has no folder, and is an error.
+    """
     schema = StructType(EVENT_SCHEMA.fields + [StructField("bucket", IntegerType())])
-    log = spark.read.schema(schema).format(format).load(path)
-    return log if bucket is None else log.where(F.col("bucket") == bucket)
+    reader = spark.read.schema(schema).format(format)
+    if bucket is None:
+        return reader.load(path)
+    return reader.option("basePath", path).load(f"{path}/bucket={bucket}")
 
 
 def write_features(features: DataFrame, path: str) -> None:

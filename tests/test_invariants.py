@@ -132,7 +132,7 @@ def test_scaled_values_lie_between_0_and_1(features):
 def test_both_correlations_agree(features):
     names = modelling.feature_columns(features)[:8]
     assert_close(explore.correlation_pairs(features, names, True).toPandas(),
-                 explore.correlation_pairs(features, names, False).toPandas(),
+                 explore.correlation_pairs(features, names).toPandas(),
                  ["feature_i", "feature_j"])
 
 
@@ -150,10 +150,17 @@ def test_scaling_equals_ml_stages(features):
     assert_close(modelling.minmax_scaled(features).toPandas(), unpacked.toPandas(), ["userId"])
 
 
-def test_browser_table_changes_nothing(spark):
+def test_browser_features_equal_compared_labels(spark):
     log = read_sample_log(spark, MEDIUM)
-    table = cleaning.agent_table(log)
-    assert table.count() == 4
-    assert_same(cleaning.clean_events(log, agents=table).toPandas(),
-                cleaning.clean_events(log).toPandas())
-    assert cleaning.agent_table(log, max_bytes=100) is None
+    clean = cleaning.clean_events(log, seconds=False)
+    agents = encoding.fit_labels(clean, ["userAgent"])["userAgent"]
+    raw = cleaning.clean_events(log, seconds=False, artist=False, agent=False)
+    found = users.browser_user_features(raw)
+    assert found.columns == users.user_features(clean, agents=agents).columns
+    assert_close(found.toPandas(), users.user_features(clean, agents=agents).toPandas(), ["userId"])
+
+
+def test_buckets_beyond_a_hundred_are_even(spark):
+    ids = spark.range(200_000).select(F.col("id").cast("string").alias("userId"))
+    sizes = [r["count"] for r in event_log.with_hash_bucket(ids, 250).groupBy("bucket").count().collect()]
+    assert len(sizes) == 250 and max(sizes) < 1.2 * 200_000 / 250

@@ -63,6 +63,19 @@ def test_inverse_strength_is_turned_into_a_penalty():
     assert len(modelling.inverse_strength_search(100).grid) == 63
 
 
+def test_elastic_search_scores_the_cancelled(features):
+    search = modelling.inverse_strength_search(100, [0.1, 1.0], [0.0, 0.5])
+    fit = modelling.fit_churn_model(features, search, folds=2, metric="fMeasureByLabel")
+    assert fit.grid.count() == 4 and 0 <= fit.summary().head()["f1_positive"] <= 1
+
+
+def test_both_estimators_share_one_grid_result(features):
+    searches = [modelling.logistic_search(fixed.SMALL_LOGISTIC_GRID), modelling.tree_search([2], [2], rounds=2)]
+    grid = modelling.all_grid_results(modelling.fit_churn_models(features, searches, folds=2)).collect()
+    assert sorted(r["model"] for r in grid) == ["logistic", "logistic", "trees"]
+    assert [r["mean_score"] for r in grid] == sorted((r["mean_score"] for r in grid), reverse=True)
+
+
 def test_tree_grid_stays_within_limits():
     grid = modelling.tree_search().grid
     values = [{p.name: v for p, v in point.items()} for point in grid]

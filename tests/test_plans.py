@@ -5,7 +5,8 @@ import re
 import pytest
 from conftest import MEDIUM
 
-from leavewatch.operators import cleaning, ranking, users
+from leavewatch.operators import cleaning, phases, ranking, users
+from leavewatch.plans import churn_job
 from leavewatch.plans.queries import QUERIES
 from leavewatch.sources import event_log
 from leavewatch.sources.sample_log import read_sample_log
@@ -50,8 +51,32 @@ def test_no_python_and_no_cross_join(spark, name):
 def test_bucket_scan_lists_one_folder(spark, stored_log):
     path = fresh_path(spark, "pruned")
     event_log.write_user_buckets(event_log.with_hash_bucket(stored_log.where("userId <> ''")), path)
-    plan = plan_of(event_log.read_user_bucket(spark, path, 3))
-    assert re.search(r"PartitionFilters: \[[^\]]*= 3\)", plan)
+    bucket = event_log.read_user_bucket(spark, path, 3)
+    assert {f.split("/")[-2] for f in bucket.inputFiles()} == {"bucket=3"}
+    assert "PartitionFilters: []" in plan_of(bucket)  # nothing was listed that would have to be left out
+    assert {r["bucket"] for r in bucket.select("bucket").distinct().collect()} == {3}
+
+
+def test_churn_phase_shuffles_the_log_thrice_at_most(spark, stored_log):
+    clean = cut_lineage(cleaning.clean_events(stored_log, seconds=False))
+    plan = plan_of(phases.churn_phase(clean))
+    assert "left_semi" in plan.lower() or "LeftSemi" in plan
+    assert plan.count("Window") >= 2
+
+
+def test_job_scans_the_log_once(spark, stored_log, monkeypatch):
+    stored = []
+    real = cut_lineage
+
+    def noted(df):
+        stored.append(plan_of(df))
+        return real(df)
+
+    monkeypatch.setattr(users, "cut_lineage", noted)
+    features = churn_job.build_features(stored_log)
+    assert len(stored) == 1 and stored[0].count("FileScan") == 1
+    assert "userAgent" in stored[0] and not set(re.findall(r"FileScan parquet \[([^\]]*)\]", stored[0])) & set(
+        re.findall(r"FileScan parquet \[([^\]]*)\]", plan_of(features)))
 
 
 def test_slices_need_no_shuffle_of_the_log(stored_log):

@@ -103,6 +103,25 @@ def test_too_many_labels_is_an_error(spark):
         encoding.fit_labels(df, ["userAgent"], max_labels=10)
 
 
+def test_nulls_stay_null_when_scaled(spark):
+    df = spark.createDataFrame([("a", 0, 5.0, 1.0, None), ("b", 1, None, None, None), ("c", 0, 5.0, 2.0, None)],
+                               "userId string, cancelled int, k double, v double, n double")
+    rows = modelling.minmax_scaled(df).orderBy("userId").collect()
+    assert [(r["k"], r["v"], r["n"]) for r in rows] == [(0.5, 0.0, None), (None, None, None), (0.5, 1.0, None)]
+
+
+def test_column_of_nulls_is_no_zero_column(spark):
+    df = spark.createDataFrame([(0, None), (0, None)], "a int, b int")
+    rows = {r["feature"]: (r["only_zeros"], r["zero_mean"]) for r in cleaning.zero_column_report(df).collect()}
+    assert rows == {"a": (1, 1), "b": (0, 0)}
+
+
+def test_trees_beyond_the_limit_are_an_error():
+    assert modelling.capped_depths() == [2, 5, 10, 20, 30]
+    with pytest.raises(ValueError, match="30 deep"):
+        modelling.tree_search(depths=[100])
+
+
 def test_constant_feature_scales_to_a_half(spark):
     df = spark.createDataFrame([("a", 0, 5.0, 1.0), ("b", 1, 5.0, 3.0)],
                                "userId string, cancelled int, k double, v double")
@@ -179,7 +198,7 @@ def test_constant_column_has_no_correlation(spark):
 
 def test_pairwise_correlation_skips_incomplete_rows(spark):
     df = spark.createDataFrame([(1.0, 2.0), (2.0, None), (3.0, 1.0), (None, 9.0)], "a double, b double")
-    assert explore.correlation_pairs(df, ["a", "b"], False).head()["correlation"] == pytest.approx(-1)
+    assert explore.correlation_pairs(df, ["a", "b"]).head()["correlation"] == pytest.approx(-1)
 
 
 def test_scores_of_known_predictions(spark):
