@@ -16,13 +16,15 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from leavewatch.llm.tables import row_struct, row_text, with_row, without_text
 from leavewatch.llm.text_arrays import FIRST, SECOND, byte_set, hashes, slices, spans, spread
 from leavewatch.sources.shared_storage import cut_lineage
 
 WINDOW = 10
 BLOCK_BYTES = 16 << 20   # of benchmark text sent to all tasks at once
-SHARD_BYTES = 4 << 20    # of document text in one suffix array
+SHARD_BYTES = 2 << 20    # of document text in one suffix array
 
 _WORD = byte_set((0x30, 0x39), (0x61, 0x7A), (0x80, 0xFF))
 _LOWER = np.arange(256, dtype=np.uint8)
@@ -168,8 +170,8 @@ def matched(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, keep: l
     held = items.agg(F.coalesce(F.sum(F.octet_length("text") + 64), F.lit(0))).first()[0]
     blocks = max(1, -(-int(held) // block_bytes))
     columns = keep if keep is not None else docs.columns
-    state = docs.select(F.struct(*(F.col(f"`{c}`") for c in columns)).alias("row") if columns else F.lit(None).cast("struct<_:int>").alias("row"),
-                        F.col("text").cast("string").alias("text"))
+    kept, inside = row_struct(docs, columns)
+    state = docs.select(kept)
     result = ["n_words", "hit", "items", "longest"]
     for b in range(blocks):
         rows = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == b).collect()  # about block_bytes
@@ -179,20 +181,25 @@ def matched(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, keep: l
         def scan(batches: Iterator[pa.RecordBatch], index=index, more=b > 0, last=last) -> Iterator[pa.RecordBatch]:
             suffixes = index.value
             for batch in batches:
-                for first, stop, h1, h2, count in _words(batch.column(1), SHARD_BYTES):
+                for first, stop, h1, h2, count in _words(row_text(batch.column(0), inside), SHARD_BYTES):
                     hits, found, longest = _shard(suffixes, h1, h2, count)
                     part = batch.slice(first, stop - first)
                     if more:
                         hits = [sorted({*x, *y}) for x, y in zip(hits, part.column("hit").to_pylist())]
                         found = [x + y for x, y in zip(found, part.column("items").to_pylist())]
                         longest = [max((y, x), key=lambda z: z["words"] if z else 0) for x, y in zip(longest, part.column("longest").to_pylist())]
-                    arrays = [part.column(0), *([] if last else [part.column(1)]), pa.array(count.astype(np.int64)), pa.array(hits, pa.list_(pa.int32())),
+                    row = part.column(0)
+                    if last and not inside:
+                        row = without_text(row)
+                    arrays = [row, pa.array(count.astype(np.int64)), pa.array(hits, pa.list_(pa.int32())),
                               pa.array(found, pa.list_(pa.string())),
                               pa.array(longest, pa.struct([("words", pa.int32()), ("item_id", pa.int64()), ("at", pa.int32())]))]
-                    yield pa.RecordBatch.from_arrays(arrays, ["row", *([] if last else ["text"]), *result])
+                    yield pa.RecordBatch.from_arrays(arrays, ["row", *result])
 
-        kind = state.schema["row"].dataType.simpleString()
-        state = state.mapInArrow(scan, f"row {kind}, " + ("" if last else "text string, ") + RESULT)
+        schema = with_row(docs, columns, RESULT)
+        if not last:
+            schema = T.StructType([state.schema["row"], *schema.fields[1:]])
+        state = state.mapInArrow(scan, schema)
         if not last:
             state = cut_lineage(state)
     return state

@@ -15,6 +15,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from leavewatch.llm.tables import row_struct, row_text, with_row, without_text
 from leavewatch.llm.text_arrays import slices
 
 BUCKETS = 1 << 15    # of hashed trigrams; the model holds languages x BUCKETS counts
@@ -167,8 +168,9 @@ def predicted(docs: DataFrame, model: tuple[list[str], np.ndarray, np.ndarray],
     def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names, logs, prior = sent.value
         for batch in batches:
-            letters = np.asarray(batch.column(2).to_numpy(zero_copy_only=False), dtype=bool)
-            for first, last, data, offsets in slices(batch.column(1), PIECE):
+            letters = np.asarray(batch.column(1).to_numpy(zero_copy_only=False), dtype=bool)
+            row = batch.column(0) if inside else without_text(batch.column(0))
+            for first, last, data, offsets in slices(row_text(batch.column(0), inside), PIECE):
                 n = last - first
                 known = letters[first:last] & bool(names)
                 if names:
@@ -177,11 +179,11 @@ def predicted(docs: DataFrame, model: tuple[list[str], np.ndarray, np.ndarray],
                 else:
                     found, score, languages = np.full(n, UNKNOWN, dtype=object), np.zeros(n), np.zeros(n)
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(first, n), pa.array(found, pa.string()), pa.array(np.where(known, score, 0.0)),
+                    [row.slice(first, n), pa.array(found, pa.string()), pa.array(np.where(known, score, 0.0)),
                      pa.array(np.where(known, languages, 0).astype(np.int32))], ["row", "lang_pred", "score", "n_languages"])
 
-    state = docs.select(F.struct(*(F.col(f"`{c}`") for c in columns)).alias("row"), F.col("text").cast("string").alias("text"), has_letter().alias("letter"))
-    return state.mapInArrow(predict, f"row {state.schema['row'].dataType.simpleString()}, {RESULT}")
+    kept, inside = row_struct(docs, columns)
+    return docs.select(kept, has_letter().alias("letter")).mapInArrow(predict, with_row(docs, columns, RESULT))
 
 
 def report(docs: DataFrame) -> DataFrame:

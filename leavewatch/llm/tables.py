@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 NO_ID = -(1 << 63)  # stands for a null doc_id inside an operator
 
@@ -40,3 +42,32 @@ def one_per_id(docs: DataFrame) -> DataFrame:
 def bodies(docs: DataFrame) -> DataFrame:
     """(doc_id, text) of one_per_id."""
     return one_per_id(docs.select("doc_id", "text"))
+
+
+_TEXT = "_text_of_the_row"
+
+
+def row_struct(docs: DataFrame, columns: list[str]) -> tuple[Column, bool]:
+    """The columns as struct `row`, for a pass through Arrow that looks at the text.
+
+    The text goes once: as one of the columns if it is a string there (then
+    the second value is True), else as a last one, which without_text drops.
+    """
+    inside = "text" in columns and docs.schema["text"].dataType.simpleString() == "string"
+    more = [] if inside else [F.col("text").cast("string").alias(_TEXT)]
+    return F.struct(*(F.col(f"`{c}`") for c in columns), *more).alias("row"), inside
+
+
+def with_row(docs: DataFrame, columns: list[str], result: str) -> T.StructType:
+    """Schema of struct `row` with the columns, and the result's columns beside it."""
+    row = T.StructType([docs.schema[c] for c in columns])
+    return T.StructType([T.StructField("row", row), *T.StructType.fromDDL(result).fields])
+
+
+def row_text(row: pa.StructArray, inside: bool) -> pa.Array:
+    return row.field("text" if inside else _TEXT)
+
+
+def without_text(row: pa.StructArray) -> pa.StructArray:
+    names = [f.name for f in row.type][:-1]
+    return pa.StructArray.from_arrays([row.field(i) for i in range(len(names))], names)

@@ -7,13 +7,14 @@ never its partition.
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-SLICE = 2 << 20  # bytes of text worked on at once
+SLICE = 1 << 20  # bytes of text worked on at once
 
 _U64 = np.uint64
 _FULL = (1 << 64) - 1
@@ -34,43 +35,63 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> _U64(31))
 
 
+_STEP_BITS = 14
+_STEP = 1 << _STEP_BITS
+
+
+def _powers(base: int) -> tuple[np.ndarray, np.ndarray]:
+    """Powers up to 2**28 as products of one from each table."""
+    low, high = np.full(_STEP, base, dtype=_U64), np.full(_STEP, pow(base, _STEP, 1 << 64), dtype=_U64)
+    low[0] = high[0] = 1
+    return np.cumprod(low, dtype=_U64), np.cumprod(high, dtype=_U64)
+
+
 class Rolling:
     """Hashes of any ranges of a sequence, from one running sum.
 
     A range's hash is the sum of its scrambled items times powers of an odd
     base, modulo 2**64, shifted to the range's begin. `seed` picks the base,
-    so that two instances are independent.
+    so that two instances are independent. A sequence has 2**28 items at most.
     """
 
     def __init__(self, seed: int):
         self.base = _mix_int(seed) | 1
         self.inverse = pow(self.base, -1, 1 << 64)
         self.table = np.array([_mix_int((seed << 8) + b + 1) for b in range(256)], dtype=_U64)
-        self.up = self.down = np.ones(1, dtype=_U64)
+        self.up, self.down = _powers(self.base), _powers(self.inverse)
 
-    def _powers(self, n: int) -> None:
-        if len(self.up) <= n:
-            size = 1 << n.bit_length()
-            powers = [np.full(size + 1, base, dtype=_U64) for base in (self.base, self.inverse)]
-            for each in powers:
-                each[0] = 1
-            self.up, self.down = (np.cumprod(each, dtype=_U64) for each in powers)
+    @staticmethod
+    def _power(table: tuple[np.ndarray, np.ndarray], at: np.ndarray) -> np.ndarray:
+        return table[0][at & (_STEP - 1)] * table[1][at >> _STEP_BITS]
 
     def sums(self, items: np.ndarray) -> np.ndarray:
         """Running sums of bytes (through the table) or of 64-bit hashes."""
         n = len(items)
-        self._powers(n)
         values = self.table[items] if items.dtype == np.uint8 else items
+        high = self.up[1][:-(-n // _STEP)]
+        power = (high[:, None] * self.up[0]).reshape(-1)[:n]
         out = np.zeros(n + 1, dtype=_U64)
-        np.cumsum(values * self.up[:n], out=out[1:])
+        np.cumsum(values * power, out=out[1:])
         return out
 
     def ranges(self, sums: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
-        return mix((sums[end] - sums[begin]) * self.down[begin] + (end - begin).astype(_U64))
+        return mix((sums[end] - sums[begin]) * self._power(self.down, begin) + (end - begin).astype(_U64))
 
 
 FIRST, SECOND = Rolling(1), Rolling(2)
 
+try:
+    _trim = ctypes.CDLL(None).malloc_trim
+except (AttributeError, OSError):  # not glibc
+    _trim = None
+
+
+def give_back() -> None:
+    """Return freed memory to the system: workers live on between tasks and stages."""
+    pa.default_memory_pool().release_unused()
+    if _trim is not None:
+        _trim(0)
+
 
 def slices(column: pa.Array, limit: int = SLICE) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """(first row, row after the last, bytes, offsets of the rows in them); null is empty."""
@@ -91,6 +112,7 @@ def slices(column: pa.Array, limit: int = SLICE) -> Iterator[tuple[int, int, np.
         last = min(max(last, first + 1), n)
         yield first, last, data[offsets[first]:offsets[last]], offsets[first:last + 1] - offsets[first]
         first = last
+    give_back()
 
 
 def byte_set(*ranges: tuple[int, int]) -> np.ndarray:

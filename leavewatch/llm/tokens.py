@@ -21,7 +21,7 @@ from leavewatch.llm.text_arrays import FIRST, SECOND, byte_set, hashes, slices,
 TOKENIZER = "word_bpe_49k.json"
 END_ID = 1
 MEMORY = 1_500_000  # chunks a worker remembers
-PIECE = 4 << 20     # bytes of text encoded at once
+PIECE = 2 << 20     # bytes of text encoded at once
 JOINED = 500        # new chunks encoded as one text
 
 _CHUNK = ~byte_set((32, 32), (10, 10))
