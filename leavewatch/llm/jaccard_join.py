@@ -280,7 +280,7 @@ def similar(docs: DataFrame, threshold: float = THRESHOLD, target: float = TARGE
     size = classes.count()
     n = max(1, -(-size * TREES // W.BUCKET_BLOCKS))
     sent = classes.where("keys is not null").select("class_id", "keys").mapInArrow(_nodes(n), "bucket int, payload binary")
-    edges = sent.groupBy("bucket").applyInArrow(_edges, "a long, b long")
+    edges = W.dealt(sent, n).applyInArrow(_edges, "a long, b long")
     islands = components(edges)
     counted = islands.groupBy("label").agg(F.count("*").alias("held"))
     shards = F.when(F.col("held") > 2 * shard, F.ceil(F.col("held") / shard)).otherwise(1).cast("int")
@@ -288,7 +288,8 @@ def similar(docs: DataFrame, threshold: float = THRESHOLD, target: float = TARGE
              .withColumn("shard", F.pmod(F.xxhash64("node"), F.col("shards")).cast("int")))
     tiles = F.transform(F.sequence(F.lit(0), F.col("shards") - 1), lambda s: F.least(s, "shard") * F.col("shards") + F.greatest(s, "shard"))
     dealt = dealt.select(F.col("node").alias("doc_id"), F.col("label").alias("island"), "shard", tiles.alias("tiles"))
-    sets = (body.join(dealt, "doc_id").select("island", "tiles", "shard", "doc_id", "text")
+    # The classes in islands follow the input; texts are never sent to where they are.
+    sets = (body.join(dealt.hint("merge"), "doc_id").select("island", "tiles", "shard", "doc_id", "text")
             .mapInArrow(_sets, "island long, tiles array<int>, shard int, doc_id long, items binary")
             .select("island", F.explode("tiles").alias("tile"), "shard", "doc_id", "items"))
     found = cut_lineage(sets.groupBy("island", "tile").applyInArrow(_verify(threshold, max(1, shard // 4)), LINKS))
