@@ -205,9 +205,9 @@ def deduplicated(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, digest
     body = bodies(docs)
     n = W.buckets(body, BLOCKS_PER_BYTE)
     sent = body.mapInArrow(_blocks(window, gram, n), "bucket int, payload binary")
-    found = cut_lineage(sent.groupBy("bucket").applyInArrow(_meet, W.VERDICT))
+    found = cut_lineage(W.dealt(sent, n).applyInArrow(_meet, W.VERDICT))
     asked = W.joined_spans(body, found, "detail", "inner").mapInArrow(_passages(window, gram, n), "bucket int, payload binary")
-    more = asked.groupBy("bucket").applyInArrow(_factored, W.VERDICT)
+    more = W.dealt(asked, n).applyInArrow(_factored, W.VERDICT)
     dups = found.select("doc_id", "dup").unionByName(more.select("doc_id", "dup"))
     out = W.joined_spans(body, dups, "dup", "left").mapInArrow(_kept(window, digest), RESULT)
     return out.select(restored(), "n_words", "n_removed", "kept")

@@ -331,9 +331,9 @@ def deduplicated(docs: DataFrame, digest: bool = False) -> DataFrame:
     ranges = len(bounds) + 1
     each = -(-n // ranges)
     sent = body.mapInArrow(_runs(bounds, ranges, each), "bucket int, payload binary")
-    found = cut_lineage(sent.groupBy("bucket").applyInArrow(_merge, W.VERDICT))
+    found = cut_lineage(W.dealt(sent, n).applyInArrow(_merge, W.VERDICT))
     asked = W.joined_spans(body, found, "detail", "inner").mapInArrow(_strings(ranges * each), "bucket int, payload binary")
-    more = asked.groupBy("bucket").applyInArrow(_compare, W.VERDICT)
+    more = W.dealt(asked, n).applyInArrow(_compare, W.VERDICT)
     dups = found.select("doc_id", "dup").unionByName(more.select("doc_id", "dup"))
     out = W.joined_spans(body, dups, "dup", "left").mapInArrow(_kept(digest), RESULT.format(kept="string" if digest else "binary"))
     return out.select(restored(), "n_bytes", "n_removed", "n_spans", "kept")

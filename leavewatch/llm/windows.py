@@ -21,9 +21,10 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.group import GroupedData
 
-FLUSH = 1_000_000     # blocks a map task gathers before it sends them
-BUCKET_BLOCKS = 400_000
+FLUSH = 400_000       # blocks a map task gathers before it sends them
+BUCKET_BLOCKS = 250_000
 HOT = 4096            # blocks of one key in one task beyond which they skip the meeting by key
 AT_ONCE = 2_000_000   # windows compared at once
 
@@ -61,6 +62,11 @@ def buckets(docs: DataFrame, per_item: float) -> int:
     return max(1, -(-int(size * per_item) // BUCKET_BLOCKS), min(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), int(size) >> 20))
 
 
+def dealt(sent: DataFrame, n: int) -> GroupedData:
+    """Rows by bucket, in n partitions: packed values are small, and merging partitions by their size would leave few tasks."""
+    return sent.repartition(n, "bucket").groupBy("bucket")
+
+
 def repeats(group: np.ndarray, block: np.ndarray, doc: np.ndarray, lo: np.ndarray, within: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Order by (group, block, doc, place), which of those repeat an earlier equal block, and each block's begin.
 
