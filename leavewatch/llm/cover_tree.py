@@ -25,7 +25,7 @@ EVERY = 50            # queries are the rows whose vec_id is divisible by this
 SCALE = 256.0
 QUERY_BLOCK = 4096    # queries sent to all tasks at once
 SLICE_ROWS = 20_000   # vectors in one tree
-LEAF = 64
+LEAF = 256
 _EXACT = 1 << 53
 
 
@@ -118,13 +118,13 @@ class Search:
 
     def leaves(self, q: Node, v: Node) -> None:
         scores = products(self.queries[q.rows], self.vectors[v.rows])
-        for row, of in zip(scores, q.rows.tolist()):
-            near = np.flatnonzero(row >= self.worst[of])  # ties may still win by id
-            if not len(near):
-                continue
-            own = self.query_ids[of]
-            take = [(-int(row[i]), int(self.ids[v.rows[i]])) for i in near.tolist() if self.ids[v.rows[i]] != own]
-            best = sorted(self.best[of] + take)[:self.k]
+        ids = self.ids[v.rows]
+        hit = scores >= self.worst[q.rows][:, None]  # ties may still win by id
+        for i in np.flatnonzero(hit.any(axis=1)).tolist():
+            of = int(q.rows[i])
+            near = np.flatnonzero(hit[i] & (ids != self.query_ids[of]))
+            near = near[np.lexsort((ids[near], -scores[i, near]))[:self.k]]
+            best = sorted(self.best[of] + [(-int(scores[i, j]), int(ids[j])) for j in near.tolist()])[:self.k]
             self.best[of] = best
             if len(best) == self.k:
                 self.worst[of] = -best[-1][0]
