@@ -30,6 +30,8 @@ WINDOW = 100
 DEPTH = 24               # bytes of a suffix that are sorted: the anchor itself; whole 8-byte words
 BLOCKS_PER_BYTE = 0.027
 RANGES = 1024            # ranges of suffixes, at most; more buckets deal each range by a hash
+HOT_GROUP = 1024         # distinct blocks of one anchor beyond which its windows are dealt to
+PARTS = 16               # so many tasks
 SAMPLE_DOCS, SAMPLE_EACH = 1000, 32  # for the ranges' bounds, which balance the work and decide nothing
 
 _WORDS = DEPTH // 8
@@ -164,6 +166,7 @@ def range_bounds(body: DataFrame, ranges: int) -> np.ndarray:
 
 _MEET, _REPEATED, _LOOK = 0, 1, 2
 _RUN = ("u1", "u1", "<u8", "<i8", "<i4", "<i4", "<i4")  # shared, rest, block, doc, lo, n, off
+_HOT = 1 << 16           # added to the anchor's place in a block of a hot group
 _DECIDED = ("u1", "<i8", "<i4", "<i4", "<i4")           # kind, doc, lo, n, off
 
 
@@ -222,8 +225,12 @@ def _runs(bounds: np.ndarray, n_ranges: int, each: int):
     return emit
 
 
-def _merge(table: pa.Table) -> pa.Table:
+def _merge(hot_group: int):
     """Reduce side: merge a bucket's runs, then judge the blocks of each group of equal suffixes."""
+    return lambda table: _merged(table, hot_group)
+
+
+def _merged(table: pa.Table, hot_group: int) -> pa.Table:
     parts = [W.unpacked(v.as_py(), *_RUN, *_DECIDED) for v in table.column("payload")]
     shared = [p[0] for p in parts]
     run, common = merged([decoded(p[0], p[1]) for p in parts], shared)
@@ -233,6 +240,9 @@ def _merge(table: pa.Table) -> pa.Table:
     dup, detail = W.judged(group, block, doc, lo, True)
     kind, doc2, lo2, n2, off2 = (np.concatenate([p[i] for p in parts]) for i in range(7, 12))
     rep, look = kind == _REPEATED, kind == _LOOK
+    # A group of which some blocks skipped the meeting has more than HOT here, so it is hot on both ways.
+    hot = np.bincount(group[detail], minlength=int(group.max()) + 1)[group] > min(hot_group, W.HOT - 1) if len(group) else np.zeros(0, bool)
+    off, off2 = off + _HOT * hot, off2 + _HOT * look
     out = W.verdicts(*(np.concatenate([a[dup], b[rep]]) for a, b in ((doc, doc2), (lo, lo2), (n, n2))),
                      *(np.concatenate([a[detail], b[look]]) for a, b in ((doc, doc2), (lo, lo2), (n, n2), (off, off2))))
     return pa.Table.from_batches([out] if out else [], _SCHEMA)
@@ -249,34 +259,45 @@ def _strings(n_buckets: int):
                     continue
                 of = np.repeat(np.arange(last - first), [len(w) for w in wanted[first:last]])
                 low = offsets[of] + want["lo"]
-                key = FIRST.ranges(FIRST.sums(data), low + want["off"], low + want["off"] + DEPTH)
+                at = low + want["off"] % _HOT
+                key = FIRST.ranges(FIRST.sums(data), at, at + DEPTH)
                 bucket = ((key >> np.uint64(32)) * np.uint64(n_buckets) >> np.uint64(32)).astype(np.int64)
-                order = np.argsort(bucket, kind="stable")
-                b = bucket[order]
+                # A hot anchor's blocks go to several buckets, each of which looks at its share of the windows.
+                copies = np.where(want["off"] >= _HOT, PARTS, 1)
+                block = np.repeat(np.arange(len(want)), copies)
+                turn = spread(np.zeros(len(want), np.int64), copies)
+                bucket = (bucket[block] + turn * (n_buckets // PARTS + 1)) % n_buckets
+                place = (bucket * PARTS + turn) * 2 + (copies[block] > 1)
+                order = np.argsort(place, kind="stable")
+                b = place[order]
                 edge = np.flatnonzero(np.diff(b, prepend=-1))
                 values = []
                 for a, z in zip(edge, np.append(edge[1:], len(b))):
-                    own = order[a:z]
+                    own = block[order[a:z]]
                     raw = data[spread(low[own], want["n"][own].astype(np.int64) + WINDOW - 1)]
-                    values.append(W.packed(ids[first:last][of[own]], want["lo"][own], want["n"][own], raw))
-                yield pa.RecordBatch.from_arrays([pa.array(b[edge].astype(np.int32)), pa.array(values, pa.binary())], ["bucket", "payload"])
+                    share = np.array([copies[own[0]], turn[order[a]]], dtype=np.int64)
+                    values.append(W.packed(share, ids[first:last][of[own]], want["lo"][own], want["n"][own], raw))
+                yield pa.RecordBatch.from_arrays([pa.array(bucket[order[edge]].astype(np.int32)), pa.array(values, pa.binary())], ["bucket", "payload"])
     return emit
 
 
 def _compare(table: pa.Table) -> pa.Table:
     """Windows of a bucket's blocks that stand earlier in another block, by two independent hashes."""
-    parts = [W.unpacked(v.as_py(), "<i8", "<i4", "<i4", "u1") for v in table.column("payload")]
-    total = sum(int(p[2].sum()) for p in parts)
+    parts = [W.unpacked(v.as_py(), "<i8", "<i8", "<i4", "<i4", "u1") for v in table.column("payload")]
+    total = sum(int(p[3].sum()) // int(p[0][0]) for p in parts)
     passes = max(1, -(-total // W.AT_ONCE))
     out = []
     for turn in range(passes):  # equal windows are in one turn
         columns = []
-        for doc, lo, n, raw in parts:
+        for share, doc, lo, n, raw in parts:
             size = n.astype(np.int64)
             begin = np.cumsum(size + WINDOW - 1) - (size + WINDOW - 1)
             start = spread(begin, size)
             one = FIRST.ranges(FIRST.sums(raw), start, start + WINDOW)
-            own = np.arange(len(one)) if passes == 1 else np.flatnonzero(one % np.uint64(passes) == turn)
+            mine = one % np.uint64(passes) == turn
+            if share[0] > 1:
+                mine &= (one >> np.uint64(40)) % np.uint64(share[0]) == share[1]
+            own = np.flatnonzero(mine)
             two = SECOND.ranges(SECOND.sums(raw), start[own], start[own] + WINDOW)
             columns.append((one[own], two, np.repeat(doc, n)[own], spread(lo.astype(np.int64), size)[own]))
         one, two, doc, place = (np.concatenate(c) for c in zip(*columns))
@@ -315,7 +336,7 @@ def _kept(digest: bool):
     return emit
 
 
-def deduplicated(docs: DataFrame, digest: bool = False) -> DataFrame:
+def deduplicated(docs: DataFrame, digest: bool = False, hot_group: int = HOT_GROUP) -> DataFrame:
     """(doc_id, n_bytes, n_removed, n_spans, kept): each byte gone that a repeated string of WINDOW bytes covers.
 
     A string repeats if it also starts in a document of smaller doc_id, or
@@ -331,7 +352,7 @@ def deduplicated(docs: DataFrame, digest: bool = False) -> DataFrame:
     ranges = len(bounds) + 1
     each = -(-n // ranges)
     sent = body.mapInArrow(_runs(bounds, ranges, each), "bucket int, payload binary")
-    found = cut_lineage(W.dealt(sent, n).applyInArrow(_merge, W.VERDICT))
+    found = cut_lineage(W.dealt(sent, n).applyInArrow(_merge(hot_group), W.VERDICT))
     asked = W.joined_spans(body, found, "detail", "inner").mapInArrow(_strings(ranges * each), "bucket int, payload binary")
     more = W.dealt(asked, n).applyInArrow(_compare, W.VERDICT)
     dups = found.select("doc_id", "dup").unionByName(more.select("doc_id", "dup"))

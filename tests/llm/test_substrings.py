@@ -54,7 +54,8 @@ def test_shared_passages_with_different_neighbours(spark):
     rows = [(i, f"{odd.prose(60 + i, i % 7)} {passage[: 40 + 5 * i]} {odd.prose(90 + i, 9)}") for i in range(40)]
     docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
     assert word_rows(substring_dedup.deduplicated(docs, digest=True)) == plain.word_passages(dict(rows))
-    assert byte_rows(suffix_dedup.deduplicated(docs, digest=True)) == plain.byte_strings(dict(rows))
+    for hot in (1024, 2):
+        assert byte_rows(suffix_dedup.deduplicated(docs, digest=True, hot_group=hot)) == plain.byte_strings(dict(rows))
 
 
 def test_loser_tree_merges_runs():
@@ -89,7 +90,7 @@ def test_hot_keys_and_turns(monkeypatch):
     assert W.hot(group).tolist() == [False, False, False, True, False, True]
     text = np.frombuffer((odd.prose(1, 80) * 3).encode(), dtype=np.uint8)
     n = np.array([len(text) - 99], dtype=np.int32)
-    value = W.packed(np.array([4, 8]), np.zeros(2, np.int32), np.repeat(n, 2), np.concatenate([text, text]))
+    value = W.packed(np.array([1, 0]), np.array([4, 8]), np.zeros(2, np.int32), np.repeat(n, 2), np.concatenate([text, text]))
     import pyarrow as pa
     table = pa.table({"bucket": [0], "payload": [value]})
 
