@@ -53,7 +53,7 @@ def _send(kind: np.ndarray, columns: list[np.ndarray], bucket: np.ndarray) -> pa
 
 
 _KINDS = ("u1", "<u8", "<u8", "<i8", "<i4", "<i4", "<i4")  # resolved or not, key, block, doc, lo, n, off
-_MEET, _REPEATED, _LOOK = 0, 1, 2
+_MEET, _REPEATED, _LOOK, _CROWDED = 0, 1, 2, 3  # _CROWDED: meets, and other blocks of its key are _LOOK
 
 
 def _blocks(window: int, gram: int, n_buckets: int):
@@ -67,9 +67,11 @@ def _blocks(window: int, gram: int, n_buckets: int):
             kind = np.zeros(len(key), dtype=np.uint8)
             kind[order[dup]] = _REPEATED
             rest = np.flatnonzero(kind == _MEET)
-            kind[rest[W.hot(key[rest])]] = _LOOK
+            look = W.hot(key[rest])
+            kind[rest[np.isin(key[rest], key[rest[look]])]] = _CROWDED
+            kind[rest[look]] = _LOOK
             # What is decided travels with the document, not with a key that may be hot.
-            to = np.where(kind == _MEET, key, doc.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+            to = np.where((kind == _MEET) | (kind == _CROWDED), key, doc.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
             return _send(kind, [key, block, doc, lo, n, off], _bucket(to, n_buckets))
 
         for batch in batches:
@@ -90,8 +92,8 @@ def _blocks(window: int, gram: int, n_buckets: int):
 def _meet(table: pa.Table) -> pa.Table:
     parts = [W.unpacked(v.as_py(), *_KINDS) for v in table.column("payload")]
     kind, key, block, doc, lo, n, off = (np.concatenate(c) for c in zip(*parts))
-    meet = np.flatnonzero(kind == _MEET)
-    dup, detail = (meet[m] for m in W.judged(key[meet], block[meet], doc[meet], lo[meet], False))
+    meet = np.flatnonzero((kind == _MEET) | (kind == _CROWDED))
+    dup, detail = (meet[m] for m in W.judged(key[meet], block[meet], doc[meet], lo[meet], False, kind[meet] == _CROWDED))
     dup = np.concatenate([dup, np.flatnonzero(kind == _REPEATED)])
     detail = np.concatenate([detail, np.flatnonzero(kind == _LOOK)])
     out = W.verdicts(doc[dup], lo[dup], n[dup], doc[detail], lo[detail], n[detail], off[detail])

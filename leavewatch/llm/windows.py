@@ -83,15 +83,23 @@ def repeats(group: np.ndarray, block: np.ndarray, doc: np.ndarray, lo: np.ndarra
     return order, d > first, new
 
 
-def judged(group: np.ndarray, block: np.ndarray, doc: np.ndarray, lo: np.ndarray, within: bool) -> tuple[np.ndarray, np.ndarray]:
-    """Masks over the rows: windows all repeated; first copies to be looked at because their group has other blocks."""
+def judged(group: np.ndarray, block: np.ndarray, doc: np.ndarray, lo: np.ndarray, within: bool,
+           crowded: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Masks over the rows: windows all repeated; first copies to be looked at because their group has other blocks.
+
+    The first copies of a group with a `crowded` row are looked at in any
+    case: some of its blocks skipped the meeting, and may be copies of them.
+    """
     order, dup, new = repeats(group, block, doc, lo, within)
     g = group[order]
     start = np.ones(len(order), dtype=bool)
     start[1:] = g[1:] != g[:-1]
     at = np.flatnonzero(start)
     kinds = np.add.reduceat(new.astype(np.int64), at) if len(at) else np.empty(0, np.int64)
-    several = np.repeat(kinds, np.diff(np.append(at, len(order)))) > 1
+    several = kinds > 1
+    if crowded is not None and len(at):
+        several |= np.logical_or.reduceat(crowded[order], at)
+    several = np.repeat(several, np.diff(np.append(at, len(order))))
     out = np.zeros((2, len(order)), dtype=bool)
     out[0, order], out[1, order] = dup, several & ~dup
     return out[0], out[1]

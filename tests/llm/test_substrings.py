@@ -102,3 +102,31 @@ def test_hot_keys_and_turns(monkeypatch):
     monkeypatch.setattr(W, "AT_ONCE", 100)
     assert marked() == whole
     assert whole[8] == list(range(int(n[0])))
+
+
+@pytest.mark.parametrize("hot", [4096, 2])
+def test_blocks_beyond_hot_meet_copies_of_other_tasks(monkeypatch, hot):
+    import pyarrow as pa
+    monkeypatch.setattr(W, "HOT", hot)
+    phrase = odd.prose(70, 40)
+    texts = {3: f"{odd.prose(71, 20)} {phrase} {odd.prose(72, 20)}", 8: " ".join([phrase] * 30), 9: " ".join(["same"] * 200), 4: " ".join(["same"] * 50)}
+    parts = [[4, 3], [8, 9]]  # two tasks: the earlier copies, and documents that repeat one passage or word
+
+    def grouped(batches, work):
+        values = {}
+        for batch in batches:
+            for row in batch.to_pylist():
+                values.setdefault(row["bucket"], []).append(row["payload"])
+        return [row for b, v in values.items() for row in work(pa.table({"bucket": [b] * len(v), "payload": v})).to_pylist()]
+
+    body = [pa.RecordBatch.from_pydict({"doc_id": ids, "text": [texts[i] for i in ids]}) for ids in parts]
+    found = grouped((out for part in body for out in substring_dedup._blocks(13, 5, 4)(iter([part]))), substring_dedup._meet)
+    asked = {i: [r["detail"] for r in found if r["doc_id"] == i and r["detail"]] for i in texts}
+    body = [pa.RecordBatch.from_arrays([pa.array([i]), pa.array([texts[i]]), pa.array([asked[i]], pa.list_(pa.binary()))], ["doc_id", "text", "spans"])
+            for i in texts if asked[i]]
+    found += grouped(substring_dedup._passages(13, 5, 4)(iter(body)), substring_dedup._factored)
+    removed = {}
+    for i, text in texts.items():
+        spans = [np.frombuffer(r["dup"], W.DUP) for r in found if r["doc_id"] == i and r["dup"]]
+        removed[i] = len({w for lo, n in np.concatenate([np.empty(0, W.DUP), *spans]).tolist() for w in range(lo, lo + n + 12)})
+    assert removed == {i: gone for i, (_, gone, _) in plain.word_passages(texts).items()}
