@@ -5,8 +5,8 @@ are written as Parquet to the shared folder and read again, so a lost executor
 costs no earlier stage. All but the last return the columns of documents.
 
 Nulls and clashing names: every stage keeps unknown columns as they are. A
-null text is `und` and goes with the first stage; rows that repeat a doc_id are
-one document from the second stage on. Empty tables pass through.
+null text is `und` and goes with the first stage; rows that repeat a doc_id, or
+have none, are each a document of their own. Empty tables pass through.
 """
 
 from __future__ import annotations
@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from leavewatch.llm import decontamination, jaccard_join, language_id, line_dedup, packing
-from leavewatch.llm.tables import table
+from leavewatch.llm.tables import each_row, table
 from leavewatch.sources.shared_storage import cut_lineage
 
 
@@ -25,12 +25,12 @@ def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def repeated_lines_removed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without line chunks that stood in an earlier document; documents left without text go."""
-    return line_dedup.cleaned(docs)
+    return each_row(docs, line_dedup.cleaned)
 
 
 def one_of_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document, the least doc_id, of each group of near duplicates."""
-    return jaccard_join.one_of_each_group(docs)
+    """One document, the first by doc_id, of each group of near duplicates."""
+    return each_row(docs, jaccard_join.one_of_each_group)
 
 
 def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

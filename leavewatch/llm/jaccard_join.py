@@ -271,7 +271,9 @@ def similar(docs: DataFrame, threshold: float = THRESHOLD, target: float = TARGE
     of other classes whose Jaccard similarity reaches the threshold, group_id
     the least doc_id that links lead to. A document without words, or null,
     is a class and a group of its own without links. Rows that repeat a
-    doc_id are one document (tables.one_per_id); other columns are not read.
+    doc_id are one document (tables.one_per_id; by tables.each_row every row
+    is judged, and classes and groups whose first rows repeat a doc_id bear the
+    same id); other columns are not read.
     """
     body = bodies(docs)
     signed = cut_lineage(body.mapInArrow(_sign(prefix_length(threshold, target)), SIGNED))

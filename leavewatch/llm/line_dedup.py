@@ -78,7 +78,8 @@ def deduplicated(docs: DataFrame, divisor: int = DIVISOR, rolled: int = ROLLED,
 
     The first copy of a chunk, by doc_id and place, stays. A null text is
     empty and stays so; an empty text is one empty line. doc_ids are unique in
-    the result (see tables.one_per_id); other columns are not read.
+    the result (see tables.one_per_id; by tables.each_row every row is judged);
+    other columns are not read.
     """
     found = _judged(one_per_id(docs.select("doc_id", "text")), divisor, rolled, least_lines)
     return found.withColumn("doc_id", restored())

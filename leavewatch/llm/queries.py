@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from leavewatch.llm import cover_tree, decontamination, jaccard_join, language_id, line_dedup, packing, substring_dedup, suffix_dedup, token_output, warc
-from leavewatch.llm.tables import table
+from leavewatch.llm.tables import each_row, table
 from leavewatch.sources.shared_storage import fresh_path
 
 
@@ -38,7 +38,7 @@ def vector_top_k(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def line_chunks(spark: SparkSession, folder: str) -> DataFrame:
-    found = line_dedup.deduplicated(table(spark, folder, "documents"))
+    found = each_row(table(spark, folder, "documents").select("doc_id", "text"), line_dedup.deduplicated)
     return found.select("doc_id", "n_lines", "n_removed", "n_chunks_removed", F.sha2("text", 256).alias("kept_sha256"))
 
 
@@ -47,17 +47,20 @@ def languages(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def word_passages(spark: SparkSession, folder: str) -> DataFrame:
-    found = substring_dedup.deduplicated(table(spark, folder, "documents"), digest=True)
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    found = each_row(docs, lambda rows: substring_dedup.deduplicated(rows, digest=True))
     return found.withColumnRenamed("kept", "kept_sha256")
 
 
 def byte_strings(spark: SparkSession, folder: str) -> DataFrame:
-    found = suffix_dedup.deduplicated(table(spark, folder, "documents"), digest=True)
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    found = each_row(docs, lambda rows: suffix_dedup.deduplicated(rows, digest=True))
     return found.withColumnRenamed("kept", "kept_sha256")
 
 
 def near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
-    return jaccard_join.similar(table(spark, folder, "documents"))
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    return each_row(docs, jaccard_join.similar, ("doc_id", "class_id", "group_id"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {

@@ -201,8 +201,8 @@ def deduplicated(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, digest
     A window repeats if its words also follow each other in a document of a
     smaller doc_id; all are judged on the input. Kept words are joined by one
     space (`digest`: the SHA-256 of that). A null text has no words; rows that
-    repeat a doc_id are one document (tables.one_per_id); other columns are
-    not read. Texts shorter than a window are never touched.
+    repeat a doc_id are one document (tables.one_per_id; by tables.each_row
+    every row is judged); other columns are not read. Texts shorter than a window are never touched.
     """
     body = bodies(docs)
     n = W.buckets(body, BLOCKS_PER_BYTE)

@@ -343,8 +343,8 @@ def deduplicated(docs: DataFrame, digest: bool = False, hot_group: int = HOT_GRO
     earlier in its own; all are judged on the input and may overlap. `kept` is
     the bytes that stay (a cut may split a character), with `digest` their
     SHA-256. A null text is empty; texts shorter than a string are never
-    touched; rows that repeat a doc_id are one document (tables.one_per_id);
-    other columns are not read.
+    touched; rows that repeat a doc_id are one document (tables.one_per_id; by
+    tables.each_row every row is judged); other columns are not read.
     """
     body = bodies(docs)
     n = W.buckets(body, BLOCKS_PER_BYTE)

@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterable
+
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from leavewatch.operators.ranking import with_position
+
 NO_ID = -(1 << 63)  # stands for a null doc_id inside an operator
 
 
@@ -39,6 +43,28 @@ def one_per_id(docs: DataFrame) -> DataFrame:
     return least.select("doc_id", "row.*").select(*(F.col(f"`{c}`") for c in docs.columns))
 
 
+def each_row(docs: DataFrame, operator: Callable[[DataFrame], DataFrame], ids: Iterable[str] = ("doc_id",)) -> DataFrame:
+    """operator(docs), with every row a document of its own where doc_ids repeat or are missing.
+
+    Such rows are numbered by doc_id (null first), then a hash of their other
+    columns, then where they stood; the operator sees the numbers as doc_ids.
+    The columns `ids` of its result, which hold them, become doc_ids again.
+    """
+    if docs.select(key_column()).groupBy("doc_id").count().where("count > 1").isEmpty():
+        return operator(docs)
+    others = [F.col(f"`{c}`") for c in docs.columns if c != "doc_id"]
+    rows = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("_all"), key_column().alias("_place"),
+                       F.md5(F.to_json(F.struct(*others))).alias("_hash"), F.monotonically_increasing_id().alias("_among"))
+    numbered = with_position(rows, "_place", "_hash", "_among", name="_key")
+    out = operator(numbered.select("_key", "_all.*").withColumn("doc_id", F.col("_key")).select(*(F.col(f"`{c}`") for c in docs.columns)))
+    columns = out.columns
+    for name in ids:
+        known = numbered.select(F.col("_key").alias("_key_of"), F.col("_all.doc_id").alias("_own"))
+        out = (out.join(known, F.col(name) == F.col("_key_of")).withColumn(name, F.col("_own"))
+               .select(*(F.col(f"`{c}`") for c in columns)))
+    return out
+
+
 def bodies(docs: DataFrame) -> DataFrame:
     """(doc_id, text) of one_per_id."""
     return one_per_id(docs.select("doc_id", "text"))
