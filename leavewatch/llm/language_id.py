@@ -21,8 +21,7 @@ from leavewatch.llm.text_arrays import slices
 BUCKETS = 1 << 15    # of hashed trigrams; the model holds languages x BUCKETS counts
 SMOOTHING = 0.5
 ROUNDS = 12          # of EM
-LARGEST_SET = 3
-MINOR = 0.02         # a text without a second language of this share has one language
+MINOR = 0.02         # a language of a smaller share is in no set
 PENALTY = 1.0        # times log(n) / 2 per further language
 UNKNOWN = "und"
 LEAST_SHARE = 0.5    # of the main language, for a text of several to pass `identified`
@@ -133,7 +132,7 @@ def judged(text: np.ndarray, bucket: np.ndarray, n: int, model: np.ndarray, prio
     main[present], score[present] = best, posterior
     value = top.copy()  # penalised log-likelihood so far
     size = np.diff(np.append(edge, len(count)))
-    for k in range(2, min(LARGEST_SET, model.shape[0]) + 1):
+    for k in range(2, model.shape[0] + 1):
         some = np.flatnonzero(share[row, order[:, k - 1]] >= MINOR)
         if not len(some):
             break

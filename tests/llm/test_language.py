@@ -2,6 +2,7 @@
 
 import zlib
 
+import numpy as np
 import odd
 import pyarrow.parquet as pq
 from conftest import MEDIUM
@@ -62,3 +63,14 @@ def test_nothing_to_learn_from(spark):
     docs = odd.documents(spark).withColumn("lang", odd.F.lit(None).cast("string"))
     assert {r.lang_pred for r in language_id.report(docs).collect()} == {"und"}
     assert language_id.report(odd.empty(spark)).count() == 0
+
+
+def test_sets_of_more_than_three_languages():
+    r = np.random.default_rng(5)
+    shares = [0.45, 0.20, 0.18, 0.17]
+    counts = np.full((6, language_id.BUCKETS), 0.5)
+    for lang in range(6):
+        counts[lang, 100 * lang:100 * lang + 100] += 1000
+    bucket = np.concatenate([100 * lang + r.integers(0, 100, size=int(4000 * share)) for lang, share in enumerate(shares)]).astype(np.uint32)
+    main, score, n = language_id.judged(np.zeros(len(bucket), np.int64), bucket, 1, np.log(counts / counts.sum(axis=1, keepdims=True)), np.full(6, 1 / 6))
+    assert main[0] == 0 and n[0] == 4 and abs(score[0] - 0.45) < 0.01
