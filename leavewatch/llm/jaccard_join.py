@@ -1,10 +1,11 @@
-"""Near duplicates by word shingles: a MinHash forest for candidates, exact Jaccard for links.
+"""Near duplicates by word shingles: MinHash bands for candidates, exact Jaccard for links.
 
 Texts with equal shingle sets are one class. Each class has a signature of
-minimum hashes and, in each of the forest's trees, a sequence of some of them.
-Classes that share a prefix of such a sequence share a node of that tree's
-trie. The prefix starts at its full length and is shortened until a pair at
-the similarity threshold meets in some tree with the target recall.
+minimum hashes and, in each of TREES bands, some of them hashed to one key;
+classes with one key share a node. This is fixed banding: how many hashes a
+band takes (prefix_length) follows from the threshold and the target recall,
+not from the data, and is 8 by default. Nothing sorts longer sequences or
+shortens prefixes level by level.
 
 Candidates never become pairs of rows: a node links its members to its least
 one, what hangs together is an island, and an island's shingle sets meet in
