@@ -1,12 +1,13 @@
-"""Repeated passages of words, by relative Lempel-Ziv parsing against reference blocks.
+"""Repeated passages of words, by looking up windows in reference blocks.
 
 Passages are dealt by their anchors (see windows.py). What meets in one bucket
 of anchors is a reference block: the passages around its anchors, indexed by
 their windows. A document's passages go to every reference block that can
-hold a match of theirs, and no other can. There each is factored: a factor
-copies consecutive windows from the earliest document that has them and ends
-where that copy ends. After a factor's end each window that crosses it is
-looked up too, so a passage that two references cover together is found.
+hold a match of theirs, and no other can. Equal blocks are settled by their
+hash. Of the others every window is looked up by its hash, also those that a
+passage has across two references; what is found is then joined to factors,
+runs of windows copied from consecutive places of one document. This is not a
+greedy Lempel-Ziv parse: no longest match is searched, no factor length decides.
 """
 
 from __future__ import annotations
