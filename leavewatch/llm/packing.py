@@ -6,7 +6,8 @@ bound from dual-feasible functions. What lies in sequences that are not full
 is exchanged: those pieces meet those of other groups in the next round, in
 ever fewer groups, and are packed anew. Full sequences stay: no packing of a
 piece set with fewer sequences leaves them less full. The last round is one
-group, or the round that won nothing.
+group, or comes after one that closed few sequences. The bounds report how far
+a packing is from the least (gap, certificate); they do not steer the rounds.
 """
 
 from __future__ import annotations
@@ -134,8 +135,8 @@ def packed(parts: DataFrame, capacity: int = CAPACITY, group: int = GROUP) -> Da
             break
         pool = tried.where("not full").select(*(c.split()[0] for c in PIECES.split(", ")))
         before, left, turn = left, pool.count(), turn + 1
-        # Ever fewer groups; where most sequences stay open, packing more together cannot win much.
-        groups = max(1, min(groups // 2, -(-left // group)))
+        # Fewer groups, but none much above its size; where most sequences stay open, packing more together cannot win much.
+        groups = max(1, -(-left // group))
         if left > 0.9 * before and left > group:
             rest = pool.withColumn("grp", F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32", F.lit(turn)), F.lit(max(1, -(-left // group)))))
             last = rest.groupBy("grp").applyInPandas(lambda frame: packed_group(frame, capacity), schema)

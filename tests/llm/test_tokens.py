@@ -112,3 +112,14 @@ def test_bound_never_exceeds_the_best_packing(lengths):
     optimum = fewest(sorted(lengths, reverse=True), [])
     lengths = np.array(lengths)
     assert packing.bound(lengths, 12) <= optimum <= packing.best_fit_decreasing(lengths, 12).max() + 1
+
+
+def test_no_group_outgrows_its_size(spark):
+    lengths = [10] * 90 + [6] * 210  # after a round more is left than one group holds
+    parts = spark.createDataFrame([(i, 0, 0, n, i) for i, n in enumerate(lengths)], packing.PIECES)
+    rows = packing.packed(parts, capacity=10, group=100).collect()
+    assert len({r.sequence_id for r in rows}) == len(rows) == 300
+    groups = {}
+    for r in rows:
+        groups.setdefault(r.sequence_id >> 28, []).append(r)
+    assert max(map(len, groups.values())) <= 130
