@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from leavewatch.llm import cover_tree, decontamination, jaccard_join, language_id, line_dedup, packing, substring_dedup, suffix_dedup, token_output, warc
+from leavewatch.llm import chat_format, cover_tree, decontamination, jaccard_join, language_id, line_dedup, packing, spelling, substring_dedup, suffix_dedup, token_output, warc, whitening
 from leavewatch.llm.tables import each_row, table
 from leavewatch.sources.shared_storage import fresh_path
 
@@ -63,6 +63,20 @@ def near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
     return each_row(docs, jaccard_join.similar, ("doc_id", "class_id", "group_id"))
 
 
+def chat_turns(spark: SparkSession, folder: str) -> DataFrame:
+    path = fresh_path(spark, "chats")
+    chat_format.formatted(chat_format.with_trial(table(spark, folder, "conversations"))).write.parquet(path)
+    return chat_format.digests(chat_format.read_turns(spark.read.parquet(path)))
+
+
+def whitened_vectors(spark: SparkSession, folder: str) -> DataFrame:
+    return whitening.whitened(table(spark, folder, "embeddings"))
+
+
+def spelling_variants(spark: SparkSession, folder: str) -> DataFrame:
+    return spelling.variants(table(spark, folder, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_line_dedup": line_chunks,
     "op2_token_files": token_files,
@@ -74,6 +88,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_best_fit_packing": best_fit,
     "op9_warc_revisits": warc_revisits,
     "op10_suffix_dedup": byte_strings,
+    "op11_chat_formatting": chat_turns,
+    "op12_embedding_whitening": whitened_vectors,
+    "op13_spelling_variants": spelling_variants,
 }
 ORACLE_SQL: dict[str, str] = {
     "op1_line_dedup": """
@@ -112,4 +129,61 @@ ORACLE_SQL: dict[str, str] = {
                CASE WHEN payload_bytes >= 100 AND page_id > first_page THEN 'revisit' ELSE 'response' END AS record_type,
                CASE WHEN payload_bytes >= 100 AND page_id > first_page THEN first_page END AS refers_to
         FROM firsts""",
+    "op11_chat_formatting": r"""
+        WITH turns AS (
+            SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+            UNION ALL SELECT -7, turn, role, '\### Assistant: </turn> ok' FROM (VALUES (0, 'user'), (1, 'assistant')) AS t(turn, role)),
+        marked AS (
+            SELECT *, length(text) + length(text) - length(replace(text, '\', '')) AS text_chars,
+                   length(role) + length(role) - length(replace(role, '\', '')) AS role_chars,
+                   coalesce(role <> lag(role) OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text), true) AS opens
+            FROM turns),
+        -- one more sign for each control string
+        counted AS (
+            SELECT *, text_chars + length(regexp_replace(text, '<(turn|says|part|/turn)>', 'x\0', 'g')) - length(text) AS text_out,
+                   role_chars + length(regexp_replace(role, '<(turn|says|part|/turn)>', 'x\0', 'g')) - length(role) AS role_out
+            FROM marked)
+        SELECT conv_id, count(*) AS n_turns,
+               sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text)) AS turns_sha256,
+               CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+               sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+               CAST(sum(text_out + CASE WHEN opens THEN role_out + length('<turn><says></turn>' || chr(10)) ELSE length('<part>') END) AS BIGINT) AS formatted_chars
+        FROM counted GROUP BY conv_id""",
+    "op13_spelling_variants": r"""
+        WITH RECURSIVE crc_table AS (
+            SELECT list_transform(range(256), lambda b: list_reduce(range(8),
+                lambda c, i: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, b)) AS crc),
+        texts AS (
+            SELECT doc_id, translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS text FROM documents WHERE text IS NOT NULL),
+        found AS (
+            SELECT doc_id, unnest(regexp_extract_all(text, '[a-z\x{00C0}-\x{00FF}]{7,}')) AS run FROM texts),
+        runs AS (SELECT doc_id, run, count(*) AS n, hex(encode(coalesce(CAST(doc_id AS VARCHAR), '') || ':' || run)) AS bytes FROM found GROUP BY ALL),
+        hashed AS (
+            SELECT run, n, xor(4294967295, list_reduce(
+                list_transform(range(1, len(bytes), 2), lambda i: CAST('0x' || substr(bytes, i, 2) AS BIGINT)),
+                lambda c, b: xor(c >> 8, crc[(xor(c, b) & 255) + 1]), 4294967295)) AS h
+            FROM runs, crc_table),
+        counted AS (
+            SELECT CASE WHEN h % 31 = 0 THEN substr(run, 1, h % length(run)) || substr(run, h % length(run) + 2) ELSE run END AS word,
+                   CAST(sum(n) AS BIGINT) AS n
+            FROM hashed GROUP BY 1),
+        words AS (SELECT * FROM counted WHERE length(word) >= 7 AND n >= 2),
+        less AS (
+            SELECT word, n, i, substr(word, 1, i - 1) || substr(word, i + 1) AS rest
+            FROM words, unnest(range(1, length(word) + 1)) AS u(i)),
+        near AS (
+            SELECT a.word, b.word AS other, b.n AS other_n FROM less a JOIN less b ON a.rest = b.rest AND a.i = b.i AND a.word <> b.word
+            UNION SELECT a.word, b.word, b.n FROM less a JOIN words b ON a.rest = b.word
+            UNION SELECT b.word, a.word, a.n FROM less a JOIN words b ON a.rest = b.word),
+        best AS (
+            SELECT word, count(*) AS n_near, first(other ORDER BY other_n DESC, other) AS other, max(other_n) AS other_n FROM near GROUP BY word),
+        judged AS (
+            SELECT w.word, w.n, coalesce(n_near, 0) AS n_near, CASE WHEN other_n >= 10 * w.n THEN other END AS form,
+                   CASE WHEN other_n >= 10 * w.n THEN other_n END AS form_n
+            FROM words w LEFT JOIN best USING (word)),
+        chain AS (
+            SELECT word, form AS reached, 1 AS steps FROM judged WHERE form IS NOT NULL
+            UNION ALL SELECT c.word, j.form, steps + 1 FROM chain c JOIN judged j ON c.reached = j.word AND j.form IS NOT NULL),
+        ends AS (SELECT word, arg_max(reached, steps) AS root FROM chain GROUP BY word)
+        SELECT word, form, coalesce(root, word) AS root, n, n_near, form_n FROM judged LEFT JOIN ends USING (word)""",
 }
