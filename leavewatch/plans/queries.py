@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from leavewatch import fixed_values as fixed
 from leavewatch.functions.text import (
@@ -15,7 +15,8 @@ from leavewatch.functions.text import (
     user_key_by_pattern,
 )
 from leavewatch.operators import cleaning, encoding, explore, phases, profiling, ranking, sessions, users
-from leavewatch.plans import modelling
+from leavewatch.plans import elastic_net, modelling, tree_grid
+from leavewatch.plans.score_table import ScoreTable
 from leavewatch.plans.sql_features import SqlFeatureTransformer, UserFeatureTransformer
 from leavewatch.sources import event_log
 from leavewatch.sources.sample_log import read_sample_log
@@ -420,75 +421,83 @@ def classification_metrics(spark, folder):
     return rounded(modelling.classification_metrics(guess))
 
 
-# Model scores and coefficients have no SQL answer. What these queries return
-# does: which users are scored, which models are tried, and that the outputs of
-# a fit agree with each other.
+# The optimum of a penalised fit is unique, so SQL that finds it by another
+# method gives the same coefficients, probabilities and scores.
 
-def _small_logistic(spark, folder):
-    return modelling.fit_churn_model(
-        _features(spark, folder), modelling.logistic_search(fixed.SMALL_LOGISTIC_GRID),
-        folds=2, test_percent=20, fit_scope="all")
+def six(value: Column) -> Column:
+    """Rounded to six digits; no negative zero."""
+    return F.when(F.abs(value) < 0.0000005, 0.0).otherwise(F.round(value, 6))
 
 
-def _checked(fit: modelling.ChurnFit) -> DataFrame:
-    """Sizes of a fit, and whether its scores follow from its predictions."""
-    hit_rate = fit.predictions.agg(F.avg((F.col("label") == F.col("prediction")).cast("double"))).head()[0]
-    return fit.summary().select(
-        "model", "n_train", "n_test",
-        (F.abs(F.col("accuracy") - hit_rate) < 1e-9).cast("int").alias("accuracy_recomputed"),
-        (F.abs(F.col("accuracy") + F.col("error") - 1) < 1e-9).cast("int").alias("error_completes"),
-        (F.col("f1_weighted").between(0, 1) & F.col("f1_positive").between(0, 1)).cast("int").alias("f1_in_range"))
+def _small_logistic(spark, folder):
+    return elastic_net.fit_elastic_models(
+        _features(spark, folder), elastic_net.penalty_points(fixed.SMALL_LOGISTIC_GRID),
+        folds=2, test_percent=20, fit_scope="all")
 
 
-def _checked_grid(grid: DataFrame) -> DataFrame:
-    """Grid points by model, and whether their scores are means of scores."""
-    return grid.select("model", "params", F.col("mean_score").between(0, 1).cast("int").alias("score_in_range"))
+def _large_logistic(spark, folder, scores=None):
+    return elastic_net.fit_elastic_models(_features(spark, folder), elastic_net.penalty_points(), scores=scores)
 
 
 @_query
 def churn_logreg_cv(spark, folder):
-    return _checked(_small_logistic(spark, folder))
+    return rounded(_small_logistic(spark, folder).summary())
 
 
 @_query
 def churn_predictions(spark, folder):
-    agrees = F.col("prediction") == (F.col("probability") > 0.5).cast("int")
-    return _small_logistic(spark, folder).predictions.select(
-        "userId", "label", agrees.cast("int").alias("prediction_follows"))
+    return _small_logistic(spark, folder).predictions.withColumn("probability", six(F.col("probability")))
 
 
-def _checked_coefficients(fit: modelling.ChurnFit, ascending: bool) -> DataFrame:
-    table = modelling.coefficient_table(fit, ascending)
-    before = F.lag("abs_coefficient").over(Window.orderBy("place"))  # one row per feature
-    step = F.col("abs_coefficient") - F.coalesce(before, F.col("abs_coefficient"))
-    in_order = (step if ascending else -step) >= 0
-    red = F.col("coefficient") < 0
-    return table.withColumn("place", F.monotonically_increasing_id()).select(
-        "feature", (F.col("colour") == F.when(red, "red").otherwise("blue")).cast("int").alias("colour_follows"),
-        in_order.cast("int").alias("in_order"))
+def _coefficients(fit, ascending=False):
+    return fit.coefficient_table(ascending).withColumns(
+        {c: six(F.col(c)) for c in ("coefficient", "abs_coefficient")})
 
 
 @_query
 def churn_coefficients(spark, folder):
-    return _checked_coefficients(_small_logistic(spark, folder), ascending=False)
+    return _coefficients(_small_logistic(spark, folder))
 
 
 @_query
 def churn_coefficients_rising(spark, folder):
-    return _checked_coefficients(_small_logistic(spark, folder), ascending=True)
+    return _coefficients(_small_logistic(spark, folder), ascending=True)
+
+
+@_query
+def churn_certificate(spark, folder):
+    """Gradient of the loss at every returned coefficient, and whether the penalty explains it."""
+    found = _large_logistic(spark, folder).certificate()
+    return found.select("feature", *[six(F.col(c)).alias(c) for c in ("coefficient", "gradient", "lasso")],
+                        (F.col("distance") < 1e-8).cast("int").alias("optimal"))
 
 
 @_query
 def grid_results(spark, folder):
-    fit = modelling.fit_churn_model(_features(spark, folder), modelling.logistic_search())
-    return _checked_grid(fit.grid)
+    return rounded(_large_logistic(spark, folder).grid)
+
+
+@_query
+def grid_fold_scores(spark, folder):
+    """The score of every point and fold, read from the table that a search keeps."""
+    scores = ScoreTable(spark, fresh_path(spark, "scores"))
+    _large_logistic(spark, folder, scores)
+    return rounded(scores.read())
 
 
 @_query
 def churn_elastic_cv(spark, folder):
     """The whole grid, penalty given as inverse strength, scored by the F1 of the cancelled."""
-    stored = cut_lineage(modelling.with_split(_features(spark, folder)))
-    n_train = stored.where(F.col("split") == "train").count()
-    search = modelling.inverse_strength_search(n_train)
-    fit = modelling.fit_churn_model(stored.drop("split"), search, folds=5, metric="fMeasureByLabel")
-    return _checked(fit).withColumn("n_points", F.lit(fit.grid.count()).cast("long"))
+    fit = elastic_net.fit_elastic_models(
+        _features(spark, folder), elastic_net.inverse_strength_points(), folds=5, metric="fMeasureByLabel",
+        standardised=False)
+    held_out = fit.summary().select("params", "n_train", "n_test", "f1_positive", "accuracy")
+    return rounded(fit.grid.join(F.broadcast(held_out), "params", "left"))  # one row
+
+
+@_query
+def churn_gbt_cv(spark, folder):
+    """The whole grid of boosted trees in 5 folds, up to 100 rounds, ended early by a fifth of each fit's own rows."""
+    scores = ScoreTable(spark, fresh_path(spark, "scores"))
+    fit = tree_grid.fit_tree_models(_features(spark, folder), tree_grid.tree_points(), scores, stop_percent=20)
+    return rounded(fit.grid)
