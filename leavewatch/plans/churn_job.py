@@ -26,19 +26,20 @@ from leavewatch.operators.users import (
     user_features_extended,
     without_nulls,
 )
+from leavewatch.plans import elastic_net, tree_grid
 from leavewatch.plans.modelling import (
     ChurnFit,
     Search,
-    all_grid_results,
-    capped_depths,
     coefficient_table,
+    feature_columns,
+    fit_churn_model,
     fit_churn_models,
     logistic_search,
-    tree_search,
 )
+from leavewatch.plans.score_table import ScoreTable, ranked
 from leavewatch.schema import EVENT_SCHEMA
 from leavewatch.sources.event_log import read_features, write_features
-from leavewatch.sources.shared_storage import scratch
+from leavewatch.sources.shared_storage import fresh_path, scratch
 
 ESTIMATORS = ("logistic", "trees")
 
@@ -72,22 +73,29 @@ def build_features(log: DataFrame, options: FeatureOptions = FeatureOptions()) -
     return drop_zero_columns(features) if options.drop_zeros else features
 
 
+Fit = ChurnFit | elastic_net.ElasticFit | tree_grid.TreeFit
+
+
 def run(log: DataFrame, features_path: str, options: FeatureOptions = FeatureOptions(),
-        searches: Sequence[Search] | None = None, **fit_options) -> list[ChurnFit]:
+        searches: Sequence[Search] | None = None, **fit_options) -> list[Fit]:
     """Write the user table, then search, fit and score models on it.
 
+    Without ``searches``, penalised logistic regression over the large grid.
     The fits read tables in the shared folder; run the job within
     :func:`leavewatch.sources.shared_storage.scratch` to have them deleted.
     """
     write_features(build_features(log, options), features_path)
     table = read_features(log.sparkSession, features_path)
-    return fit_churn_models(table, searches or [named_search("logistic")], **fit_options)
+    if searches is not None:
+        return fit_churn_models(table, searches, **fit_options)
+    return [logistic_fit(table, **fit_options)]
 
 
-def named_search(name: str) -> Search:
-    if name == "logistic":
-        return logistic_search(fixed.LARGE_LOGISTIC_GRID)
-    return tree_search(capped_depths())
+def logistic_fit(table: DataFrame, folds: int = 3, scores: ScoreTable | None = None) -> Fit:
+    """All points and folds at once; one by one where there are too many features for that."""
+    if len(feature_columns(table)) > elastic_net.MAX_FEATURES:
+        return fit_churn_model(table, logistic_search(), folds=folds)
+    return elastic_net.fit_elastic_models(table, elastic_net.penalty_points(), folds=folds, scores=scores)
 
 
 def main(arguments: Sequence[str] | None = None) -> None:
@@ -98,17 +106,29 @@ def main(arguments: Sequence[str] | None = None) -> None:
     parser.add_argument("--extended", action="store_true")
     parser.add_argument("--folds", type=int, default=3)
     parser.add_argument("--estimators", nargs="+", choices=ESTIMATORS, default=["logistic"])
+    parser.add_argument("--scores", help="where scores are kept; a job that is started again goes on from there")
+    parser.add_argument("--rounds", type=int, default=tree_grid.ROUNDS)
+    parser.add_argument("--stop-percent", type=int, default=0)
     given = parser.parse_args(arguments)
     spark = SparkSession.builder.getOrCreate()
     log = spark.read.schema(EVENT_SCHEMA).format(given.format).load(given.log)
     with scratch(spark):
-        fits = run(log, given.features, FeatureOptions(extended=given.extended),
-                   [named_search(name) for name in given.estimators], folds=given.folds)
-        all_grid_results(fits).show(200, truncate=False)
-        for fit in fits:
+        write_features(build_features(log, FeatureOptions(extended=given.extended)), given.features)
+        table = read_features(spark, given.features)
+        scores = ScoreTable(spark, given.scores or fresh_path(spark, "scores"))
+        for name in given.estimators:
+            if name == "logistic":
+                fit = logistic_fit(table, given.folds, scores)
+                if isinstance(fit, ChurnFit):
+                    fit.grid.show(200, truncate=False)
+                    coefficient_table(fit).show(100, truncate=False)
+                else:
+                    fit.coefficient_table().show(100, truncate=False)
+            else:
+                fit = tree_grid.fit_tree_models(table, tree_grid.tree_points(), scores, folds=given.folds,
+                                                rounds=given.rounds, metric="f1", stop_percent=given.stop_percent)
             fit.summary().show(truncate=False)
-            if fit.name == "logistic":
-                coefficient_table(fit).show(100, truncate=False)
+        ranked(scores.read()).show(200, truncate=False)
 
 
 if __name__ == "__main__":

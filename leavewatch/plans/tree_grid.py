@@ -94,17 +94,24 @@ def staged_cells(model: GBTClassificationModel, rows: DataFrame) -> np.ndarray:
     return out
 
 
+def learner(point: TreePoint, rounds: int) -> GBTClassifier:
+    return GBTClassifier(labelCol="label", featuresCol="features", maxIter=rounds, maxDepth=point.spark_depth,
+                         minInstancesPerNode=point.least_child, seed=42)
+
+
 @dataclass
 class TreeFit:
     """Outcome of :func:`fit_tree_models`."""
 
     scores: ScoreTable
-    params: list[str]
+    points: list[TreePoint]
     n_fits: int
     rows: DataFrame
+    n_rounds: int = ROUNDS
+    name: str = NAME
 
     def _own(self, df: DataFrame) -> DataFrame:
-        return df.where((F.col("model") == NAME) & F.col("params").isin(self.params))
+        return df.where((F.col("model") == NAME) & F.col("params").isin([p.params for p in self.points]))
 
     @property
     def grid(self) -> DataFrame:
@@ -116,6 +123,34 @@ class TreeFit:
         """(model, params, round, mean_score): what every number of rounds scores."""
         return staged_means(self._own(self.scores.staged()))
 
+    @property
+    def best(self) -> TreePoint:
+        """Of equal points the first in the grid."""
+        first = {r["params"] for r in self.grid.where("rank = 1").select("params").collect()}
+        return next(p for p in self.points if p.params in first)
+
+    @property
+    def predictions(self) -> DataFrame:
+        """(key, label, prediction, probability) of the test part by the best point, fitted on the whole training part.
+
+        With as many rounds as score best over the folds.
+        """
+        best = self.best
+        order = self.rounds.where(F.col("params") == best.params).orderBy(F.desc("mean_score"), "round")
+        rows = self.rows.withColumn("features", array_to_vector("x"))
+        model = learner(best, order.head()["round"]).fit(rows.where(F.col("split") == "train"))
+        return model.transform(rows.where(F.col("split") == "test")).select(
+            rows.columns[0], F.col("label").cast("int").alias("label"), F.col("prediction").cast("int").alias("prediction"),
+            vector_to_array("probability")[1].alias("probability"))
+
+    def summary(self) -> DataFrame:
+        """One row: the best point and its hold-out scores."""
+        scores = modelling.classification_metrics(self.predictions)
+        n_train = self.rows.where(F.col("split") == "train").count()
+        return scores.select(F.lit(NAME).alias("model"), F.lit(self.best.params).alias("params"),
+                             F.lit(n_train).cast("bigint").alias("n_train"), F.col("n_rows").alias("n_test"),
+                             "f1_weighted", "f1_positive", "accuracy", "error")
+
 
 def fit_tree_models(table: DataFrame, points: Sequence[TreePoint], scores: ScoreTable, folds: int = 5,
                     rounds: int = ROUNDS, test_percent: int = 25, metric: str = "fMeasureByLabel",
@@ -132,11 +167,10 @@ def fit_tree_models(table: DataFrame, points: Sequence[TreePoint], scores: Score
 
     def fit(point: TreePoint, fold: int) -> tuple[list[float], bool]:
         """Score after each round, and whether a deeper limit would change anything."""
-        learner = GBTClassifier(labelCol="label", featuresCol="features", maxIter=rounds, maxDepth=point.spark_depth,
-                                minInstancesPerNode=point.least_child, seed=42)
+        boosted = learner(point, rounds)
         if stop_percent:
-            learner = learner.setValidationIndicatorCol("stops")
-        model = learner.fit(train.where(F.col("fold") != fold))
+            boosted = boosted.setValidationIndicatorCol("stops")
+        model = boosted.fit(train.where(F.col("fold") != fold))
         cells = staged_cells(model, train.where(F.col("fold") == fold))
         reached = max(tree.depth for tree in model.trees)
         return cell_scores(cells, metric).tolist(), reached >= point.spark_depth
@@ -155,4 +189,4 @@ def fit_tree_models(table: DataFrame, points: Sequence[TreePoint], scores: Score
 
     with ThreadPoolExecutor(parallelism) as threads:
         fitted = sum(threads.map(chain, chains))
-    return TreeFit(scores, [p.params for p in points], fitted, rows)
+    return TreeFit(scores, list(points), fitted, rows, rounds)

@@ -57,3 +57,15 @@ def test_job_leaves_only_the_feature_table(spark, capsys):
     churn_job.main(["--log", log_path, "--features", table_path, "--format", "parquet", "--folds", "2"])
     assert {p.name for p in set(folder.iterdir()) - before} == {table_path.rpartition("/")[2]}
     assert "f1_weighted" in capsys.readouterr().out
+
+
+def test_job_goes_on_from_its_scores(spark, capsys, tmp_path):
+    log_path, scores = fresh_path(spark, "log"), str(tmp_path / "scores")
+    read_sample_log(spark, MEDIUM).write.parquet(log_path)
+    for run in ("first", "second"):
+        churn_job.main(["--log", log_path, "--features", str(tmp_path / run), "--format", "parquet", "--folds", "2",
+                        "--estimators", "trees", "--rounds", "1", "--scores", scores])
+    both = capsys.readouterr().out
+    assert both.count("max_depth=100, min_samples_split=32") >= 2
+    kept = spark.read.option("recursiveFileLookup", True).parquet(scores)
+    assert kept.count() == 20 * 2  # the second run fitted nothing anew

@@ -41,6 +41,9 @@ def test_scores_are_the_f1_of_the_held_out(features, rows, spark):
         score, = fit.scores.read().where(F.col("fold") == fold).collect()
         assert score["score"] == pytest.approx(modelling.classification_metrics(said).head()["f1_weighted"])
     assert fit.rounds.count() == 4
+    held_out = fit.summary().head()
+    assert held_out["n_train"] == train.count() and 0 <= held_out["accuracy"] <= 1
+    assert fit.predictions.count() == held_out["n_test"] == features.count() - train.count()
 
 
 def test_deeper_limits_share_a_fit_that_no_tree_fills(features, spark):
@@ -98,8 +101,9 @@ def test_both_estimators_in_one_ranking(features, spark):
 
 def test_staged_means_carry_the_last_score(spark):
     scores = table(spark)
-    scores.add([("trees", "p", 0, 1, 0.2), ("trees", "p", 0, 2, 0.4), ("trees", "p", 1, 1, 0.6)])
-    fit = tree_grid.TreeFit(scores, ["p"], 0, None)
+    own = tree_grid.TreePoint(2, 2).params
+    scores.add([("trees", own, 0, 1, 0.2), ("trees", own, 0, 2, 0.4), ("trees", own, 1, 1, 0.6), ("trees", "other", 1, 1, 0.9)])
+    fit = tree_grid.TreeFit(scores, [tree_grid.TreePoint(2, 2)], 0, None)
     assert {r["round"]: r["mean_score"] for r in fit.rounds.collect()} == {1: pytest.approx(0.4), 2: pytest.approx(0.5)}
 
 
