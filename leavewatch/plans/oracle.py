@@ -643,6 +643,23 @@ UNION ALL SELECT * FROM users""",
     "user_features_transformer": _WIDE,
     "sql_user_features": _WIDE,
     "user_agent_features": _AGENT_FEATURES,
+    "user_features_incremental": USERS + "SELECT * FROM users",
+    "published_features": USERS + "SELECT * FROM users",
+    "label_dictionary_growth": CLEAN + """,
+bounds AS (SELECT min(ts) AS first_ts, max(ts) AS last_ts FROM clean),
+sliced AS (SELECT clean.*, (ts - first_ts) * 10 // (last_ts - first_ts + 1) AS part FROM clean, bounds),
+arrived AS (SELECT *, CASE WHEN part = 3 THEN 10 ELSE part END AS place FROM sliced),
+long AS (
+  SELECT 'userId' AS "column", "userId" AS label, part, place FROM arrived
+  UNION ALL SELECT 'userAgent', "userAgent", part, place FROM arrived
+  UNION ALL SELECT 'page', page, part, place FROM arrived
+  UNION ALL SELECT 'artist', artist, part, place FROM arrived WHERE artist IS NOT NULL),
+counted AS (SELECT "column", label, part, place, count(*) AS n FROM long GROUP BY ALL),
+firsts AS (
+  SELECT "column", label, min(place) AS place, arg_min(part, place) AS part, arg_min(n, place) AS n, CAST(sum(n) AS BIGINT) AS n_events
+  FROM counted GROUP BY "column", label)
+SELECT "column", label, row_number() OVER (PARTITION BY "column" ORDER BY place, n DESC, label) - 1 AS label_rank,
+  'part-' || part AS added_in, n_events FROM firsts""",
     "churn_phase": CLEAN + """
 SELECT "userId", "sessionId", ts, page,
   CAST(page = 'Cancellation Confirmation' AS INTEGER) AS cancelled,

@@ -15,10 +15,13 @@ from leavewatch.functions.text import (
     user_key_by_pattern,
 )
 from leavewatch.operators import cleaning, encoding, explore, phases, profiling, ranking, sessions, users
+from leavewatch.operators.label_dictionary import LabelDictionary
+from leavewatch.operators.session_store import SessionStore
 from leavewatch.plans import elastic_net, modelling, tree_grid
 from leavewatch.plans.score_table import ScoreTable
 from leavewatch.plans.sql_features import SqlFeatureTransformer, UserFeatureTransformer
 from leavewatch.sources import event_log
+from leavewatch.sources.published import publish_table, read_published
 from leavewatch.sources.sample_log import read_sample_log
 from leavewatch.sources.shared_storage import cut_lineage, fresh_path
 
@@ -332,6 +335,51 @@ def churn_phase(spark, folder):
             .select("userId", "sessionId", "ts", "page", "cancelled", "phase"))
 
 
+# ---- a log that grows ---------------------------------------------------------
+
+CHUNKS, LATE, REPEATED = 10, 3, 5
+DICTIONARY_COLUMNS = ["userId", "userAgent", "page", "artist"]
+
+
+def _chunks(log: DataFrame) -> list[tuple[str, DataFrame]]:
+    """The log by slices of time as they come in: one late, one twice."""
+    stored = cut_lineage(log)
+    first, last = stored.agg(F.min("ts"), F.max("ts")).head()
+    place = F.expr(f"(ts - {first}) * {CHUNKS} div {last - first + 1}")
+    order = [i for i in range(CHUNKS) if i != LATE] + [REPEATED, LATE]
+    return [(f"part-{i}", stored.where(place == i)) for i in order]
+
+
+@_query
+def user_features_incremental(spark, folder):
+    """The user table after ten chunks, brought up to date before and after the late one."""
+    store = SessionStore(spark, fresh_path(spark, "sessions"), buckets=4)
+    *timely, late = _chunks(_clean(spark, folder))
+    for name, log in timely:
+        store.add_chunk(name, log)
+    store.refresh()
+    store.add_chunk(*late)
+    store.refresh()
+    return rounded(store.features())
+
+
+@_query
+def label_dictionary_growth(spark, folder):
+    labels = LabelDictionary(spark, fresh_path(spark, "labels"))
+    for name, log in _chunks(_clean(spark, folder)):
+        labels.add_chunk(name, log, DICTIONARY_COLUMNS)
+    return labels.read()
+
+
+@_query
+def published_features(spark, folder):
+    """The user table published twice: readers see the second."""
+    path, features = fresh_path(spark, "published"), _features(spark, folder)
+    publish_table(features.where("cancelled = 1"), path)
+    publish_table(features, path)
+    return rounded(read_published(spark, path))
+
+
 # ---- exploration ------------------------------------------------------------
 
 def _summary(spark, folder):
