@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.stat import Correlation
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from leavewatch import fixed_values as fixed
 from leavewatch.functions.numeric import guarded_ratio, hours, student_975
@@ -103,17 +105,51 @@ def correlation_pairs(df: DataFrame, columns: Sequence[str],
     columns = list(columns)
     if complete:
         return _from_matrix(df, columns)
-    values = F.expr(f"array({', '.join(f'CAST(`{c}` AS DOUBLE)' for c in columns)})")
-    firsts = df.select(values.alias("_v")).select("_v", F.posexplode("_v").alias("_i", "_x"))
-    before = F.slice("_v", 1, F.col("_i"))
-    both = (firsts.select("_i", "_x", F.posexplode(before).alias("_j", "_y"))
-            .withColumn("_both", F.col("_x").isNotNull() & F.col("_y").isNotNull()))
-    x, y = F.when(F.col("_both"), F.col("_x")), F.when(F.col("_both"), F.col("_y"))
+    return _from_masked_products(df, columns)
+
+
+_SUMS = ["n", "odd", "x", "y", "xx", "yy", "xy"]
+
+
+def _from_masked_products(df: DataFrame, columns: list[str]) -> DataFrame:
+    """Per pair the sums over the rows that hold both values, as products of masked matrices.
+
+    A task gives one row of sums per pair, whatever its number of rows. Values
+    are taken less the column's mean, so that little cancels.
+    """
+    k = len(columns)
+    stored = cut_lineage(df.select(*[F.col(f"`{c}`").cast("double").alias(f"c{i}") for i, c in enumerate(columns)]))
+    finite = [F.when(F.abs(f"c{i}") < float("inf"), F.col(f"c{i}")) for i in range(k)]
+    means = np.array([m or 0.0 for m in stored.agg(*[F.avg(v) for v in finite]).head()])
+    place = np.tril_indices(k, -1)
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros((len(_SUMS), len(place[0])))
+        for batch in batches:
+            there = np.column_stack([np.asarray(c.is_valid()) for c in batch.columns]).astype(float)
+            values = np.column_stack([c.to_numpy(zero_copy_only=False) for c in batch.columns]).astype(float) - means
+            good = np.isfinite(values)
+            x, there_and_good = np.where(good, values, 0.0), good.astype(float)
+            both = there_and_good.T @ there_and_good
+            sums = x.T @ there_and_good
+            squares = (x * x).T @ there_and_good
+            total += np.stack([m[place] for m in (both, there.T @ there - both, sums, sums.T, squares, squares.T, x.T @ x)])
+        yield pa.RecordBatch.from_arrays([pa.array(p.astype(np.int32)) for p in place] + [pa.array(t) for t in total], ["i", "j", *_SUMS])
+
+    parts = stored.mapInArrow(work, "i int, j int, " + ", ".join(f"{c} double" for c in _SUMS))
+    pairs = parts.groupBy("i", "j").agg(*[F.sum(c).alias(c) for c in _SUMS])
+    n = F.nullif(F.col("n"), F.lit(0.0))
+
+    def spread(s: str, ss: str) -> Column:
+        """Sum of squares around the mean; what rounding leaves of a constant is 0."""
+        left = F.col(ss) - F.col(s) * F.col(s) / n
+        return F.when(left > 1e-12 * F.col(ss), left).otherwise(0.0)
+
+    r = F.try_divide(F.col("xy") - F.col("x") * F.col("y") / n, F.sqrt(spread("x", "xx")) * F.sqrt(spread("y", "yy")))
+    defined = (n > 1) & (spread("x", "xx") > 0) & (spread("y", "yy") > 0)
     names = F.array(*[F.lit(c) for c in columns])
-    return (both.groupBy("_i", "_j")
-            .agg(F.try_divide(F.covar_samp(x, y), F.stddev_samp(x) * F.stddev_samp(y)).alias("r"))
-            .select(names[F.col("_i")].alias("feature_i"), names[F.col("_j")].alias("feature_j"),
-                    F.col("r").alias("correlation")))
+    return pairs.select(names[F.col("i")].alias("feature_i"), names[F.col("j")].alias("feature_j"),
+                        F.when(F.col("odd") > 0, float("nan")).when(defined, F.greatest(F.least(r, F.lit(1.0)), F.lit(-1.0))).alias("correlation"))
 
 
 def _from_matrix(df: DataFrame, columns: list[str]) -> DataFrame:

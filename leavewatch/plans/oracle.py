@@ -660,6 +660,11 @@ firsts AS (
   FROM counted GROUP BY "column", label)
 SELECT "column", label, row_number() OVER (PARTITION BY "column" ORDER BY place, n DESC, label) - 1 AS label_rank,
   'part-' || part AS added_in, n_events FROM firsts""",
+    "user_label_vectors": CLEAN + """,
+ranks AS (SELECT artist, row_number() OVER (ORDER BY count(*) DESC, artist) - 1 AS place FROM clean WHERE artist IS NOT NULL GROUP BY artist),
+sessions AS (SELECT "userId", count(DISTINCT "sessionId") AS s FROM clean GROUP BY "userId")
+SELECT "userId", CAST(place AS INTEGER) AS place, round(count(*) / any_value(s), 8) AS value
+FROM clean JOIN ranks USING (artist) JOIN sessions USING ("userId") GROUP BY "userId", place""",
     "churn_phase": CLEAN + """
 SELECT "userId", "sessionId", ts, page,
   CAST(page = 'Cancellation Confirmation' AS INTEGER) AS cancelled,

@@ -14,7 +14,7 @@ from leavewatch.functions.text import (
     user_key_by_path,
     user_key_by_pattern,
 )
-from leavewatch.operators import cleaning, encoding, explore, phases, profiling, ranking, sessions, users
+from leavewatch.operators import cleaning, encoding, explore, label_vectors, phases, profiling, ranking, sessions, users
 from leavewatch.operators.label_dictionary import LabelDictionary
 from leavewatch.operators.session_store import SessionStore
 from leavewatch.plans import elastic_net, modelling, tree_grid
@@ -131,8 +131,7 @@ def text_copy_counts(spark, folder):
     lines = spark.read.text(target)
     counts = lines.agg(F.count(F.lit(1)).alias("n_lines"),
                        F.count(user_key_by_pattern(F.col("value"))).alias("n_keyed_lines"))
-    both = spark.read.text(source).withColumn("side", F.lit(1)).unionByName(lines.withColumn("side", F.lit(-1)))
-    changed = both.groupBy("value").agg(F.sum("side").alias("more")).where("more <> 0").count()
+    changed = event_log.changed_lines(spark, source, target)
     parsed = event_log.read_json_log(spark, target).agg(F.sum("ts"), F.count("song"), F.count("userAgent")).head()
     return counts.select("*", *[F.lit(v).cast("long").alias(n) for n, v in zip(
         ("n_changed_lines", "sum_ts", "n_songs", "n_agents"), (changed, *parsed))])
@@ -329,6 +328,13 @@ def user_agent_features(spark, folder):
     return rounded(users.user_agent_features(keyed, clean_agents=True))
 
 
+@_query
+def user_label_vectors(spark, folder):
+    """Mean events per session by artist as a sparse vector per user, in its long form."""
+    vectors = label_vectors.label_mean_vectors(_clean(spark, folder), "artist")
+    return rounded(label_vectors.vector_entries(vectors, "labels", ["userId"]))
+
+
 @_query
 def churn_phase(spark, folder):
     return (phases.churn_phase(_clean(spark, folder))

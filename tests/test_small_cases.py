@@ -254,3 +254,14 @@ def test_shared_folder_is_required_off_local(spark, monkeypatch):
 def test_fixed_pages_cover_every_counter():
     counted = {**fixed.PAGE_COUNTS, **fixed.CANCEL_COUNTS, **fixed.SIGNUP_PAGE_COUNTS}
     assert set(counted.values()) | {fixed.LABEL_PAGE} == set(fixed.PAGES)
+
+
+def test_changed_lines_are_counted(spark, tmp_path):
+    def text(name, lines):
+        spark.createDataFrame([(line,) for line in lines], "value string").repartition(3).write.text(str(tmp_path / name))
+        return str(tmp_path / name)
+
+    whole = text("whole", ["a", "b", "b", "", "d"])
+    assert event_log.changed_lines(spark, whole, text("same", ["b", "", "d", "a", "b"])) == 0
+    assert event_log.changed_lines(spark, whole, text("less", ["a", "b", "", "e", "d"])) == 2
+    assert event_log.changed_lines(spark, whole, text("none", [])) == 4
