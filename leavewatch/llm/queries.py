@@ -99,9 +99,12 @@ ORACLE_SQL: dict[str, str] = {
             SELECT doc_id, i, ls[i] AS line, len(ls) AS n
             FROM bodies, unnest(range(1, len(ls) + 1)) AS u(i)),
         hashed AS (SELECT *, CAST('0x' || substr(md5(line), 1, 8) AS BIGINT) AS h FROM lines),
-        marked AS (
-            SELECT *, CAST(i = n OR (coalesce(lag(h) OVER w, 0) * 31 + h) % 4 = 0 AS INTEGER) AS is_end
+        met AS (
+            SELECT *, (coalesce(lag(h) OVER w, 0) * 31 + h) % 4 = 0 AS meets
             FROM hashed WINDOW w AS (PARTITION BY doc_id ORDER BY i)),
+        marked AS (
+            SELECT *, CAST(i = n OR (i > 1 AND i < n - 1 AND meets AND NOT lag(meets) OVER w) AS INTEGER) AS is_end
+            FROM met WINDOW w AS (PARTITION BY doc_id ORDER BY i)),
         numbered AS (SELECT *, coalesce(sum(is_end) OVER (PARTITION BY doc_id ORDER BY i
                                         ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS no FROM marked),
         parts AS (SELECT doc_id, no, count(*) AS size, string_agg(line, chr(10) ORDER BY i) AS part FROM numbered GROUP BY ALL),

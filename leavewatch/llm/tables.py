@@ -56,12 +56,12 @@ def each_row(docs: DataFrame, operator: Callable[[DataFrame], DataFrame], ids: I
     rows = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("_all"), key_column().alias("_place"),
                        F.md5(F.to_json(F.struct(*others))).alias("_hash"), F.monotonically_increasing_id().alias("_among"))
     numbered = with_position(rows, "_place", "_hash", "_among", name="_key")
-    out = operator(numbered.select("_key", "_all.*").withColumn("doc_id", F.col("_key")).select(*(F.col(f"`{c}`") for c in docs.columns)))
-    columns = out.columns
+    # The columns of docs stay inside the struct, so no name of theirs meets one of these.
+    out = operator(numbered.select(*(F.col("_key").alias(c) if c == "doc_id" else F.col("_all")[c].alias(c) for c in docs.columns)))
     for name in ids:
-        known = numbered.select(F.col("_key").alias("_key_of"), F.col("_all.doc_id").alias("_own"))
-        out = (out.join(known, F.col(name) == F.col("_key_of")).withColumn(name, F.col("_own"))
-               .select(*(F.col(f"`{c}`") for c in columns)))
+        known = numbered.select("_key", F.col("_all")["doc_id"].alias("_own")).alias("known")
+        joined = out.alias("found").join(known, F.col(f"found.`{name}`") == F.col("known._key"))
+        out = joined.select(*(F.col("known._own").alias(c) if c == name else F.col(f"found.`{c}`") for c in out.columns))
     return out
 
 

@@ -7,7 +7,10 @@ import random
 from pyspark.sql import functions as F  # noqa: F401 - for the tests
 from pyspark.sql import types as T
 
-CLASHING = ["row", "spans", "bucket", "payload", "key", "removed", "n_words", "kept", "class_id", "label", "score", "page", "first"]
+CLASHING = ["row", "spans", "bucket", "payload", "key", "removed", "n_words", "kept", "class_id", "label", "score", "page", "first",
+            "_id", "_found", "_key", "_key_of", "_own", "_all", "_place", "_hash", "_among", "_part", "_start", "_size", "_text_of_the_row",
+            "found", "whole", "known", "digest", "shard", "shards", "n", "no", "size", "tile", "island", "item_id", "spans", "longest"]
+CLASHING = list(dict.fromkeys(CLASHING))
 SCHEMA = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("text", T.StringType()), T.StructField("lang", T.StringType()),
                        T.StructField("source", T.StringType()), T.StructField("n_chars", T.LongType())]
                       + [T.StructField(c, T.StringType()) for c in CLASHING])

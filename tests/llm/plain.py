@@ -25,15 +25,11 @@ def words(text: str | None) -> list[str]:
 
 
 def line_chunks(text: str) -> list[list[str]]:
-    out, current, before = [], [], 0
-    for line in text.split("\n"):
-        h = int(hashlib.md5(line.encode()).hexdigest()[:8], 16)
-        current.append(line)
-        if (before * 31 + h) % 4 == 0:
-            out.append(current)
-            current = []
-        before = h
-    return out + [current] if current else out
+    lines = text.split("\n")
+    hashes = [0] + [int(hashlib.md5(line.encode()).hexdigest()[:8], 16) for line in lines]
+    meets = [False] + [(hashes[i - 1] * 31 + hashes[i]) % 4 == 0 for i in range(1, len(hashes))]
+    ends = [i for i in range(2, len(lines) - 1) if meets[i] and not meets[i - 1]] + [len(lines)]
+    return [lines[a:b] for a, b in zip([0] + ends, ends)]
 
 
 def line_dedup(docs: dict) -> dict:
@@ -58,7 +54,7 @@ def benchmark_hits(docs: list, items: list, width: int = 10) -> list:
     for item, text in items:
         w = words(text)
         for x in [tuple(w[i:i + width]) for i in range(len(w) - width + 1)] if len(w) >= width else [tuple(w)] if w else []:
-            windows[x].add(-1 if item is None else item)
+            windows[x].add("null" if item is None else item)
     sizes, out = {len(x) for x in windows}, []
     for text in docs:
         w, hit, found = words(text), set(), set()

@@ -48,3 +48,28 @@ def test_no_python_in_the_plan(spark):
 @pytest.mark.parametrize("name", sorted(queries.ORACLE_SQL))
 def test_registered_query_matches_sql(spark, name):
     assert_same(queries.QUERIES[name](spark, MEDIUM).toPandas(), connect(MEDIUM).execute(queries.ORACLE_SQL[name]).df())
+
+
+def test_hot_digests_are_dealt_to_several_tasks(spark):
+    """The same result with every digest beyond 4 chunks dealt in shards."""
+    shared = ["\n".join(odd.prose(s, 5) for s in range(k, k + 6)) for k in (500, 520, 540)]
+    docs = [(i, f"{odd.prose(600 + i, 4)}\n{shared[i % 3]}\n{odd.prose(900 + i, 4)}" if i % 4 else shared[i % 3]) for i in range(60)]
+    frame = spark.createDataFrame(docs, "doc_id long, text string")
+    body = line_dedup.one_per_id(frame)
+    def chosen(df):
+        return {r.doc_id: sorted(r.removed) for r in df.collect()}
+
+    found = chosen(line_dedup.repeated_chunks(body, hot=4))
+    assert found == chosen(line_dedup.repeated_chunks(body)) and len(found) > 20
+
+
+def test_whole_copies_go_whole(spark):
+    """Every text of several lines that equals an earlier one loses all its lines."""
+    texts = {r.doc_id: r.text for r in spark.read.parquet("/root/testdata/sf0.1/documents.parquet").select("doc_id", "text").collect()}
+    seen, copies = set(), set()
+    for i in sorted(texts):
+        if texts[i] in seen and "\n" in texts[i]:
+            copies.add(i)
+        seen.add(texts[i])
+    found = {r.doc_id: (r.n_lines, r.n_removed) for r in queries.QUERIES["op1_line_dedup"](spark, "/root/testdata/sf0.1").collect()}
+    assert len(copies) > 600 and all(found[i][0] == found[i][1] for i in copies)
