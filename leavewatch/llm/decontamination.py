@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from leavewatch.llm.tables import row_struct, row_text, with_row, without_text
+from leavewatch.llm.tables import NO_ID, row_struct, row_text, with_row, without_text
 from leavewatch.llm.text_arrays import FIRST, SECOND, byte_set, hashes, slices, spans, spread
 from leavewatch.sources.shared_storage import cut_lineage
 
@@ -79,7 +79,7 @@ class Suffixes:
         new = np.ones(len(order), dtype=bool)
         new[1:] = (keys[order][1:] != keys[order][:-1]) | (length[order][1:] != length[order][:-1])
         first = np.flatnonzero(new)
-        ids = np.array([r["item_id"] if r["item_id"] is not None else -1 for r in rows], dtype=np.int64)
+        ids = np.array([r["item_id"] if r["item_id"] is not None else NO_ID for r in rows], dtype=np.int64)
         return cls(known, h2[at], keys[order][first], tops[order][first], length[order][first], first,
                    np.diff(np.append(first, len(order))), ids[item[order]] if len(order) else np.empty(0, np.int64),
                    (start - begin[item])[order], item[order], width)
@@ -149,11 +149,12 @@ def _shard(index: Suffixes, h1, h2, count) -> tuple[list, list, list]:
     size = last - start + index.length[window[each[order[start]]]]
     for i in np.argsort(size, kind="stable").tolist():  # the longest is set last
         o = order[start[i]]
-        longest[t[o]] = {"words": int(size[i]), "item_id": int(index.item[occurrence[o]]), "at": int(w[o] - begin[t[o]])}
+        item = int(index.item[occurrence[o]])
+        longest[t[o]] = {"words": int(size[i]), "item_id": None if item == NO_ID else item, "at": int(w[o] - begin[t[o]])}
     pairs = np.unique(np.stack([t, whole]), axis=1)
     ids = dict(zip(index.whole.tolist(), index.item.tolist()))
     for i, k in pairs.T.tolist():
-        items[i].append(str(ids[k]))
+        items[i].append("null" if ids[k] == NO_ID else str(ids[k]))
     return hits, items, longest
 
 
@@ -162,11 +163,14 @@ def matched(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, keep: l
     """The kept columns of every row as struct `row`, and RESULT beside it.
 
     A null or empty text has no words and is never hit. Items without words,
-    null ones too, match nothing; an item with a null id counts as item -1.
-    Items that repeat an id are one item. Rows that repeat are judged alike.
+    null ones too, match nothing; items with a null id are one item, "null".
+    Items that repeat an id are one item; items that repeat are dropped first.
+    Rows that repeat are judged alike. Of matches of one length the first in
+    the text is the longest. Empty tables give empty results, or no hits. A
+    document's words have to fit in a task, and are held as hashes there.
     """
     spark = docs.sparkSession
-    items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text"))
+    items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text")).distinct()
     held = items.agg(F.coalesce(F.sum(F.octet_length("text") + 64), F.lit(0))).first()[0]
     blocks = max(1, -(-int(held) // block_bytes))
     columns = keep if keep is not None else docs.columns

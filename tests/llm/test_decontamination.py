@@ -6,7 +6,7 @@ import pytest
 
 from leavewatch.llm import decontamination
 
-ITEMS = [(1, odd.prose(1, 14)), (2, odd.prose(1, 60).upper()), (3, odd.prose(6, 3)), (4, None), (5, ""), (6, "!!"), (10, odd.prose(2, 400)), (2, odd.prose(9, 4)), (None, odd.prose(7, 40)),
+ITEMS = [(1, odd.prose(1, 14)), (2, odd.prose(1, 60).upper()), (3, odd.prose(6, 3)), (4, None), (5, ""), (6, "!!"), (10, odd.prose(2, 400)), (2, odd.prose(9, 4)), (None, odd.prose(7, 40)), (-1, odd.prose(7, 30)),
          (12, odd.prose(3, 5)), (13, "nul"), (11, odd.prose(1, 60))]
 
 
@@ -55,3 +55,9 @@ def test_clean_keeps_columns(spark):
     assert left.schema.simpleString() == docs.schema.simpleString()
     hit = {r[0] for r in expected(docs) if r[5]}
     assert {str(r.doc_id) for r in left.collect()} == {str(r.doc_id) for r in docs.collect()} - hit
+
+
+def test_repeated_items_fill_no_block(spark):
+    """Many equal rows in the benchmark are one item, in one small block."""
+    docs = odd.documents(spark)
+    assert found(decontamination.report(docs, benchmark(spark, ITEMS * 50).repartition(4))) == expected(docs)
