@@ -1,13 +1,19 @@
 """Best-fit packing of documents into sequences, with bounds that certify it.
 
-Pieces are dealt to groups of bounded size. Each group packs its own by
-best-fit decreasing and compares the number of its sequences with a lower
-bound from dual-feasible functions. What lies in sequences that are not full
-is exchanged: those pieces meet those of other groups in the next round, in
-ever fewer groups, and are packed anew. Full sequences stay: no packing of a
-piece set with fewer sequences leaves them less full. The last round is one
-group, or comes after one that closed few sequences. The bounds report how far
-a packing is from the least (gap, certificate); they do not steer the rounds.
+Pieces are dealt to groups of bounded size, by a number of their own, so that
+equal rows spread like others. Each group packs its pieces by best-fit
+decreasing and compares the number of its sequences with a lower bound from
+dual-feasible functions. Where both are equal the group is certified: no
+packing of its pieces has fewer sequences, and all of them stay but the one
+that is at most half full, if there is one. Groups with a gap keep their full
+sequences alone. What is not kept is exchanged: those pieces are dealt anew,
+meet those of other groups, and are packed again by best-fit decreasing, until
+one group holds them all or a round makes no fewer sequences of them.
+
+Nulls: a null text is one piece, the end id. Rows that repeat are documents of
+their own. Ties in length go by doc_id, then piece. Empty tables give an empty
+result. Long texts are cut into pieces where they are encoded; a text and its
+ids have to fit in one task.
 """
 
 from __future__ import annotations
@@ -101,7 +107,7 @@ def best_fit_decreasing(lengths: np.ndarray, capacity: int = CAPACITY) -> np.nda
 
 
 def packed_group(frame: pd.DataFrame, capacity: int) -> pd.DataFrame:
-    """Sequence and offset of each piece, how full the sequence is, and the group's bound."""
+    """Sequence and offset of each piece, the group's gap, and whether the sequence stays."""
     frame = frame.sort_values(["length", "doc_id", "piece"], ascending=[False, True, True], ignore_index=True)
     length = frame["length"].to_numpy()
     local = best_fit_decreasing(length, capacity)
@@ -111,7 +117,18 @@ def packed_group(frame: pd.DataFrame, capacity: int) -> pd.DataFrame:
     begin = np.concatenate([[0], np.cumsum(fill)[:-1]])
     offset = np.empty(len(frame), dtype=np.int64)
     offset[order] = running - begin[local[order]]
-    return frame.assign(local=local, offset=offset, full=fill[local] == capacity, gap=len(fill) - bound(length, capacity))
+    gap = len(fill) - bound(length, capacity)
+    stays = fill == capacity if gap else 2 * fill > capacity  # best fit leaves one sequence that is half full or less, at most
+    return frame.assign(local=local, offset=offset, stays=stays[local], gap=gap, used=len(fill))
+
+
+_ROWS = f"{PIECES}, row long"
+_NAMES = [c.split()[0] for c in _ROWS.split(", ")]
+
+
+def dealt(pool: DataFrame, turn: int, groups: int) -> DataFrame:
+    """Add grp, by the row's number and the turn."""
+    return pool.withColumn("grp", F.pmod(F.xxhash64("row", F.lit(turn)), F.lit(groups)).cast("int"))
 
 
 def packed(parts: DataFrame, capacity: int = CAPACITY, group: int = GROUP) -> DataFrame:
@@ -119,30 +136,23 @@ def packed(parts: DataFrame, capacity: int = CAPACITY, group: int = GROUP) -> Da
 
     sequence_id is unique but not dense. An empty table gives an empty result.
     """
-    spark = parts.sparkSession
-    pool, done, turn = parts, [], 0
-    left = pool.count()
-    groups = max(1, -(-left // group))
-    schema = f"{PIECES}, grp long, local long, offset long, full boolean, gap long"
+    pool = cut_lineage(parts.select(*_NAMES[:-1]).withColumn("row", F.monotonically_increasing_id()))
+    schema = f"{_ROWS}, grp int, local long, offset long, stays boolean, gap long, used long"
+    done, turn, left, opened = [], 0, pool.count(), None
     while True:
-        dealt = pool.withColumn("grp", F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32", F.lit(turn)), F.lit(groups)))
-        tried = cut_lineage(dealt.groupBy("grp").applyInPandas(lambda frame: packed_group(frame, capacity), schema))
-        ids = F.lit(turn << 56) + F.col("grp") * (1 << 28) + F.col("local")
-        tried = tried.withColumn("sequence_id", ids)
-        keep = tried.where("full") if groups > 1 else tried
-        done.append(keep.select(*(c.split()[0] for c in PIECES.split(", ")), "sequence_id", "offset"))
-        if groups == 1:
-            break
-        pool = tried.where("not full").select(*(c.split()[0] for c in PIECES.split(", ")))
-        before, left, turn = left, pool.count(), turn + 1
-        # Fewer groups, but none much above its size; where most sequences stay open, packing more together cannot win much.
         groups = max(1, -(-left // group))
-        if left > 0.9 * before and left > group:
-            rest = pool.withColumn("grp", F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32", F.lit(turn)), F.lit(max(1, -(-left // group)))))
-            last = rest.groupBy("grp").applyInPandas(lambda frame: packed_group(frame, capacity), schema)
-            ids = F.lit(turn << 56) + F.col("grp") * (1 << 28) + F.col("local")
-            done.append(cut_lineage(last).withColumn("sequence_id", ids).select(*(c.split()[0] for c in PIECES.split(", ")), "sequence_id", "offset"))
+        packs = dealt(pool, turn, groups).groupBy("grp").applyInPandas(lambda frame: packed_group(frame, capacity), schema)
+        tried = cut_lineage(packs.withColumn("sequence_id", F.lit(turn << 56) + F.col("grp").cast("long") * (1 << 28) + F.col("local")))
+        # One row per group: sequences made, and how many of them are open.
+        made, closed = tried.groupBy("grp").agg(F.first("used").alias("used"), F.count_distinct(F.when(F.col("stays"), F.col("local"))).alias("closed")).agg(
+            F.coalesce(F.sum("used"), F.lit(0)), F.coalesce(F.sum("closed"), F.lit(0))).head()
+        # Packing again is over where one group holds all, nothing is open, or the last exchange saved nothing.
+        over = groups == 1 or made == closed or (opened is not None and made >= opened)
+        done.append((tried if over else tried.where("stays")).select(*_NAMES[:-1], "sequence_id", "offset"))
+        if over:
             break
+        pool, opened, turn = tried.where("not stays").select(*_NAMES), made - closed, turn + 1
+        left = pool.count()
     out = done[0]
     for more in done[1:]:
         out = out.unionByName(more)
@@ -152,7 +162,7 @@ def packed(parts: DataFrame, capacity: int = CAPACITY, group: int = GROUP) -> Da
 def pack_documents(docs: DataFrame, capacity: int = CAPACITY, group: int = GROUP, tokenizer: str | None = None,
                    end_id: int = tokens.END_ID) -> DataFrame:
     """PIECES of all documents with sequence_id and offset, in few sequences."""
-    return packed(cut_lineage(pieces(docs, capacity, tokenizer, end_id)), capacity, group)
+    return packed(pieces(docs, capacity, tokenizer, end_id), capacity, group)
 
 
 def certificate(out: DataFrame, capacity: int = CAPACITY) -> tuple[int, int]:
