@@ -90,19 +90,33 @@ def _blocks(window: int, gram: int, n_buckets: int):
     return emit
 
 
-def _meet(table: pa.Table) -> pa.Table:
+def _meet(hot_group: int):
+    return lambda table: _met(table, hot_group)
+
+
+def _met(table: pa.Table, hot_group: int) -> pa.Table:
     parts = [W.unpacked(v.as_py(), *_KINDS) for v in table.column("payload")]
     kind, key, block, doc, lo, n, off = (np.concatenate(c) for c in zip(*parts))
     meet = np.flatnonzero((kind == _MEET) | (kind == _CROWDED))
     dup, detail = (meet[m] for m in W.judged(key[meet], block[meet], doc[meet], lo[meet], False, kind[meet] == _CROWDED))
+    # A key is hot with many blocks to be looked at, or with some that skipped the meeting; those know it themselves.
+    names, of = np.unique(key, return_inverse=True)
+    hot = (np.bincount(of[detail], minlength=len(names)) > hot_group) | (np.bincount(of[kind == _CROWDED], minlength=len(names)) > 0)
+    look = np.flatnonzero(kind == _LOOK)
+    off = np.concatenate([off[detail] + W.HOT_MARK * hot[of[detail]], off[look] + W.HOT_MARK])
     dup = np.concatenate([dup, np.flatnonzero(kind == _REPEATED)])
-    detail = np.concatenate([detail, np.flatnonzero(kind == _LOOK)])
-    out = W.verdicts(doc[dup], lo[dup], n[dup], doc[detail], lo[detail], n[detail], off[detail])
+    detail = np.concatenate([detail, look])
+    out = W.verdicts(doc[dup], lo[dup], n[dup], doc[detail], lo[detail], n[detail], off)
     return pa.Table.from_batches([out] if out else [], pa.schema([("doc_id", pa.int64()), ("dup", pa.binary()), ("detail", pa.binary())]))
 
 
+_ASKED = ("<i8", "<i4", "<i4", "<u8",    # whole passages: doc, lo, n, hashes of the windows
+          "<u8", "<i8", "<i4",             # windows of hot anchors: hash, doc, place
+          "<i8", "<i4")                    # windows known to be repeated: doc, place
+
+
 def _passages(window: int, gram: int, n_buckets: int):
-    """Blocks to be looked at, with the hashes of their windows."""
+    """Blocks to be looked at, with the hashes of their windows; those of hot anchors by window, dealt by the hashes."""
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, wanted in W.batches_by_document(batches, W.DETAIL):
             ids = np.asarray(batch.column("doc_id"))
@@ -111,21 +125,35 @@ def _passages(window: int, gram: int, n_buckets: int):
                 want = np.concatenate(wanted[first:last])
                 if not len(want):
                     continue
-                low = bounds[of] + want["lo"]
-                key = FIRST.ranges(FIRST.sums(words), low + want["off"], low + want["off"] + gram)
-                start = spread(low, want["n"].astype(np.int64))
-                seen = SECOND.ranges(SECOND.sums(words), start, start + window)
-                begin = np.cumsum(want["n"]) - want["n"]
-                bucket = _bucket(key, n_buckets)
-                order = np.argsort(bucket, kind="stable")
-                b = bucket[order]
-                edge = np.flatnonzero(np.diff(b, prepend=-1))
-                values = []
-                for a, z in zip(edge, np.append(edge[1:], len(b))):
-                    own = order[a:z]
-                    values.append(W.packed(ids[first:last][of[own]], want["lo"][own], want["n"][own],
-                                           seen[spread(begin[own].astype(np.int64), want["n"][own].astype(np.int64))]))
-                yield pa.RecordBatch.from_arrays([pa.array(b[edge].astype(np.int32)), pa.array(values, pa.binary())], ["bucket", "payload"])
+                low, n, doc = bounds[of] + want["lo"], want["n"].astype(np.int64), ids[first:last][of]
+                at = low + want["off"] % W.HOT_MARK
+                key = FIRST.ranges(FIRST.sums(words), at, at + gram)
+                sums = SECOND.sums(words)
+                hot = want["off"] >= W.HOT_MARK
+                cold = np.flatnonzero(~hot)
+
+                def windows_of(own: np.ndarray) -> np.ndarray:
+                    start = spread(low[cold[own]], n[cold[own]])
+                    return SECOND.ranges(sums, start, start + window)
+
+                start = spread(low[hot], n[hot])
+                seen = SECOND.ranges(sums, start, start + window)
+                text = np.repeat(of[hot], n[hot])
+                whose, place = ids[first:last][text], (start - bounds[text]).astype(np.int32)
+                # Of windows that are equal here only those of the first document can be new.
+                order = np.lexsort((place, whose, seen))
+                new = np.ones(len(order), dtype=bool)
+                new[1:] = seen[order][1:] != seen[order][:-1]
+                begin = np.flatnonzero(new)
+                least = np.repeat(whose[order][begin], np.diff(np.append(begin, len(order))))
+                again = whose[order] > least
+                sent, known = order[~again], order[again]
+                blocks = [doc[cold], want["lo"][cold], want["n"][cold], windows_of]
+                out = W.by_bucket((_bucket(key[cold], n_buckets), blocks),
+                                  (_bucket(seen[sent], n_buckets), [seen[sent], whose[sent], place[sent]]),
+                                  (whose[known] % n_buckets, [whose[known], place[known]]))
+                if out:
+                    yield out
     return emit
 
 
@@ -154,18 +182,22 @@ def factors(doc: np.ndarray, place: np.ndarray, seen: np.ndarray) -> tuple[np.nd
 
 def _factored(table: pa.Table) -> pa.Table:
     schema = pa.schema([("doc_id", pa.int64()), ("dup", pa.binary()), ("detail", pa.binary())])
-    parts = [W.unpacked(v.as_py(), "<i8", "<i4", "<i4", "<u8") for v in table.column("payload")]
-    total = sum(len(p[3]) for p in parts)
+    parts = [W.unpacked(v.as_py(), *_ASKED) for v in table.column("payload")]
+    total = sum(len(p[3]) + len(p[4]) for p in parts)
     passes = max(1, -(-total // W.AT_ONCE))
-    out = []
+    out = [W.runs(np.concatenate([p[7] for p in parts]), np.concatenate([p[8] for p in parts]).astype(np.int64))]
     for turn in range(passes):  # windows with one hash are in one turn
         doc, place, seen = [], [], []
-        for d, lo, n, w in parts:
+        for d, lo, n, w, w2, d2, p2, _, _ in parts:
             at = spread(lo.astype(np.int64), n.astype(np.int64))
             own = slice(None) if passes == 1 else np.flatnonzero(w % np.uint64(passes) == turn)
             doc.append(np.repeat(d, n)[own])
             place.append(at[own])
             seen.append(w[own])
+            own = np.flatnonzero(w2 % np.uint64(passes) == turn)
+            doc.append(d2[own])
+            place.append(p2[own].astype(np.int64))
+            seen.append(w2[own])
         out.append(factors(np.concatenate(doc), np.concatenate(place), np.concatenate(seen)))
     d, p, n = (np.concatenate(c) for c in zip(*out))
     none = np.empty(0, np.int64)
@@ -196,7 +228,8 @@ def _kept(window: int, digest: bool):
     return emit
 
 
-def deduplicated(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, digest: bool = False) -> DataFrame:
+def deduplicated(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, digest: bool = False,
+                 hot_group: int = W.HOT_GROUP) -> DataFrame:
     """(doc_id, n_words, n_removed, kept): each word gone that a repeated window covers.
 
     A window repeats if its words also follow each other in a document of a
@@ -208,7 +241,7 @@ def deduplicated(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, digest
     body = bodies(docs)
     n = W.buckets(body, BLOCKS_PER_BYTE)
     sent = body.mapInArrow(_blocks(window, gram, n), "bucket int, payload binary")
-    found = cut_lineage(W.dealt(sent, n).applyInArrow(_meet, W.VERDICT))
+    found = cut_lineage(W.dealt(sent, n).applyInArrow(_meet(hot_group), W.VERDICT))
     asked = W.joined_spans(body, found, "detail", "inner").mapInArrow(_passages(window, gram, n), "bucket int, payload binary")
     more = W.dealt(asked, n).applyInArrow(_factored, W.VERDICT)
     dups = found.select("doc_id", "dup").unionByName(more.select("doc_id", "dup"))

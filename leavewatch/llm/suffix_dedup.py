@@ -30,8 +30,6 @@ WINDOW = 100
 DEPTH = 24               # bytes of a suffix that are sorted: the anchor itself; whole 8-byte words
 BLOCKS_PER_BYTE = 0.027
 RANGES = 1024            # ranges of suffixes, at most; more buckets deal each range by a hash
-HOT_GROUP = 1024         # distinct blocks of one anchor beyond which its windows are dealt to
-PARTS = 16               # so many tasks
 SAMPLE_DOCS, SAMPLE_EACH = 1000, 32  # for the ranges' bounds, which balance the work and decide nothing
 
 _WORDS = DEPTH // 8
@@ -166,7 +164,6 @@ def range_bounds(body: DataFrame, ranges: int) -> np.ndarray:
 
 _MEET, _REPEATED, _LOOK = 0, 1, 2
 _RUN = ("u1", "u1", "<u8", "<i8", "<i4", "<i4", "<i4")  # shared, rest, block, doc, lo, n, off
-_HOT = 1 << 16           # added to the anchor's place in a block of a hot group
 _DECIDED = ("u1", "<i8", "<i4", "<i4", "<i4")           # kind, doc, lo, n, off
 
 
@@ -242,14 +239,22 @@ def _merged(table: pa.Table, hot_group: int) -> pa.Table:
     rep, look = kind == _REPEATED, kind == _LOOK
     # A group of which some blocks skipped the meeting has more than HOT here, so it is hot on both ways.
     hot = np.bincount(group[detail], minlength=int(group.max()) + 1)[group] > min(hot_group, W.HOT - 1) if len(group) else np.zeros(0, bool)
-    off, off2 = off + _HOT * hot, off2 + _HOT * look
+    off, off2 = off + W.HOT_MARK * hot, off2 + W.HOT_MARK * look
     out = W.verdicts(*(np.concatenate([a[dup], b[rep]]) for a, b in ((doc, doc2), (lo, lo2), (n, n2))),
                      *(np.concatenate([a[detail], b[look]]) for a, b in ((doc, doc2), (lo, lo2), (n, n2), (off, off2))))
     return pa.Table.from_batches([out] if out else [], _SCHEMA)
 
 
+_ASKED = ("<i8", "<i4", "<i4", "u1",      # whole blocks: doc, lo, n, bytes
+          "<u8", "<u8", "<i8", "<i4",       # windows of hot anchors: two hashes, doc, place
+          "<i8", "<i4")                     # windows known to be repeated: doc, place
+
+
 def _strings(n_buckets: int):
-    """Blocks to be looked at, as bytes, dealt by their anchors."""
+    """Blocks to be looked at, as bytes, dealt by their anchors; those of hot anchors by window, dealt by the windows' hashes."""
+    def to(key: np.ndarray) -> np.ndarray:
+        return ((key >> np.uint64(32)) * np.uint64(n_buckets) >> np.uint64(32)).astype(np.int64)
+
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, wanted in W.batches_by_document(batches, W.DETAIL):
             ids = np.asarray(batch.column("doc_id"))
@@ -258,48 +263,48 @@ def _strings(n_buckets: int):
                 if not len(want):
                     continue
                 of = np.repeat(np.arange(last - first), [len(w) for w in wanted[first:last]])
-                low = offsets[of] + want["lo"]
-                at = low + want["off"] % _HOT
-                key = FIRST.ranges(FIRST.sums(data), at, at + DEPTH)
-                bucket = ((key >> np.uint64(32)) * np.uint64(n_buckets) >> np.uint64(32)).astype(np.int64)
-                # A hot anchor's blocks go to several buckets, each of which looks at its share of the windows.
-                copies = np.where(want["off"] >= _HOT, PARTS, 1)
-                block = np.repeat(np.arange(len(want)), copies)
-                turn = spread(np.zeros(len(want), np.int64), copies)
-                bucket = (bucket[block] + turn * (n_buckets // PARTS + 1)) % n_buckets
-                place = (bucket * PARTS + turn) * 2 + (copies[block] > 1)
-                order = np.argsort(place, kind="stable")
-                b = place[order]
-                edge = np.flatnonzero(np.diff(b, prepend=-1))
-                values = []
-                for a, z in zip(edge, np.append(edge[1:], len(b))):
-                    own = block[order[a:z]]
-                    raw = data[spread(low[own], want["n"][own].astype(np.int64) + WINDOW - 1)]
-                    share = np.array([copies[own[0]], turn[order[a]]], dtype=np.int64)
-                    values.append(W.packed(share, ids[first:last][of[own]], want["lo"][own], want["n"][own], raw))
-                yield pa.RecordBatch.from_arrays([pa.array(bucket[order[edge]].astype(np.int32)), pa.array(values, pa.binary())], ["bucket", "payload"])
+                low, n = offsets[of] + want["lo"], want["n"].astype(np.int64)
+                at = low + want["off"] % W.HOT_MARK
+                sums = FIRST.sums(data)
+                key, doc = FIRST.ranges(sums, at, at + DEPTH), ids[first:last][of]
+                hot = want["off"] >= W.HOT_MARK
+                cold = np.flatnonzero(~hot)
+                start = spread(low[hot], n[hot])
+                one = FIRST.ranges(sums, start, start + WINDOW)
+                two = SECOND.ranges(SECOND.sums(data), start, start + WINDOW) if len(start) else one
+                text = np.repeat(of[hot], n[hot])
+                whose, place = ids[first:last][text], (start - offsets[text]).astype(np.int32)
+                # Of windows that are equal here only the first can be new.
+                order = np.lexsort((place, whose, two, one))
+                again = np.zeros(len(order), dtype=bool)
+                again[1:] = (one[order][1:] == one[order][:-1]) & (two[order][1:] == two[order][:-1])
+                sent, known = order[~again], order[again]
+                blocks = [doc[cold], want["lo"][cold], want["n"][cold], lambda own: data[spread(low[cold[own]], n[cold[own]] + WINDOW - 1)]]
+                out = W.by_bucket((to(key[cold]), blocks), (to(one[sent]), [one[sent], two[sent], whose[sent], place[sent]]),
+                                  (whose[known] % n_buckets, [whose[known], place[known]]))
+                if out:
+                    yield out
     return emit
 
 
 def _compare(table: pa.Table) -> pa.Table:
-    """Windows of a bucket's blocks that stand earlier in another block, by two independent hashes."""
-    parts = [W.unpacked(v.as_py(), "<i8", "<i8", "<i4", "<i4", "u1") for v in table.column("payload")]
-    total = sum(int(p[3].sum()) // int(p[0][0]) for p in parts)
+    """Windows of a bucket that stand earlier in another block, by two independent hashes."""
+    parts = [W.unpacked(v.as_py(), *_ASKED) for v in table.column("payload")]
+    total = sum(int(p[2].sum()) + len(p[4]) for p in parts)
     passes = max(1, -(-total // W.AT_ONCE))
-    out = []
+    out = [W.runs(np.concatenate([p[8] for p in parts]), np.concatenate([p[9] for p in parts]).astype(np.int64))]
     for turn in range(passes):  # equal windows are in one turn
         columns = []
-        for share, doc, lo, n, raw in parts:
+        for doc, lo, n, raw, one, two, whose, place, _, _ in parts:
             size = n.astype(np.int64)
             begin = np.cumsum(size + WINDOW - 1) - (size + WINDOW - 1)
             start = spread(begin, size)
-            one = FIRST.ranges(FIRST.sums(raw), start, start + WINDOW)
-            mine = one % np.uint64(passes) == turn
-            if share[0] > 1:
-                mine &= (one >> np.uint64(40)) % np.uint64(share[0]) == share[1]
-            own = np.flatnonzero(mine)
-            two = SECOND.ranges(SECOND.sums(raw), start[own], start[own] + WINDOW)
-            columns.append((one[own], two, np.repeat(doc, n)[own], spread(lo.astype(np.int64), size)[own]))
+            first = FIRST.ranges(FIRST.sums(raw), start, start + WINDOW)
+            own = np.flatnonzero(first % np.uint64(passes) == turn)
+            second = SECOND.ranges(SECOND.sums(raw), start[own], start[own] + WINDOW)
+            columns.append((first[own], second, np.repeat(doc, n)[own], spread(lo.astype(np.int64), size)[own]))
+            own = np.flatnonzero(one % np.uint64(passes) == turn)
+            columns.append((one[own], two[own], whose[own], place[own].astype(np.int64)))
         one, two, doc, place = (np.concatenate(c) for c in zip(*columns))
         order = np.lexsort((place, doc, two, one))
         again = np.zeros(len(order), dtype=bool)
@@ -336,7 +341,7 @@ def _kept(digest: bool):
     return emit
 
 
-def deduplicated(docs: DataFrame, digest: bool = False, hot_group: int = HOT_GROUP) -> DataFrame:
+def deduplicated(docs: DataFrame, digest: bool = False, hot_group: int = W.HOT_GROUP) -> DataFrame:
     """(doc_id, n_bytes, n_removed, n_spans, kept): each byte gone that a repeated string of WINDOW bytes covers.
 
     A string repeats if it also starts in a document of smaller doc_id, or

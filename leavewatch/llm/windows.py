@@ -9,7 +9,9 @@ a key made of the anchor, a hash of the block, and where it stands.
   window in them is repeated. Copies inside one map task are resolved before
   the exchange, so a passage in a third of all documents arrives once per task.
 * Distinct blocks with one key may share windows. The first copy of each is
-  looked at window by window, among the blocks of its key.
+  looked at window by window, among the blocks of its key. Where a key has more
+  than HOT_GROUP of them it is hot: its windows are dealt by their own hash, so
+  that no task gets more of them than another.
 """
 
 from __future__ import annotations
@@ -26,6 +28,8 @@ from pyspark.sql.group import GroupedData
 FLUSH = 400_000       # blocks a map task gathers before it sends them
 BUCKET_BLOCKS = 250_000
 HOT = 4096            # blocks of one key in one task beyond which they skip the meeting by key
+HOT_GROUP = 1024      # blocks of one key to be looked at beyond which their windows are dealt one by one
+HOT_MARK = 1 << 16    # added to the anchor's place in a block of a hot key
 AT_ONCE = 2_000_000   # windows compared at once
 
 DUP = np.dtype([("lo", "<i4"), ("n", "<i4")])
@@ -159,6 +163,24 @@ def runs(doc: np.ndarray, place: np.ndarray) -> tuple[np.ndarray, np.ndarray, np
     return d[start], p[start], np.diff(np.append(start, len(d)))
 
 
+def by_bucket(*groups: tuple[np.ndarray, list[np.ndarray]]) -> pa.RecordBatch | None:
+    """Rows (bucket, payload) of several groups of arrays, each dealt by its own buckets; a payload has the arrays of all groups."""
+    order = [np.argsort(bucket, kind="stable") for bucket, _ in groups]
+    buckets = [bucket[o] for (bucket, _), o in zip(groups, order)]
+    names = np.unique(np.concatenate(buckets))
+    if not len(names):
+        return None
+    left, right = ([np.searchsorted(b, names, side=side) for b in buckets] for side in ("left", "right"))
+    values = []
+    for k in range(len(names)):
+        arrays = []
+        for (_, columns), o, a, z in zip(groups, order, left, right):
+            own = o[a[k]:z[k]]
+            arrays += [c(own) if callable(c) else c[own] for c in columns]
+        values.append(packed(*arrays))
+    return pa.RecordBatch.from_arrays([pa.array(names.astype(np.int32)), pa.array(values, pa.binary())], ["bucket", "payload"])
+
+
 def joined_spans(body: DataFrame, spans: DataFrame, column: str, how: str) -> DataFrame:
     """body with `spans`, the list of a document's records; at most one element per bucket and source."""
     listed = spans.where(F.octet_length(column) > 0).groupBy("doc_id").agg(F.collect_list(column).alias("spans"))

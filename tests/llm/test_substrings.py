@@ -3,9 +3,10 @@
 import numpy as np
 import odd
 import plain
+import pyarrow as pa
 import pytest
 
-from leavewatch.llm import substring_dedup, suffix_dedup
+from leavewatch.llm import queries, substring_dedup, suffix_dedup
 from leavewatch.llm import windows as W
 
 
@@ -53,8 +54,8 @@ def test_shared_passages_with_different_neighbours(spark):
     passage = odd.prose(50, 40)
     rows = [(i, f"{odd.prose(60 + i, i % 7)} {passage[: 40 + 5 * i]} {odd.prose(90 + i, 9)}") for i in range(40)]
     docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
-    assert word_rows(substring_dedup.deduplicated(docs, digest=True)) == plain.word_passages(dict(rows))
-    for hot in (1024, 2):
+    for hot in (1024, 2, 0):
+        assert word_rows(substring_dedup.deduplicated(docs, digest=True, hot_group=hot)) == plain.word_passages(dict(rows))
         assert byte_rows(suffix_dedup.deduplicated(docs, digest=True, hot_group=hot)) == plain.byte_strings(dict(rows))
 
 
@@ -90,8 +91,11 @@ def test_hot_keys_and_turns(monkeypatch):
     assert W.hot(group).tolist() == [False, False, False, True, False, True]
     text = np.frombuffer((odd.prose(1, 80) * 3).encode(), dtype=np.uint8)
     n = np.array([len(text) - 99], dtype=np.int32)
-    value = W.packed(np.array([1, 0]), np.array([4, 8]), np.zeros(2, np.int32), np.repeat(n, 2), np.concatenate([text, text]))
-    import pyarrow as pa
+    start = np.arange(int(n[0]))
+    hashes = [h.ranges(h.sums(text), start, start + 100) for h in (suffix_dedup.FIRST, suffix_dedup.SECOND)]
+    # Document 6 has the same windows, sent one by one; the last two of document 4 are known to be repeated.
+    value = W.packed(np.array([4, 8]), np.zeros(2, np.int32), np.repeat(n, 2), np.concatenate([text, text]),
+                     *hashes, np.full(len(start), 6), start.astype(np.int32), np.array([4, 4]), np.array([n[0] - 2, n[0] - 1], dtype=np.int32))
     table = pa.table({"bucket": [0], "payload": [value]})
 
     def marked():
@@ -101,12 +105,12 @@ def test_hot_keys_and_turns(monkeypatch):
     whole = marked()
     monkeypatch.setattr(W, "AT_ONCE", 100)
     assert marked() == whole
-    assert whole[8] == list(range(int(n[0])))
+    assert whole[8] == whole[6] == list(range(int(n[0])))
+    assert set(whole[4]) >= {int(n[0]) - 2, int(n[0]) - 1} and len(whole[4]) < len(whole[8])
 
 
 @pytest.mark.parametrize("hot", [4096, 2])
 def test_blocks_beyond_hot_meet_copies_of_other_tasks(monkeypatch, hot):
-    import pyarrow as pa
     monkeypatch.setattr(W, "HOT", hot)
     phrase = odd.prose(70, 40)
     texts = {3: f"{odd.prose(71, 20)} {phrase} {odd.prose(72, 20)}", 8: " ".join([phrase] * 30), 9: " ".join(["same"] * 200), 4: " ".join(["same"] * 50)}
@@ -120,7 +124,7 @@ def test_blocks_beyond_hot_meet_copies_of_other_tasks(monkeypatch, hot):
         return [row for b, v in values.items() for row in work(pa.table({"bucket": [b] * len(v), "payload": v})).to_pylist()]
 
     body = [pa.RecordBatch.from_pydict({"doc_id": ids, "text": [texts[i] for i in ids]}) for ids in parts]
-    found = grouped((out for part in body for out in substring_dedup._blocks(13, 5, 4)(iter([part]))), substring_dedup._meet)
+    found = grouped((out for part in body for out in substring_dedup._blocks(13, 5, 4)(iter([part]))), substring_dedup._meet(1024))
     asked = {i: [r["detail"] for r in found if r["doc_id"] == i and r["detail"]] for i in texts}
     body = [pa.RecordBatch.from_arrays([pa.array([i]), pa.array([texts[i]]), pa.array([asked[i]], pa.list_(pa.binary()))], ["doc_id", "text", "spans"])
             for i in texts if asked[i]]
@@ -130,3 +134,30 @@ def test_blocks_beyond_hot_meet_copies_of_other_tasks(monkeypatch, hot):
         spans = [np.frombuffer(r["dup"], W.DUP) for r in found if r["doc_id"] == i and r["dup"]]
         removed[i] = len({w for lo, n in np.concatenate([np.empty(0, W.DUP), *spans]).tolist() for w in range(lo, lo + n + 12)})
     assert removed == {i: gone for i, (_, gone, _) in plain.word_passages(texts).items()}
+
+
+@pytest.mark.parametrize("module", [substring_dedup, suffix_dedup])
+def test_windows_of_a_hot_anchor_are_dealt_evenly(module):
+    """All blocks of one anchor, thousands of them, spread over the buckets by window."""
+    n_buckets, texts = 16, [odd.prose(s, 120) for s in range(300)]
+    n = 60 if module is substring_dedup else 400
+    spans = [[np.array([(0, n, W.HOT_MARK + 5)], dtype=W.DETAIL).tobytes()] for _ in texts]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(300), pa.int64()), pa.array(texts), pa.array(spans, pa.list_(pa.binary()))], ["doc_id", "text", "spans"])
+    emit = module._passages(13, 5, n_buckets) if module is substring_dedup else module._strings(n_buckets)
+    held = np.zeros(n_buckets, dtype=int)
+    for out in emit(iter([batch])):
+        for bucket, payload in zip(out.column(0).to_pylist(), out.column(1).to_pylist()):
+            held[bucket] += len(W.unpacked(payload, *module._ASKED)[4])
+    assert held.sum() > 0.8 * 300 * n and held.max() < 1.2 * held.mean()
+
+
+def test_whole_table_equals_plain_versions(spark):
+    """The registered queries on all documents of a given table."""
+    folder = "/root/testdata/sf0.01"
+    texts = {r.doc_id: r.text or "" for r in spark.read.parquet(f"{folder}/documents.parquet").select("doc_id", "text").collect()}
+    found = {r.doc_id: (r.n_words, r.n_removed, r.kept_sha256) for r in queries.QUERIES["op5_substring_dedup"](spark, folder).collect()}
+    assert found == plain.word_passages(texts)
+    folder = "/root/testdata/sf0.001"
+    texts = {r.doc_id: r.text or "" for r in spark.read.parquet(f"{folder}/documents.parquet").select("doc_id", "text").collect()}
+    found = {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in queries.QUERIES["op10_suffix_dedup"](spark, folder).collect()}
+    assert found == plain.byte_strings(texts)
