@@ -121,6 +121,11 @@ class Suffixes:
 RESULT = ("n_words long, hit array<int>, items array<string>, longest struct<words:int, item_id:long, at:int>")
 
 
+def _length(match: dict | None) -> tuple:
+    """Orders matches of a text: longer first, then earlier in the text, then of a smaller item."""
+    return (match["words"], -match["at"], -(NO_ID if match["item_id"] is None else match["item_id"])) if match else (0, 0, 0)
+
+
 def _shard(index: Suffixes, h1, h2, count) -> tuple[list, list, list]:
     """Hit words, items and longest verbatim match of each text."""
     window, word = index.matches(index.ranks(h1, h2), count)
@@ -147,7 +152,8 @@ def _shard(index: Suffixes, h1, h2, count) -> tuple[list, list, list]:
     start = np.flatnonzero(run)
     last = np.append(start[1:], len(order)) - 1
     size = last - start + index.length[window[each[order[start]]]]
-    for i in np.argsort(size, kind="stable").tolist():  # the longest is set last
+    # The longest is set last; of equal ones the first in the text, then that of the smallest item.
+    for i in np.lexsort((-index.item[occurrence[order[start]]], -w[order[start]], size)).tolist():
         o = order[start[i]]
         item = int(index.item[occurrence[o]])
         longest[t[o]] = {"words": int(size[i]), "item_id": None if item == NO_ID else item, "at": int(w[o] - begin[t[o]])}
@@ -165,8 +171,8 @@ def matched(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, keep: l
     A null or empty text has no words and is never hit. Items without words,
     null ones too, match nothing; items with a null id are one item, "null".
     Items that repeat an id are one item; items that repeat are dropped first.
-    Rows that repeat are judged alike. Of matches of one length the first in
-    the text is the longest. Empty tables give empty results, or no hits. A
+    Rows that repeat are judged alike. Of longest matches the
+    first in the text counts, then that of the smallest item, null before all. Empty tables give empty results, or no hits. A
     document's words have to fit in a task, and are held as hashes there.
     """
     spark = docs.sparkSession
@@ -191,7 +197,7 @@ def matched(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, keep: l
                     if more:
                         hits = [sorted({*x, *y}) for x, y in zip(hits, part.column("hit").to_pylist())]
                         found = [x + y for x, y in zip(found, part.column("items").to_pylist())]
-                        longest = [max((y, x), key=lambda z: z["words"] if z else 0) for x, y in zip(longest, part.column("longest").to_pylist())]
+                        longest = [max((y, x), key=_length) for x, y in zip(longest, part.column("longest").to_pylist())]
                     row = part.column(0)
                     if last and not inside:
                         row = without_text(row)

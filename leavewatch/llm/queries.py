@@ -113,6 +113,64 @@ ORACLE_SQL: dict[str, str] = {
                count(*) FILTER (gone) AS n_chunks_removed,
                sha256(coalesce(string_agg(part, chr(10) ORDER BY no) FILTER (NOT gone), '')) AS kept_sha256
         FROM judged GROUP BY doc_id""",
+    "op3_jaccard_join": r"""
+        WITH RECURSIVE texts AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws FROM documents),
+        sets AS (
+            SELECT doc_id, CASE WHEN len(ws) = 0 THEN ['no words: ' || doc_id] ELSE list_sort(list_distinct(list_transform(
+                range(1, greatest(len(ws) - 4, 1) + 1), lambda i: array_to_string(ws[i:i + 4], ' ')))) END AS shingles
+            FROM texts),
+        classes AS (SELECT shingles, min(doc_id) AS class_id, count(*) AS class_size FROM sets GROUP BY shingles),
+        items AS (SELECT class_id, len(shingles) AS size, unnest(shingles) AS shingle FROM classes),
+        common AS (
+            SELECT a.class_id AS a, b.class_id AS b, a.size AS m, b.size AS n, count(*) AS shared
+            FROM items a JOIN items b ON a.shingle = b.shingle AND a.class_id <> b.class_id GROUP BY ALL),
+        links AS (SELECT a, b FROM common WHERE shared >= 0.8 * (m + n - shared) - 1e-9),
+        reached(class_id, label) AS (
+            SELECT class_id, class_id FROM classes
+            UNION SELECT r.class_id, l.b FROM reached r JOIN links l ON r.label = l.a),
+        grouped AS (SELECT class_id, min(label) AS group_id FROM reached GROUP BY class_id),
+        counted AS (SELECT a AS class_id, count(*) AS n_links FROM links GROUP BY a)
+        SELECT doc_id, class_id, class_size, coalesce(n_links, 0) AS n_links, group_id
+        FROM sets JOIN classes USING (shingles) JOIN grouped USING (class_id) LEFT JOIN counted USING (class_id)""",
+    "op4_benchmark_decontamination": r"""
+        WITH texts AS (
+            SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws FROM documents),
+        items AS (
+            SELECT row_number() OVER () AS item, item_id, ws, least(len(ws), 10) AS size
+            FROM (SELECT DISTINCT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws FROM benchmark) WHERE len(ws) > 0),
+        passages AS (SELECT item, item_id, size, k, array_to_string(ws[k:k + size - 1], ' ') AS passage FROM items, unnest(range(1, len(ws) - size + 2)) AS u(k)),
+        places AS (
+            SELECT doc_id, i, size, array_to_string(ws[i:i + size - 1], ' ') AS passage
+            FROM texts, (SELECT DISTINCT size FROM items) AS s, unnest(range(1, len(ws) - size + 2)) AS u(i)),
+        found AS (SELECT doc_id, i, size, item, item_id, k FROM places JOIN passages USING (size, passage)),
+        covered AS (SELECT doc_id, count(DISTINCT w) AS n_hit FROM found, unnest(range(i, i + size)) AS u(w) GROUP BY doc_id),
+        named AS (
+            SELECT doc_id, count(*) AS n_items, string_agg(id, ',' ORDER BY id) AS ids
+            FROM (SELECT DISTINCT doc_id, coalesce(CAST(item_id AS VARCHAR), 'null') AS id FROM found) GROUP BY doc_id),
+        numbered AS (SELECT *, i - row_number() OVER (PARTITION BY doc_id, item, i - k ORDER BY i) AS run FROM found),
+        matches AS (
+            SELECT doc_id, item_id, min(i) - 1 AS place, max(i) - min(i) + max(size) AS n
+            FROM numbered GROUP BY doc_id, item, item_id, i - k, run),
+        longest AS (
+            SELECT doc_id, first(n ORDER BY n DESC, place, item_id NULLS FIRST) AS n, first(item_id ORDER BY n DESC, place, item_id NULLS FIRST) AS item_id,
+                   first(place ORDER BY n DESC, place, item_id NULLS FIRST) AS place
+            FROM matches GROUP BY doc_id)
+        SELECT doc_id, len(ws) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items, sha256(coalesce(ids, '')) AS items_sha256,
+               n_hit IS NOT NULL AS contaminated, CAST(n AS INTEGER) AS longest_words, item_id AS longest_item, CAST(place AS INTEGER) AS longest_at
+        FROM texts LEFT JOIN covered USING (doc_id) LEFT JOIN named USING (doc_id) LEFT JOIN longest USING (doc_id)""",
+    "op5_substring_dedup": r"""
+        WITH texts AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws FROM documents),
+        words AS (SELECT doc_id, i, ws[i] AS word, CASE WHEN i + 12 <= len(ws) THEN array_to_string(ws[i:i + 12], ' ') END AS passage
+                  FROM texts, unnest(range(1, len(ws) + 1)) AS u(i)),
+        firsts AS (SELECT passage, min(doc_id) AS first_doc FROM words WHERE passage IS NOT NULL GROUP BY passage),
+        judged AS (
+            SELECT doc_id, i, word, coalesce(bool_or(first_doc < doc_id) OVER (
+                PARTITION BY doc_id ORDER BY i ROWS BETWEEN 12 PRECEDING AND CURRENT ROW), false) AS gone
+            FROM words LEFT JOIN firsts USING (passage))
+        SELECT doc_id, len(ws) AS n_words, coalesce(n_removed, 0) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
+        FROM texts LEFT JOIN (
+            SELECT doc_id, count(*) FILTER (gone) AS n_removed, string_agg(word, ' ' ORDER BY i) FILTER (NOT gone) AS kept
+            FROM judged GROUP BY doc_id) USING (doc_id)""",
     "op7_cover_tree_top_k": """
         WITH whole AS (
             SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v FROM embeddings
@@ -132,6 +190,23 @@ ORACLE_SQL: dict[str, str] = {
                CASE WHEN payload_bytes >= 100 AND page_id > first_page THEN 'revisit' ELSE 'response' END AS record_type,
                CASE WHEN payload_bytes >= 100 AND page_id > first_page THEN first_page END AS refers_to
         FROM firsts""",
+    "op10_suffix_dedup": r"""
+        WITH texts AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+        -- Cut first: places of a long string are slow to reach.
+        chunks AS (SELECT doc_id, 1000 * k AS base, substr(h, 2000 * k + 1, 2198) AS c FROM texts, unnest(range(0, (strlen(h) // 2 + 999) // 1000)) AS u(k)),
+        bytes AS (SELECT doc_id, base + j AS i, substr(c, 2 * j + 1, 2) AS b, CASE WHEN 2 * j + 200 <= strlen(c) THEN md5(substr(c, 2 * j + 1, 200)) END AS piece
+                  FROM chunks, unnest(range(0, least(1000, strlen(c) // 2))) AS u(j)),
+        firsts AS (SELECT piece, min(CAST(doc_id AS HUGEINT) * 4294967296 + i) AS first_place FROM bytes WHERE piece IS NOT NULL GROUP BY piece HAVING count(*) > 1),
+        judged AS (
+            SELECT doc_id, i, b, coalesce(bool_or(first_place < CAST(doc_id AS HUGEINT) * 4294967296 + i) OVER (
+                PARTITION BY doc_id ORDER BY i ROWS BETWEEN 99 PRECEDING AND CURRENT ROW), false) AS gone
+            FROM bytes LEFT JOIN firsts USING (piece)),
+        edged AS (SELECT *, gone AND NOT coalesce(lag(gone) OVER (PARTITION BY doc_id ORDER BY i), false) AS opens FROM judged)
+        SELECT doc_id, strlen(h) // 2 AS n_bytes, coalesce(n_removed, 0) AS n_removed, coalesce(n_spans, 0) AS n_spans,
+               sha256(unhex(coalesce(kept, ''))) AS kept_sha256
+        FROM texts LEFT JOIN (
+            SELECT doc_id, count(*) FILTER (gone) AS n_removed, count(*) FILTER (opens) AS n_spans, string_agg(b, '' ORDER BY i) FILTER (NOT gone) AS kept
+            FROM edged GROUP BY doc_id) USING (doc_id)""",
     "op11_chat_formatting": r"""
         WITH turns AS (
             SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations

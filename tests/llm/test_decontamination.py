@@ -61,3 +61,13 @@ def test_repeated_items_fill_no_block(spark):
     """Many equal rows in the benchmark are one item, in one small block."""
     docs = odd.documents(spark)
     assert found(decontamination.report(docs, benchmark(spark, ITEMS * 50).repartition(4))) == expected(docs)
+
+
+def test_longest_match_has_an_order(spark):
+    """Of equally long matches the first in the text, then the smallest item, in one block or several."""
+    items = [(9, odd.prose(1, 20)), (5, odd.prose(1, 20)), (2, odd.prose(2, 20)), (None, odd.prose(3, 12))]
+    docs = spark.createDataFrame([(1, f"{odd.prose(1, 20)} x {odd.prose(2, 20)}"), (2, f"{odd.prose(2, 20)} x {odd.prose(1, 20)}"),
+                                  (3, odd.prose(3, 12))], "doc_id long, text string")
+    for size in (1 << 24, 100):
+        found = decontamination.matched(docs, benchmark(spark, items), keep=["doc_id"], block_bytes=size).collect()
+        assert {r.row.doc_id: r.longest and tuple(r.longest) for r in found} == {1: (20, 5, 0), 2: (20, 2, 0), 3: (12, None, 0)}
