@@ -6,6 +6,14 @@ walks both together: a pair of nodes is dropped when no vector below one can
 reach, with any query below the other, the worst kth score found so far in
 that query group. Each slice returns k rows per query at most, which Spark
 merges. Scores are exact integers; bounds are rounded outwards.
+
+A child's covering radius is its parent's divided by BASE at most, and centers
+of one parent are further apart than that. How much is pruned is up to the
+data: vectors in clusters leave few pairs of nodes, vectors spread evenly over
+a sphere of many dimensions leave them all (`Search.scored` counts).
+
+Nulls: see top_k; ties go to the smaller vec_id; an empty table, or one without
+queries, gives an empty result.
 """
 
 from __future__ import annotations
@@ -25,7 +33,9 @@ EVERY = 50            # queries are the rows whose vec_id is divisible by this
 SCALE = 256.0
 QUERY_BLOCK = 4096    # queries sent to all tasks at once
 SLICE_ROWS = 20_000   # vectors in one tree
-LEAF = 256
+BASE = 1.3            # a level's covering radius over the next one's
+LEAF, LEAST_EACH = 64, 8              # rows of a node that stays whole; rows per child, on average, below which a node does
+QUERY_LEAF, QUERY_LEAST_EACH = 4, 2   # the same for queries: tight groups prune
 _EXACT = 1 << 53
 
 
@@ -56,30 +66,33 @@ class Node:
     children: list[Node]
 
 
-def cover_tree(vectors: np.ndarray, rows: np.ndarray | None = None) -> Node:
-    """A node's children are centers, each beyond half of the node's radius from the others, with the rows nearest to them."""
+def cover_tree(vectors: np.ndarray, leaf: int = LEAF, least_each: int = LEAST_EACH, rows: np.ndarray | None = None) -> Node:
+    """A node's children cover its rows within radius / BASE of their centers, which are further apart than that.
+
+    Nodes of ``leaf`` rows stay whole, and so do those whose rows lie so far
+    apart that children would hold ``least_each`` each or fewer.
+    """
     rows = np.arange(len(vectors)) if rows is None else rows
     own = vectors[rows]
     center = own[0]
     distance = np.sqrt(((own - center) ** 2).sum(axis=1))
     radius = float(distance.max())
     node = Node(center, float(np.sqrt((center ** 2).sum())), radius, rows, [])
-    if len(rows) <= LEAF or radius == 0:
+    if len(rows) <= leaf or radius == 0:
         return node
-    nearest, of, centers = distance, np.zeros(len(rows), dtype=np.int64), 1
-    while centers < 16:
-        far = int(nearest.argmax())
-        if nearest[far] <= radius / 2:
-            break
+    nearest, of, centers = distance, np.zeros(len(rows), dtype=np.int64), [0]
+    while nearest[far := int(nearest.argmax())] > radius / BASE:
+        if least_each * len(centers) >= len(rows):
+            return node
         d = np.sqrt(((own - own[far]) ** 2).sum(axis=1))
         closer = d < nearest
-        of[closer], centers = centers, centers + 1
+        of[closer] = len(centers)
+        centers.append(far)
         nearest = np.minimum(nearest, d)
-    for c in range(centers):
+    for c, head in enumerate(centers):
         part = np.flatnonzero(of == c)
-        if len(part):
-            head = part[nearest[part].argmin()]
-            node.children.append(cover_tree(vectors, rows[np.concatenate([[head], part[part != head]])]))
+        if len(part):  # a vector equal to an earlier center has gone to it
+            node.children.append(cover_tree(vectors, leaf, least_each, rows[np.concatenate([[head], part[part != head]])]))
     return node
 
 
@@ -99,6 +112,7 @@ class Search:
         self.queries, self.query_ids, self.vectors, self.ids, self.k = queries, query_ids, vectors, ids, k
         self.best = [[] for _ in queries]                  # (-score, vec_id), ascending
         self.worst = np.full(len(queries), -np.inf)        # kth score
+        self.scored = 0                                    # pairs
 
     def ceiling(self, q: Node, v: Node) -> float:
         bound = float(q.center @ v.center) + q.norm * v.radius + v.norm * q.radius + q.radius * v.radius
@@ -118,6 +132,7 @@ class Search:
 
     def leaves(self, q: Node, v: Node) -> None:
         scores = products(self.queries[q.rows], self.vectors[v.rows])
+        self.scored += scores.size
         ids = self.ids[v.rows]
         hit = scores >= self.worst[q.rows][:, None]  # ties may still win by id
         for i in np.flatnonzero(hit.any(axis=1)).tolist():
@@ -165,7 +180,7 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = TOP, query_block: int
         sent = spark.sparkContext.broadcast(groups)
 
         def search(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
-            trees = {n: cover_tree(q) for n, (q, _) in sent.value.items()}
+            trees = {n: cover_tree(q, QUERY_LEAF, QUERY_LEAST_EACH) for n, (q, _) in sent.value.items()}
             for batch in batches:
                 for at in range(0, batch.num_rows, SLICE_ROWS):
                     piece = batch.slice(at, SLICE_ROWS)

@@ -60,13 +60,49 @@ def test_large_components_stay_exact():
     assert cover_tree.products(q, v).tolist() == [[6 * 10**18 + 7, 6 * 10**18 + 8]]
 
 
-def test_tree_covers_its_rows():
-    v = np.random.default_rng(1).normal(size=(900, 6))
-
-    def walk(node):
+@pytest.mark.parametrize("clusters", [0, 6])
+def test_tree_covers_its_rows(clusters):
+    r = np.random.default_rng(1)
+    v = r.normal(size=(3000, 4)) * 0.05 ** r.integers(0, 2, size=(3000, 1))
+    if clusters:
+        v += 20 * r.normal(size=(clusters, 4))[r.integers(0, clusters, size=3000)]
+    depth = []
+
+    def walk(node, level):
+        depth.append(level)
         assert np.sqrt(((v[node.rows] - node.center) ** 2).sum(axis=1)).max() <= node.radius + 1e-9
         if node.children:
             assert sorted(np.concatenate([c.rows for c in node.children]).tolist()) == sorted(node.rows.tolist())
+            centers = np.stack([c.center for c in node.children])
+            apart = np.sqrt(((centers[:, None] - centers) ** 2).sum(axis=2)) + np.eye(len(centers)) * 1e9
+            assert apart.min() > node.radius / cover_tree.BASE
         for c in node.children:
-            walk(c)
-    walk(cover_tree.cover_tree(v))
+            assert c.radius <= node.radius / cover_tree.BASE
+            walk(c, level + 1)
+
+    walk(cover_tree.cover_tree(v), 0)
+    assert max(depth) >= 3
+
+
+def walked(v, queries, k=5):
+    s = cover_tree.Search(v[queries], queries, v, np.arange(len(v)), k)
+    s.walk(cover_tree.cover_tree(v[queries], cover_tree.QUERY_LEAF, cover_tree.QUERY_LEAST_EACH), cover_tree.cover_tree(v))
+    for i, q in enumerate(queries.tolist()):
+        scores = (v @ v[q]).astype(int)
+        expected = sorted((-x, j) for j, x in enumerate(scores.tolist()) if j != q)[:k]
+        assert s.best[i] == expected
+    return s.scored / (len(v) * len(queries))
+
+
+def test_clusters_leave_most_pairs_unscored():
+    r = np.random.default_rng(2)
+    centers = r.normal(size=(40, 16))
+    v = np.floor(256 * (centers[r.integers(0, 40, size=4000)] + 0.05 * r.normal(size=(4000, 16))))
+    assert walked(v, np.arange(0, 4000, 50)) < 0.5
+
+
+def test_an_even_sphere_is_scored_whole():
+    """Nothing can be pruned there, and nothing is lost."""
+    v = np.random.default_rng(3).normal(size=(1500, 48))
+    v = np.floor(256 * v / np.sqrt((v ** 2).sum(axis=1, keepdims=True)))
+    assert 0.5 < walked(v, np.arange(0, 1500, 50)) <= 1
