@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 
 from leavewatch.llm import windows as W
 from leavewatch.llm.tables import bodies, restored
-from leavewatch.llm.text_arrays import FIRST, SECOND, anchors, byte_set, covered, hashes, slices, spans, spread
+from leavewatch.llm.text_arrays import FIRST, SECOND, anchors, byte_set, covered, hashes, mix, slices, spans, spread
 from leavewatch.sources.shared_storage import cut_lineage
 
 WINDOW = 13
@@ -40,7 +40,8 @@ def _words(column: pa.Array) -> Iterator[tuple]:
 
 
 def _bucket(key: np.ndarray, n: int) -> np.ndarray:
-    return ((key >> np.uint64(32)) * np.uint64(n) >> np.uint64(32)).astype(np.int64)
+    """Scrambled first: anchors are where a hash is least, so hashes of theirs are small."""
+    return ((mix(key) >> np.uint64(32)) * np.uint64(n) >> np.uint64(32)).astype(np.int64)
 
 
 def _send(kind: np.ndarray, columns: list[np.ndarray], bucket: np.ndarray) -> pa.RecordBatch:

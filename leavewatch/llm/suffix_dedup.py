@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from leavewatch.llm import windows as W
 from leavewatch.llm.tables import bodies, restored
-from leavewatch.llm.text_arrays import FIRST, SECOND, anchors, covered, slices, spread
+from leavewatch.llm.text_arrays import FIRST, SECOND, anchors, covered, mix, slices, spread
 from leavewatch.sources.shared_storage import cut_lineage
 
 WINDOW = 100
@@ -253,7 +253,8 @@ _ASKED = ("<i8", "<i4", "<i4", "u1",      # whole blocks: doc, lo, n, bytes
 def _strings(n_buckets: int):
     """Blocks to be looked at, as bytes, dealt by their anchors; those of hot anchors by window, dealt by the windows' hashes."""
     def to(key: np.ndarray) -> np.ndarray:
-        return ((key >> np.uint64(32)) * np.uint64(n_buckets) >> np.uint64(32)).astype(np.int64)
+        """Scrambled first: anchors are where a hash is least, so hashes of theirs are small."""
+        return ((mix(key) >> np.uint64(32)) * np.uint64(n_buckets) >> np.uint64(32)).astype(np.int64)
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, wanted in W.batches_by_document(batches, W.DETAIL):

@@ -161,3 +161,26 @@ def test_whole_table_equals_plain_versions(spark):
     texts = {r.doc_id: r.text or "" for r in spark.read.parquet(f"{folder}/documents.parquet").select("doc_id", "text").collect()}
     found = {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in queries.QUERIES["op10_suffix_dedup"](spark, folder).collect()}
     assert found == plain.byte_strings(texts)
+
+
+@pytest.mark.parametrize("module", [substring_dedup, suffix_dedup])
+def test_blocks_are_dealt_evenly_by_their_anchors(module):
+    """Anchors are least hashes; buckets must not follow that."""
+    n_buckets, texts = 16, [odd.prose(s, 150) for s in range(300)]
+    column = pa.array(texts)
+    spans = []
+    for text in texts:
+        if module is substring_dedup:
+            _, _, _, _, _, items, bounds = next(module._words(pa.array([text])))
+            at, low, high, _ = module.anchors(items, bounds, 13, 5)
+        else:
+            _, _, items, bounds = next(module.slices(pa.array([text])))
+            at, low, high, _ = module.anchors(items, bounds, 100, module.DEPTH)
+        spans.append([W.records(W.DETAIL, lo=low, n=high - low + 1, off=at - low).tobytes()])
+    batch = pa.RecordBatch.from_arrays([pa.array(range(300), pa.int64()), column, pa.array(spans, pa.list_(pa.binary()))], ["doc_id", "text", "spans"])
+    emit = module._passages(13, 5, n_buckets) if module is substring_dedup else module._strings(n_buckets)
+    held = np.zeros(n_buckets, dtype=int)
+    for out in emit(iter([batch])):
+        for bucket, payload in zip(out.column(0).to_pylist(), out.column(1).to_pylist()):
+            held[bucket] += len(W.unpacked(payload, *module._ASKED)[0])
+    assert held.sum() > 1000 and held.max() < 1.5 * held.mean()
