@@ -1,6 +1,8 @@
 """Language identification: held-out accuracy, mixtures, odd texts."""
 
+import math
 import zlib
+from collections import Counter
 
 import numpy as np
 import odd
@@ -74,3 +76,78 @@ def test_sets_of_more_than_three_languages():
     bucket = np.concatenate([100 * lang + r.integers(0, 100, size=int(4000 * share)) for lang, share in enumerate(shares)]).astype(np.uint32)
     main, score, n = language_id.judged(np.zeros(len(bucket), np.int64), bucket, 1, np.log(counts / counts.sum(axis=1, keepdims=True)), np.full(6, 1 / 6))
     assert main[0] == 0 and n[0] == 4 and abs(score[0] - 0.45) < 0.01
+
+
+def grams(text):
+    """Bucket -> number of a text's trigrams."""
+    raw = bytes(b + 32 if 65 <= b <= 90 else b for b in text.encode())
+    return Counter((((raw[i] << 16 | raw[i + 1] << 8 | raw[i + 2]) * 2654435761) % 2**32) >> 17 for i in range(len(raw) - 2))
+
+
+def plain_model(rows):
+    counts, texts = {}, Counter()
+    for doc_id, text, lang in rows:
+        if lang is not None and doc_id is not None and zlib.crc32(str(doc_id).encode()) % 4 != 2 and any(c.isalpha() for c in text or ""):
+            counts.setdefault(lang, Counter()).update(grams(text))
+            texts[lang] += 1
+    names = sorted(counts)
+    totals = {lang: sum(counts[lang].values()) + 0.5 * 2**15 for lang in names}
+    return names, lambda lang, g: math.log((counts[lang][g] + 0.5) / totals[lang]), {lang: texts[lang] / sum(texts.values()) for lang in names}
+
+
+def plain_em(count, allowed, log):
+    """Shares after twelve rounds, and the log-likelihood."""
+    share, total = {lang: 1 / len(allowed) for lang in allowed}, sum(count.values())
+    chance = {g: {lang: math.exp(log(lang, g)) for lang in allowed} for g in count}
+    for _ in range(12):
+        new = dict.fromkeys(allowed, 0.0)
+        for g, n in count.items():
+            whole = sum(share[lang] * chance[g][lang] for lang in allowed)
+            for lang in allowed:
+                new[lang] += n * share[lang] * chance[g][lang] / whole
+        share = {lang: v / total for lang, v in new.items()}
+    return share, sum(n * math.log(sum(share[lang] * chance[g][lang] for lang in allowed)) for g, n in count.items())
+
+
+def plain_language(text, model):
+    names, log, prior = model
+    if not any(c.isalpha() for c in text or ""):
+        return "und", 0.0, 0
+    count = grams(text)
+    if not count:
+        best = max(names, key=lambda lang: (prior[lang], -names.index(lang)))
+        return best, prior[best], 1
+    alone = {lang: sum(n * log(lang, g) for g, n in count.items()) for lang in names}
+    best = max(names, key=alone.get)
+    value, out = alone[best], (best, 1 / sum(math.exp(alone[lang] - alone[best]) for lang in names), 1)
+    share, _ = plain_em(count, names, log)
+    order = sorted(names, key=lambda lang: -share[lang])
+    for k in range(2, len(names) + 1):
+        if share[order[k - 1]] < 0.02:
+            break
+        mixture, likelihood = plain_em(count, order[:k], log)
+        likelihood -= (k - 1) / 2 * math.log(max(sum(count.values()), 2))
+        if likelihood > value:
+            value, main = likelihood, max(order[:k], key=mixture.get)
+            out = (main, mixture[main], k)
+    return out
+
+
+def test_every_text_as_by_a_plain_em(spark):
+    """The operator on texts of one language, of several, short, odd and long, with the model of the whole table."""
+    table = spark.read.parquet(f"{MEDIUM}/documents.parquet").select("doc_id", "text", "lang")
+    rows = [tuple(r) for r in table.collect()]
+    model = plain_model(rows)
+    long = {lang: next(t for _, t, own in rows if own == lang and len(t) > 1500) for lang in model[0]}
+    texts = [t for _, t, _ in rows[:80] if len(t) < 6000] + [t for _, t in odd.texts() if t is None or len(t) < 5000]
+    texts += [long[a][:600] + " " + long[b][:200 + 100 * i] for i, (a, b) in enumerate((a, b) for a in long for b in long if a != b)]
+    texts += [" ".join(long[lang][:n] for lang, n in zip(long, (500, 400, 300, 300))), "ab", "é", "Zz9"]
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = {r.row.doc_id: r for r in language_id.predicted(frame, language_id.learned(table)).collect()}
+    several = 0
+    for i, text in enumerate(texts):
+        lang, score, n = plain_language(text, model)
+        assert (found[i].lang_pred, found[i].n_languages) == (lang, n), (i, text and text[:60])
+        assert abs(found[i].score - score) < 1e-6
+        several += n > 1
+    assert several >= 10
