@@ -4,6 +4,10 @@ Only headers (page, digest) meet by digest; a page's html moves once, by page
 id, to the task that writes it. Archives come from Spark's text sink with the
 record separator as its line separator, so that lost executors leave no half
 file and any file system will do: `part-*.txt.gz` are gzipped WARC 1.1 files.
+
+Nulls: null html is an empty payload, a null page_id comes before all others.
+Rows that repeat are records each, responses or revisits alike. Empty tables
+give no records. A page has to fit in one record of less than 1 GB.
 """
 
 from __future__ import annotations
@@ -23,6 +27,7 @@ from leavewatch.sources.shared_storage import cut_lineage
 
 LEAST_BYTES = 100
 RECORDS_PER_FILE = 20_000
+FILE_BYTES = 1 << 30   # of records before compression in a file, at most, as long as one record fits
 # Fixed values of the format.
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 SEPARATOR = "\r\n\r\n"
@@ -79,11 +84,21 @@ def warc_records(rows: DataFrame, date: str) -> DataFrame:
         F.lit("\r\n\r\n"), http, body).alias("value"))
 
 
+def records_per_file(largest: int) -> int:
+    """So many that a file of the largest payloads, and 4 kB of headers each, stays within FILE_BYTES."""
+    return max(1, min(RECORDS_PER_FILE, FILE_BYTES // (largest + 4096)))
+
+
 def write_archives(pages: DataFrame, path: str, least_bytes: int = LEAST_BYTES, date: str | None = None) -> None:
-    """Write a record per page. The date of all records is this call's, unless given."""
+    """Write a record per page. The date of all records is this call's, unless given.
+
+    Files are read whole, so the largest page decides how many records one takes.
+    """
+    largest = pages.agg(F.max(F.octet_length(F.col("html").cast("string")))).head()[0] or 0
+    each = records_per_file(largest)
     stamp = date or datetime.now(UTC).strftime("%Y-%m-%dT%H:%M:%SZ")
     (warc_records(resolved(pages, least_bytes), stamp).write.option("lineSep", SEPARATOR).option("compression", "gzip")
-     .option("maxRecordsPerFile", RECORDS_PER_FILE).text(path))
+     .option("maxRecordsPerFile", each).text(path))
 
 
 def parse(stream: io.BufferedIOBase) -> Iterator[tuple[dict[str, str], bytes]]:

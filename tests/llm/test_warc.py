@@ -72,3 +72,11 @@ def test_hot_payload(spark, tmp_path):
     warc.write_archives(pages, str(tmp_path / "w"))
     found = warc.read_pages(spark, str(tmp_path / "w")).where("record_type = 'revisit'").collect()
     assert {r.refers_to for r in found} == {0} and len(found) == 133
+
+
+def test_large_pages_make_smaller_files(spark, tmp_path, monkeypatch):
+    assert warc.records_per_file(0) == warc.RECORDS_PER_FILE
+    assert warc.records_per_file(100 << 20) * (100 << 20) <= warc.FILE_BYTES and warc.records_per_file(5 << 30) == 1
+    monkeypatch.setattr(warc, "FILE_BYTES", 10_000)
+    assert set(stored(spark, ROWS, str(tmp_path / "w"))) == expected(ROWS)
+    assert len(list((tmp_path / "w").glob("part-*"))) >= 5
