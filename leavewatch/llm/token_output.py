@@ -118,18 +118,23 @@ def read_chunks(content: bytes) -> Iterator[dict]:
                "doc_ids": doc_ids, "counts": counts.astype(np.int64), "ids": ids}
 
 
+RANGE_BYTES = 128 << 20  # of text in a range of doc_ids, about
+
+
 def write_token_files(docs: DataFrame, path: str, tokenizer: str | None = None, end_id: int = tokens.END_ID,
                       partitions: int | None = None, percentile: float = PERCENTILE) -> None:
     """Write every document's ids, in ascending doc_id order over all files.
 
-    One shuffle deals the texts by ranges of doc_id, then each task encodes and
-    packs its range as a stream of chunks. A null text is empty and has the end
+    One shuffle deals the texts by ranges of doc_id, as many as the session's
+    shuffle partitions or RANGE_BYTES of text ask for, then each task encodes
+    and packs its range as a stream of chunks. A null text is empty and has the end
     id alone; null doc_ids come first, rows that repeat a doc_id follow each
     other in the order of their texts. Other columns are not read.
     """
     spark = docs.sparkSession
     where = tokenizer or tokens.tokenizer_path()
-    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    size = docs.agg(F.sum(F.octet_length(F.col("text").cast("string")))).head()[0] or 0
+    n = partitions or max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-size // RANGE_BYTES))
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shard = TaskContext.get().partitionId()

@@ -159,3 +159,13 @@ def test_exchange_reaches_the_bound(spark):
     assert check_packing(out.collect(), 4096) == packing.certificate(out)[0]
     used, least = packing.certificate(out)
     assert used <= least + 2
+
+
+def test_ranges_follow_the_size_of_the_texts(spark, tokenizer, tmp_path, monkeypatch):
+    monkeypatch.setattr(token_output, "RANGE_BYTES", 2000)
+    docs = odd.documents(spark)
+    path = str(tmp_path / "files")
+    token_output.write_token_files(docs, path)
+    assert len(list((tmp_path / "files").glob("part-*"))) > 8
+    found = {r.doc_id: (r.n_tokens, r.ids_crc32) for r in token_output.read_token_files(spark, path).collect()}
+    assert found == {i: (len(ids), plain.crc(ids)) for i, ids in expected_ids(tokenizer, [(r.doc_id, r.text) for r in docs.collect()])}
