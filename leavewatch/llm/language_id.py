@@ -4,6 +4,12 @@ A language is a distribution over hashed byte trigrams, counted over all
 labelled training texts. A text is a mixture of languages: EM finds their
 proportions, and of the nested sets of its largest languages the one with the
 best likelihood less a penalty per language is its language set.
+
+Nulls: a null text, or one without a letter, is `und`; a null lang or doc_id is
+not learned from. Ties of languages go to the first by name. Rows that repeat
+are judged alike, and learned from as often as they stand there. Empty tables
+give empty results, and teach nothing. Long texts are judged whole, each a
+piece of work of its own.
 """
 
 from __future__ import annotations
@@ -19,6 +25,7 @@ from leavewatch.llm.tables import row_struct, row_text, with_row, without_text
 from leavewatch.llm.text_arrays import slices
 
 BUCKETS = 1 << 15    # of hashed trigrams; the model holds languages x BUCKETS counts
+MOST_LANGUAGES = 1000  # beyond, the model is no longer small: an error
 SMOOTHING = 0.5
 ROUNDS = 12          # of EM
 MINOR = 0.02         # a language of a smaller share is in no set
@@ -57,8 +64,12 @@ def learned(docs: DataFrame) -> tuple[list[str], np.ndarray, np.ndarray]:
 
     Learns from whole texts with a lang, where the remainder of doc_id is not
     2 and the text has a letter; a null doc_id has no remainder and is not
-    learned from. What reaches the driver is languages x BUCKETS counts.
+    learned from. What reaches the driver is languages x BUCKETS counts; more
+    than MOST_LANGUAGES labels are an error.
     """
+    if docs.where(F.col("lang").isNotNull()).select("lang").distinct().limit(MOST_LANGUAGES + 1).count() > MOST_LANGUAGES:
+        raise ValueError(f"more than {MOST_LANGUAGES} languages")
+
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         totals: dict[str, np.ndarray] = {}
         texts: dict[str, int] = {}

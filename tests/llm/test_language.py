@@ -7,6 +7,7 @@ from collections import Counter
 import numpy as np
 import odd
 import pyarrow.parquet as pq
+import pytest
 from conftest import MEDIUM
 
 from leavewatch.llm import language_id
@@ -151,3 +152,12 @@ def test_every_text_as_by_a_plain_em(spark):
         assert abs(found[i].score - score) < 1e-6
         several += n > 1
     assert several >= 10
+
+
+def test_too_many_languages_are_an_error(spark, monkeypatch):
+    monkeypatch.setattr(language_id, "MOST_LANGUAGES", 2)
+    docs = odd.documents(spark)  # two languages
+    assert language_id.report(docs).count() == docs.count()
+    more = docs.withColumn("lang", odd.F.concat("lang", odd.F.col("doc_id") % 3))
+    with pytest.raises(ValueError, match="more than 2"):
+        language_id.report(more)
