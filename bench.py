@@ -47,6 +47,8 @@ def large_log(spark: SparkSession, folder: str) -> DataFrame:
 def main() -> None:
     folder = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cores = os.environ.get("BENCH_CPUS", "8")
+    # Python workers import the package too, wherever this is started.
+    os.environ["PYTHONPATH"] = os.pathsep.join([os.path.dirname(os.path.abspath(__file__)), os.environ.get("PYTHONPATH", "")])
     builder = (SparkSession.builder.master(f"local[{cores}]").appName("leavewatch-bench")
                .config("spark.sql.shuffle.partitions", cores)
                .config("spark.ui.enabled", "false")
