@@ -1,13 +1,14 @@
-"""Repeated passages of words, by looking up windows in reference blocks.
+"""Repeated passages of words, by parsing documents against reference blocks.
 
 Passages are dealt by their anchors (see windows.py). What meets in one bucket
 of anchors is a reference block: the passages around its anchors, indexed by
 their windows. A document's passages go to every reference block that can
-hold a match of theirs, and no other can. Equal blocks are settled by their
-hash. Of the others every window is looked up by its hash, also those that a
-passage has across two references; what is found is then joined to factors,
-runs of windows copied from consecutive places of one document. This is not a
-greedy Lempel-Ziv parse: no longest match is searched, no factor length decides.
+hold a match of theirs, and no other can. Equal passages are settled by their
+hash, as factors that are a whole passage. The others are parsed greedily
+(relative Lempel-Ziv): from where the last factor ended, the longest match in
+a passage of a smaller doc_id is the next factor. Letters of the parse are
+windows, so a factor has WINDOW words at least, and the window that crosses a
+factor's end is the first that is looked up after it.
 """
 
 from __future__ import annotations
@@ -113,7 +114,8 @@ def _met(table: pa.Table, hot_group: int) -> pa.Table:
 
 _ASKED = ("<i8", "<i4", "<i4", "<u8",    # whole passages: doc, lo, n, hashes of the windows
           "<u8", "<i8", "<i4",             # windows of hot anchors: hash, doc, place
-          "<i8", "<i4")                    # windows known to be repeated: doc, place
+          "<i8", "<i4",                    # windows known to be repeated: doc, place
+         "<u8")                           # of the whole passages: key
 
 
 def _passages(window: int, gram: int, n_buckets: int):
@@ -152,33 +154,72 @@ def _passages(window: int, gram: int, n_buckets: int):
                 blocks = [doc[cold], want["lo"][cold], want["n"][cold], windows_of]
                 out = W.by_bucket((_bucket(key[cold], n_buckets), blocks),
                                   (_bucket(seen[sent], n_buckets), [seen[sent], whose[sent], place[sent]]),
-                                  (whose[known] % n_buckets, [whose[known], place[known]]))
+                                  (whose[known] % n_buckets, [whose[known], place[known]]),
+                              (_bucket(key[cold], n_buckets), [key[cold]]))
                 if out:
                     yield out
     return emit
 
 
-def factors(doc: np.ndarray, place: np.ndarray, seen: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Factors (doc, first window, windows) of passages against the earliest copies of their windows.
+def longest(seen: np.ndarray, doc: np.ndarray, left: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Of each window the longest match with a smaller doc: how many windows from it on, and where the first such match begins.
 
-    A window's reference is its first occurrence by (doc, place). It counts
-    if that is in another document; a factor goes on while the reference does.
+    Windows come passage by passage, sorted by (doc, place); `left` counts
+    them to the end of their passage. Groups are nodes of the trie of all
+    passages' suffixes: each level adds a window, and only nodes with a match
+    are descended.
     """
-    order = np.lexsort((place, doc, seen))
-    s = seen[order]
-    new = np.ones(len(order), dtype=bool)
-    new[1:] = s[1:] != s[:-1]
-    start = np.flatnonzero(new)
-    head = np.repeat(order[start], np.diff(np.append(start, len(order))))
-    ref = np.empty(len(order), dtype=np.int64)
-    ref[order] = head
-    found = np.flatnonzero(doc[ref] < doc)
-    found = found[np.lexsort((place[found], doc[found]))]
-    d, p, rd, rp = doc[found], place[found], doc[ref[found]], place[ref[found]]
-    begin = np.ones(len(found), dtype=bool)
-    begin[1:] = (d[1:] != d[:-1]) | (p[1:] != p[:-1] + 1) | (rd[1:] != rd[:-1]) | (rp[1:] != rp[:-1] + 1)
-    at = np.flatnonzero(begin)
-    return d[at], p[at], np.diff(np.append(at, len(found)))
+    length, source = np.zeros(len(seen), dtype=np.int32), np.full(len(seen), -1, dtype=np.int64)
+    _, letter = np.unique(seen, return_inverse=True)
+    live, node, size = np.arange(len(seen)), letter, 1
+    while len(live):
+        _, first, node = np.unique(node, return_index=True, return_inverse=True)
+        head = live[first][node]  # rows are sorted, so the first of a node is the earliest
+        copy = doc[head] < doc[live]
+        length[live[copy]], source[live[copy]] = size, head[copy]
+        matched = np.zeros(len(first), dtype=bool)
+        matched[node[copy]] = True
+        go = matched[node] & (left[live] > size)
+        live = live[go]
+        node = node[go] * len(seen) + letter[live + size]
+        size += 1
+    return length, source
+
+
+def factors(doc: np.ndarray, lo: np.ndarray, n: np.ndarray, seen: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Greedy factors (doc, first window, windows, reference's doc and first window) of passages.
+
+    A passage is n windows of a document from window lo on; `seen` has the
+    windows' hashes, passage by passage. Of equally long matches the earliest
+    by (doc, place) is the reference.
+    """
+    order = np.lexsort((lo, doc))
+    begin = np.cumsum(n) - n
+    seen = seen[spread(begin[order], n[order])]
+    doc, lo, n = doc[order], lo[order], n[order]
+    end = np.cumsum(n)
+    begin = end - n
+    where = np.arange(len(seen))
+    length, source = longest(seen, np.repeat(doc, n), (np.repeat(end, n) - where).astype(np.int32))
+    ahead = np.where(length > 0, where, len(seen))
+    ahead = np.minimum.accumulate(ahead[::-1])[::-1]  # the next window with a match
+    at, stop, starts = begin, end, []
+    while True:  # the next factor of every passage at once
+        own = np.flatnonzero(at < stop)
+        at, stop = ahead[at[own]], stop[own]
+        own = np.flatnonzero(at < stop)
+        at, stop = at[own], stop[own]
+        if not len(at):
+            break
+        starts.append(at)
+        at = at + length[at]
+    at = np.concatenate([np.empty(0, np.int64), *starts])
+
+    def stands(window: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        passage = np.searchsorted(end, window, side="right")
+        return doc[passage], lo[passage] + window - begin[passage]
+
+    return (*stands(at), length[at].astype(np.int64), *stands(source[at]))
 
 
 def _factored(table: pa.Table) -> pa.Table:
@@ -187,19 +228,21 @@ def _factored(table: pa.Table) -> pa.Table:
     total = sum(len(p[3]) + len(p[4]) for p in parts)
     passes = max(1, -(-total // W.AT_ONCE))
     out = [W.runs(np.concatenate([p[7] for p in parts]), np.concatenate([p[8] for p in parts]).astype(np.int64))]
-    for turn in range(passes):  # windows with one hash are in one turn
-        doc, place, seen = [], [], []
-        for d, lo, n, w, w2, d2, p2, _, _ in parts:
-            at = spread(lo.astype(np.int64), n.astype(np.int64))
-            own = slice(None) if passes == 1 else np.flatnonzero(w % np.uint64(passes) == turn)
-            doc.append(np.repeat(d, n)[own])
-            place.append(at[own])
-            seen.append(w[own])
+    for turn in range(passes):  # passages with one key are in one turn, and windows of hot anchors with one hash
+        doc, lo, n, seen = [], [], [], []
+        for d, low, count, w, w2, d2, p2, _, _, key in parts:
+            count = count.astype(np.int64)
+            own = np.flatnonzero(mix(key) % np.uint64(passes) == turn)
+            doc.append(d[own])
+            lo.append(low[own].astype(np.int64))
+            n.append(count[own])
+            seen.append(w[spread((np.cumsum(count) - count)[own], count[own])])
             own = np.flatnonzero(w2 % np.uint64(passes) == turn)
             doc.append(d2[own])
-            place.append(p2[own].astype(np.int64))
+            lo.append(p2[own].astype(np.int64))
+            n.append(np.ones(len(own), dtype=np.int64))
             seen.append(w2[own])
-        out.append(factors(np.concatenate(doc), np.concatenate(place), np.concatenate(seen)))
+        out.append(factors(*(np.concatenate(c) for c in (doc, lo, n, seen)))[:3])
     d, p, n = (np.concatenate(c) for c in zip(*out))
     none = np.empty(0, np.int64)
     batch = W.verdicts(d, p, n, none, none, none, none)

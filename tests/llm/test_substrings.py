@@ -109,6 +109,64 @@ def test_hot_keys_and_turns(monkeypatch):
     assert set(whole[4]) >= {int(n[0]) - 2, int(n[0]) - 1} and len(whole[4]) < len(whole[8])
 
 
+def greedy(passages):
+    """Plain relative Lempel-Ziv: (doc, window, windows, reference's doc and window) of each factor."""
+    out = []
+    for doc, lo, letters in passages:
+        at = 0
+        while at < len(letters):
+            best = (0, 0, 0)  # length, then the earliest reference
+            for d, l, other in passages:
+                for j in range(len(other) if d < doc else 0):
+                    k = 0
+                    while at + k < len(letters) and j + k < len(other) and letters[at + k] == other[j + k]:
+                        k += 1
+                    best = max(best, (k, -d, -(l + j)))
+            if best[0]:
+                out.append((doc, lo + at, best[0], -best[1], -best[2]))
+            at += max(1, best[0])
+    return sorted(out)
+
+
+@pytest.mark.parametrize("seed", range(12))
+def test_factors_are_the_greedy_parse(seed):
+    r = np.random.default_rng(seed)
+    passages = []
+    for doc in range(1, 9):
+        lo = 0
+        for _ in range(int(r.integers(0, 5))):
+            letters = r.integers(0, 2 + seed % 3, size=int(r.integers(1, 10)))
+            passages.append((doc, lo, letters.tolist()))
+            lo += len(letters) + int(r.integers(0, 3))
+    shuffled = [passages[i] for i in r.permutation(len(passages))]
+    columns = [np.array([p[0] for p in shuffled], dtype=np.int64), np.array([p[1] for p in shuffled], dtype=np.int64),
+               np.array([len(p[2]) for p in shuffled], dtype=np.int64), np.array([x for p in shuffled for x in p[2]], dtype=np.uint64)]
+    assert sorted(zip(*(c.tolist() for c in substring_dedup.factors(*columns)))) == greedy(passages)
+
+
+def test_passages_are_parsed_in_turns(monkeypatch):
+    texts = [f"{odd.prose(160 + i, i % 7)} {odd.prose(150, 40 + 5 * (i % 3))} {odd.prose(190 + i, 9)}" for i in range(40)]
+    spans = []
+    for text in texts:
+        _, _, _, _, _, words, bounds = next(substring_dedup._words(pa.array([text])))
+        at, low, high, _ = substring_dedup.anchors(words, bounds, 13, 5)
+        spans.append([W.records(W.DETAIL, lo=low, n=high - low + 1, off=at - low).tobytes()])
+    batch = pa.RecordBatch.from_arrays([pa.array(range(40), pa.int64()), pa.array(texts), pa.array(spans, pa.list_(pa.binary()))], ["doc_id", "text", "spans"])
+    values = [v for out in substring_dedup._passages(13, 5, 1)(iter([batch])) for v in out.column(1).to_pylist()]
+    table = pa.table({"bucket": [0] * len(values), "payload": values})
+
+    def gone():
+        out = {i: 0 for i in range(40)}
+        for r in substring_dedup._factored(table).to_pylist():
+            out[r["doc_id"]] = len({w for lo, n in np.frombuffer(r["dup"], W.DUP).tolist() for w in range(lo, lo + n + 12)})
+        return out
+
+    expected = {i: n for i, (_, n, _) in plain.word_passages(dict(enumerate(texts))).items()}
+    assert gone() == expected
+    monkeypatch.setattr(W, "AT_ONCE", 50)
+    assert gone() == expected
+
+
 @pytest.mark.parametrize("hot", [4096, 2])
 def test_blocks_beyond_hot_meet_copies_of_other_tasks(monkeypatch, hot):
     monkeypatch.setattr(W, "HOT", hot)
