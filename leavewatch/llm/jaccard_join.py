@@ -1,11 +1,17 @@
-"""Near duplicates by word shingles: MinHash bands for candidates, exact Jaccard for links.
+"""Near duplicates by word shingles: a MinHash forest for candidates, exact Jaccard for links.
 
 Texts with equal shingle sets are one class. Each class has a signature of
-minimum hashes and, in each of TREES bands, some of them hashed to one key;
-classes with one key share a node. This is fixed banding: how many hashes a
-band takes (prefix_length) follows from the threshold and the target recall,
-not from the data, and is 8 by default. Nothing sorts longer sequences or
-shortens prefixes level by level.
+minimum hashes, and in each of TREES trees a sequence of LONGEST of them. The
+sequences of a tree are sorted, so that classes with a common prefix stand
+together: a prefix trie. Matched prefixes are shortened from the whole sequence
+until every link of the classes below is met with the target recall. How far
+depends on what they hold: a set of n shingles can only have some similarities
+at the threshold or above (7 shingles: 6/7 or 7/8, never 0.8), and those with
+no such similarity take no part. The least of them says which prefix is short
+enough for the class (prefix_limits); a node is as long as its least class
+allows, and at worst as long as pairs at the threshold need (prefix_length, 8).
+A node that falls into more than CROWD longer ones in a task is cut to that at
+once, which adds candidates and loses none.
 
 Candidates never become pairs of rows: a node links its members to its least
 one, what hangs together is an island, and an island's shingle sets meet in
@@ -16,7 +22,8 @@ found by counting common shingles, so they are exact.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from math import comb
+from functools import lru_cache
+from math import ceil, comb, floor
 
 import numpy as np
 import pyarrow as pa
@@ -35,6 +42,8 @@ TARGET = 0.9995
 HASHES = 192
 TREES = 64
 LONGEST = 16         # hashes in a tree's sequence
+SMALL = 64           # shingles beyond which a set may have any similarity
+CROWD = 16           # longer nodes of one prefix in a task
 SHARD = 1024         # classes of a large island per shard; a tile holds two shards
 
 _WORD = byte_set((0x30, 0x39), (0x61, 0x7A), (0x80, 0xFF))
@@ -61,6 +70,27 @@ def prefix_length(threshold: float = THRESHOLD, target: float = TARGET) -> int:
     return length
 
 
+def least_similarity(n: int, threshold: float = THRESHOLD) -> float | None:
+    """The least similarity, of the threshold or more, that a set of n shingles has with some other set; None if there is none."""
+    found = []
+    for m in range(max(1, ceil(threshold * n - 1e-9)), floor(n / threshold + 1e-9) + 1):
+        shared = ceil(threshold * (n + m) / (1 + threshold) - 1e-9)
+        if shared <= min(n, m) and not shared == n == m:
+            found.append(shared / (n + m - shared))
+    return min(found, default=None)
+
+
+@lru_cache
+def prefix_limits(threshold: float = THRESHOLD, target: float = TARGET) -> tuple[int, ...]:
+    """By number of shingles, up to SMALL or more, the longest prefix that is short enough; LONGEST + 1 if no other set is near."""
+    least = prefix_length(threshold, target)
+    out = [least]
+    for n in range(1, SMALL):
+        similarity = least_similarity(n, threshold) if threshold > 0.1 else threshold
+        out.append(LONGEST + 1 if similarity is None else min(prefix_length(similarity, target), least + _DEEPER))
+    return (*out, least)
+
+
 def shingles(column: pa.Array) -> Iterator[tuple]:
     """(first row, row after the last, shingle hashes without repeats, their bounds by row, ascending in each row).
 
@@ -85,10 +115,14 @@ def shingles(column: pa.Array) -> Iterator[tuple]:
         yield first, last, value, np.searchsorted(text, np.arange(last - first + 1))
 
 
-SIGNED = "doc_id long, c1 long, c2 long, n int, keys binary"
+SIGNED = "doc_id long, c1 long, c2 long, n int, keys binary, deeper binary"
+_DEEPER = 8  # levels below the shortest prefix, a byte each
 
 
-def _sign(length: int):
+def _sign(limits: tuple[int, ...]):
+    """`keys`: the shortest prefix in each tree, if another set can be near; `deeper`: the levels below it, if they can matter."""
+    length, limit_of = limits[-1], np.array(limits)
+
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids = np.asarray(batch.column(0))
@@ -110,52 +144,85 @@ def _sign(length: int):
                         for k in _SEQUENCES[t, :length]:
                             key = mix(key ^ signature[k])
                         keys[:, t] = key
-                packed = np.full(last - first, None, dtype=object)
-                packed[some] = [row.tobytes() for row in keys]
+                packed, below = np.full((2, last - first), None, dtype=object)
+                limit = limit_of[np.minimum(n[some], SMALL)]
+                near = np.flatnonzero(limit <= LONGEST)
+                packed[some[near]] = [row.tobytes() for row in keys[near]]
+                long = near[limit[near] > length]
+                if len(long):
+                    path = np.zeros((len(long), TREES), dtype=_U64)
+                    for t in range(TREES):
+                        for level, k in enumerate(_SEQUENCES[t, length:length + _DEEPER]):
+                            path[:, t] |= mix(signature[k, long]) >> _U64(56) << _U64(56 - 8 * level)
+                    below[some[long]] = [row.tobytes() for row in path]
                 yield pa.RecordBatch.from_arrays([pa.array(ids[first:last]), pa.array(c1.view(np.int64)), pa.array(c2.view(np.int64)),
-                                                  pa.array(n.astype(np.int32)), pa.array(packed, pa.binary())], ["doc_id", "c1", "c2", "n", "keys"])
+                                                  pa.array(n.astype(np.int32)), pa.array(packed, pa.binary()), pa.array(below, pa.binary())],
+                                                 ["doc_id", "c1", "c2", "n", "keys", "deeper"])
     return emit
 
 
-def _lead(key: np.ndarray, node: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Keys and their least nodes, and edges from the others to it."""
-    order = np.lexsort((node, key))
-    k, v = key[order], node[order]
+def _kept_path(path: np.ndarray, levels: np.ndarray) -> np.ndarray:
+    """The first levels of paths of _DEEPER bytes."""
+    rest = (64 - 8 * np.maximum(levels, 1)).astype(_U64)
+    return np.where(levels > 0, path >> rest << rest, _U64(0))
+
+
+def joined_prefixes(key: np.ndarray, path: np.ndarray, levels: np.ndarray, node: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Nodes of the trie (key, path, levels, least member), and edges from the other members to it.
+
+    `key` is the shortest prefix, `path` what follows in the sequence, `levels`
+    how much of that a member may ask for. Members are sorted by their
+    sequence; under each key the prefix is shortened to the least that its
+    members ask for, and to the key alone where more than CROWD nodes are left.
+    """
+    order = np.lexsort((path, key))
+    k, p, m, v = key[order], path[order], levels[order].astype(np.int64), node[order]
     new = np.ones(len(k), dtype=bool)
     new[1:] = k[1:] != k[:-1]
     start = np.flatnonzero(new)
-    head = np.repeat(v[start], np.diff(np.append(start, len(k))))
-    edges = np.unique(np.stack([head[~new], v[~new]]), axis=1)
-    edges = edges[:, edges[0] != edges[1]]
-    return k[start], v[start], edges[0], edges[1]
-
-
-def _nodes(n_buckets: int):
+    size = np.diff(np.append(start, len(k)))
+    low = np.minimum.reduceat(m, start)
+
+    def parted() -> tuple[np.ndarray, np.ndarray]:
+        cut = _kept_path(p, np.repeat(low, size))
+        split = new.copy()
+        split[1:] |= cut[1:] != cut[:-1]
+        return cut, split
+
+    cut, split = parted()
+    crowded = np.add.reduceat(split.astype(np.int64), start) > CROWD
+    if crowded.any():
+        low[crowded] = 0
+        cut, split = parted()
+    at = np.flatnonzero(split)
+    head = np.minimum.reduceat(v, at)
+    whose = np.repeat(head, np.diff(np.append(at, len(k))))
+    edges = np.unique(np.stack([whose, v])[:, whose != v], axis=1)
+    return k[at], cut[at], np.repeat(low, size)[at].astype(np.uint8), head, edges[0], edges[1]
+
+
+def _nodes(n_buckets: int, limits: tuple[int, ...]):
     """Each task sends one row per trie node, and its own edges within nodes."""
+    deeper = np.array([min(limit, LONGEST) - limits[-1] for limit in limits], dtype=np.uint8)
+
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[tuple[np.ndarray, np.ndarray]] = []
+        held: list[tuple[np.ndarray, ...]] = []
 
         def flush() -> pa.RecordBatch:
-            key, node, a, b = _lead(np.concatenate([h[0] for h in held]), np.concatenate([h[1] for h in held]))
+            key, path, levels, node, a, b = joined_prefixes(*(np.concatenate(c) for c in zip(*held)))
             held.clear()
             to = ((key >> _U64(32)) * _U64(n_buckets) >> _U64(32)).astype(np.int64)
             own = (mix(b.astype(_U64)) % _U64(n_buckets)).astype(np.int64)
-            order, other = np.argsort(to, kind="stable"), np.argsort(own, kind="stable")
-            to, own = to[order], own[other]
-            names = np.unique(np.concatenate([to, own]))
-            values = []
-            for i, j, x, y in zip(np.searchsorted(to, names), np.searchsorted(to, names, side="right"),
-                                  np.searchsorted(own, names), np.searchsorted(own, names, side="right")):
-                r, s = order[i:j], other[x:y]
-                values.append(W.packed(key[r], node[r], a[s], b[s]))
-            return pa.RecordBatch.from_arrays([pa.array(names.astype(np.int32)), pa.array(values, pa.binary())], ["bucket", "payload"])
+            return W.by_bucket((to, [key, path, levels, node]), (own, [a, b]))
 
+        none = bytes(8 * TREES)
         for batch in batches:
-            keys = batch.column(1)
             for at in range(0, batch.num_rows, 4096):
-                part = keys.slice(at, 4096)
-                key = np.frombuffer(b"".join(k.as_py() for k in part), dtype=_U64)
-                held.append((key, np.repeat(np.asarray(batch.column(0).slice(at, 4096)), TREES)))
+                part = batch.slice(at, 4096)
+                key = np.frombuffer(b"".join(k.as_py() for k in part.column("keys")), dtype=_U64)
+                path = np.frombuffer(b"".join(k.as_py() or none for k in part.column("deeper")), dtype=_U64)
+                levels = deeper[np.minimum(np.asarray(part.column("n")), SMALL)]
+                held.append((key, path, np.repeat(levels, TREES), np.repeat(np.asarray(part.column("class_id")), TREES)))
                 if sum(len(h[0]) for h in held) >= W.FLUSH:
                     yield flush()
         if held:
@@ -164,9 +231,11 @@ def _nodes(n_buckets: int):
 
 
 def _edges(table: pa.Table) -> pa.Table:
-    parts = [W.unpacked(v.as_py(), "<u8", "<i8", "<i8", "<i8") for v in table.column("payload")]
-    _, _, a, b = _lead(np.concatenate([p[0] for p in parts]), np.concatenate([p[1] for p in parts]))
-    a, b = np.concatenate([a, *(p[2] for p in parts)]), np.concatenate([b, *(p[3] for p in parts)])
+    parts = [W.unpacked(v.as_py(), "<u8", "<u8", "u1", "<i8", "<i8", "<i8") for v in table.column("payload")]
+    key, path, levels, node, a, b = (np.concatenate(c) for c in zip(*parts))
+    if len(key):
+        *_, c, d = joined_prefixes(key, path, levels, node)
+        a, b = np.concatenate([a, c]), np.concatenate([b, d])
     a, b = np.unique(np.stack([a, b]), axis=1)
     return pa.table({"a": pa.array(a), "b": pa.array(b)})
 
@@ -277,12 +346,14 @@ def similar(docs: DataFrame, threshold: float = THRESHOLD, target: float = TARGE
     same id); other columns are not read.
     """
     body = bodies(docs)
-    signed = cut_lineage(body.mapInArrow(_sign(prefix_length(threshold, target)), SIGNED))
-    by_class = signed.groupBy("c1", "c2").agg(F.min("doc_id").alias("class_id"), F.count("*").alias("class_size"), F.first("keys").alias("keys"))
+    limits = prefix_limits(threshold, target)
+    signed = cut_lineage(body.mapInArrow(_sign(limits), SIGNED))
+    by_class = signed.groupBy("c1", "c2").agg(F.min("doc_id").alias("class_id"), F.count("*").alias("class_size"),
+                                              *(F.first(c).alias(c) for c in ("n", "keys", "deeper")))
     classes = cut_lineage(by_class)
     size = classes.count()
     n = max(1, -(-size * TREES // W.BUCKET_BLOCKS))
-    sent = classes.where("keys is not null").select("class_id", "keys").mapInArrow(_nodes(n), "bucket int, payload binary")
+    sent = classes.where("keys is not null").select("class_id", "n", "keys", "deeper").mapInArrow(_nodes(n, limits), "bucket int, payload binary")
     edges = W.dealt(sent, n).applyInArrow(_edges, "a long, b long")
     islands = components(edges)
     counted = islands.groupBy("label").agg(F.count("*").alias("held"))

@@ -53,6 +53,56 @@ def test_prefix_is_shortened_until_the_target():
     assert jaccard_join.prefix_length(0.8, 0.5) > 8 > jaccard_join.prefix_length(0.5, 0.9995)
 
 
+def test_least_similarities_are_those_of_small_sets():
+    for threshold in (0.5, 0.8, 0.9):
+        for n in range(1, 30):
+            near = [i / (n + m - i) for m in range(1, 80) for i in range(1, min(n, m) + 1)
+                    if i >= threshold * (n + m - i) - 1e-9 and not i == n == m]
+            assert jaccard_join.least_similarity(n, threshold) == min(near, default=None)
+    limits = jaccard_join.prefix_limits()
+    assert limits[3] == jaccard_join.LONGEST + 1 and limits[4] == limits[8] == limits[-1] == 8
+    assert limits[-1] < limits[6] <= limits[7] <= jaccard_join.LONGEST
+
+
+@pytest.mark.parametrize("crowd", [16, 1])
+def test_prefixes_under_a_key_are_as_long_as_its_members_allow(monkeypatch, crowd):
+    monkeypatch.setattr(jaccard_join, "CROWD", crowd)
+    r = np.random.default_rng(4)
+    key = r.integers(0, 40, size=400).astype(np.uint64)
+    path = r.integers(0, 2, size=(400, 8)).astype(np.uint8)
+    levels = np.where(key % 3 == 0, r.integers(2, 5, size=400), np.where(key % 3 == 1, 8, r.integers(0, 9, size=400))).astype(np.uint8)
+    node = r.permutation(400)
+    as_number = np.ascontiguousarray(path).view(">u8").ravel().astype(np.uint64)
+    expected = {}
+    for k in np.unique(key):
+        own = np.flatnonzero(key == k)
+        low = int(levels[own].min())
+        parts = {}
+        for i in own:
+            parts.setdefault(path[i, :low].tobytes(), []).append(int(node[i]))
+        if len(parts) > crowd:
+            parts = {b"": sorted(int(node[i]) for i in own)}
+        for members in parts.values():
+            expected[min(members)] = sorted(members)
+    _, _, _, head, a, b = jaccard_join.joined_prefixes(key, as_number, levels, node)
+    found = {int(h): [int(h)] for h in head}
+    for x, y in zip(a.tolist(), b.tolist()):
+        found[x].append(y)
+    assert {h: sorted(m) for h, m in found.items()} == expected
+
+
+@pytest.mark.parametrize("parts", [1, 6])
+def test_short_texts_lose_no_link(spark, parts):
+    """Sets of 1 to 12 shingles, whose prefixes are longer than those of others, beside variants with a word more or less."""
+    docs = []
+    for base in range(150):
+        words = odd.prose(3000 + base, 5 + base % 12).split(" ")
+        docs += [" ".join(words), " ".join([*words, "more"]), " ".join(words[1:]), " ".join(["and", *words, "less"]), " ".join([*words[:-1], "other"])]
+    docs = list(enumerate(docs))
+    df = spark.createDataFrame(docs, "doc_id long, text string").repartition(parts)
+    assert rows(jaccard_join.similar(df)) == plain.near_duplicates(dict(docs))
+
+
 def test_common_counts():
     r = np.random.default_rng(0)
     sets = [np.unique(r.integers(0, 400, size=int(r.integers(1, 200)))).astype(np.uint64) for _ in range(50)]
