@@ -45,6 +45,7 @@ LONGEST = 16         # hashes in a tree's sequence
 SMALL = 64           # shingles beyond which a set may have any similarity
 CROWD = 16           # longer nodes of one prefix in a task
 SHARD = 1024         # classes of a large island per shard; a tile holds two shards
+SHARD_ITEMS = 1 << 21  # and shingles, on average: sets of long texts make more shards
 
 _WORD = byte_set((0x30, 0x39), (0x61, 0x7A), (0x80, 0xFF))
 _LOWER = np.arange(256, dtype=np.uint8)
@@ -334,7 +335,8 @@ def _verify(threshold: float, step: int):
     return verify
 
 
-def similar(docs: DataFrame, threshold: float = THRESHOLD, target: float = TARGET, shard: int = SHARD) -> DataFrame:
+def similar(docs: DataFrame, threshold: float = THRESHOLD, target: float = TARGET, shard: int = SHARD,
+            shard_items: int = SHARD_ITEMS) -> DataFrame:
     """(doc_id, class_id, class_size, n_links, group_id) of every document.
 
     class_id is the least doc_id with the same shingles, n_links the number
@@ -356,8 +358,11 @@ def similar(docs: DataFrame, threshold: float = THRESHOLD, target: float = TARGE
     sent = classes.where("keys is not null").select("class_id", "n", "keys", "deeper").mapInArrow(_nodes(n, limits), "bucket int, payload binary")
     edges = W.dealt(sent, n).applyInArrow(_edges, "a long, b long")
     islands = components(edges)
-    counted = islands.groupBy("label").agg(F.count("*").alias("held"))
-    shards = F.when(F.col("held") > 2 * shard, F.ceil(F.col("held") / shard)).otherwise(1).cast("int")
+    sized = islands.join(classes.select(F.col("class_id").alias("node"), "n"), "node")
+    counted = sized.groupBy("label").agg(F.count("*").alias("held"), F.sum("n").alias("items"))
+    many = (F.col("held") > 2 * shard) | (F.col("items") > 2 * shard_items)
+    wanted = F.greatest(F.ceil(F.col("held") / shard), F.least(F.ceil(F.col("items") / shard_items), "held"))
+    shards = F.when(many, wanted).otherwise(1).cast("int")
     dealt = (islands.join(counted, "label").withColumn("shards", shards)
              .withColumn("shard", F.pmod(F.xxhash64("node"), F.col("shards")).cast("int")))
     tiles = F.transform(F.sequence(F.lit(0), F.col("shards") - 1), lambda s: F.least(s, "shard") * F.col("shards") + F.greatest(s, "shard"))

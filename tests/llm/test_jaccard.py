@@ -35,8 +35,8 @@ def test_odd_documents(spark, make):
     assert left.count() == len({g for _, _, _, g in expected.values()})
 
 
-@pytest.mark.parametrize("shard", [1024, 16])
-def test_groups_of_near_copies(spark, shard):
+@pytest.mark.parametrize("shard, items", [(1024, 1 << 21), (16, 1 << 21), (1024, 500)])
+def test_groups_of_near_copies(spark, shard, items):
     docs = []
     for base in range(3):
         text = odd.prose(500 + base, 120)
@@ -45,7 +45,7 @@ def test_groups_of_near_copies(spark, shard):
     docs = list(enumerate(docs))
     random.Random(3).shuffle(docs)
     df = spark.createDataFrame(docs, "doc_id long, text string").repartition(4)
-    assert rows(jaccard_join.similar(df, shard=shard)) == plain.near_duplicates(dict(docs))
+    assert rows(jaccard_join.similar(df, shard=shard, shard_items=items)) == plain.near_duplicates(dict(docs))
 
 
 def test_prefix_is_shortened_until_the_target():
