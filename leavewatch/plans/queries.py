@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from decimal import Decimal
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -132,11 +133,18 @@ def text_copy_counts(spark, folder):
     counts = lines.agg(F.count(F.lit(1)).alias("n_lines"),
                        F.count(user_key_by_pattern(F.col("value"))).alias("n_keyed_lines"))
     changed = event_log.changed_lines(spark, source, target)
-    parsed = event_log.read_json_log(spark, target).agg(F.sum("ts"), F.count("song"), F.count("userAgent")).head()
-    return counts.select("*", *[F.lit(v).cast("long").alias(n) for n, v in zip(
+    parsed = event_log.read_json_log(spark, target).agg(
+        F.sum(F.col("ts").cast("decimal(20,0)")).cast("decimal(38,0)"), F.count("song"), F.count("userAgent")).head()
+    return counts.select("*", *[_whole(v).alias(n) for n, v in zip(
         ("n_changed_lines", "sum_ts", "n_songs", "n_agents"), (changed, *parsed))])
 
 
+def _whole(value: int | Decimal | None) -> Column:
+    """A constant as long, or as decimal(38,0) where a long is too short: some 5 million times in milliseconds sum to more."""
+    fits = value is None or -(1 << 63) <= value < 1 << 63
+    return F.lit(value).cast("long" if fits else "decimal(38,0)")
+
+
 @_query
 def extract_user_key(spark, folder):
     lines = read_sample_log(spark, folder).select(F.to_json(F.struct("*")).alias("value"))

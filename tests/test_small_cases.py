@@ -16,7 +16,7 @@ from leavewatch.functions import (
     user_key_by_pattern,
 )
 from leavewatch.operators import cleaning, encoding, explore, profiling, users
-from leavewatch.plans import modelling
+from leavewatch.plans import modelling, queries
 from leavewatch.schema import EVENT_SCHEMA
 from leavewatch.sources import event_log, shared_storage
 
@@ -265,3 +265,17 @@ def test_changed_lines_are_counted(spark, tmp_path):
     assert event_log.changed_lines(spark, whole, text("same", ["b", "", "d", "a", "b"])) == 0
     assert event_log.changed_lines(spark, whole, text("less", ["a", "b", "", "e", "d"])) == 2
     assert event_log.changed_lines(spark, whole, text("none", [])) == 4
+
+
+def test_times_may_sum_to_more_than_a_long(spark, tmp_path):
+    def result(n, name):
+        spark.range(n).selectExpr(
+            "id AS event_id", "CAST(timestamp_micros(9000000000000000000) AS TIMESTAMP_NTZ) AS ts", "id AS user_id",
+            "'view' AS event_type", "CAST(1 AS DOUBLE) AS value", """'{"k": 1}' AS props""").write.parquet(f"{tmp_path}/{name}/events.parquet")
+        return queries.text_copy_counts(spark, f"{tmp_path}/{name}")
+
+    few, many = result(1000, "few"), result(2000, "many")
+    assert few.schema["sum_ts"].dataType.simpleString() == "bigint" and few.head()["sum_ts"] == 9 * 10 ** 18
+    assert many.schema["sum_ts"].dataType.simpleString() == "decimal(38,0)" and many.head()["sum_ts"] == 18 * 10 ** 18
+    assert many.head()["n_lines"] == 2000 and many.head()["n_changed_lines"] == 0
+    assert result(0, "none").head()["sum_ts"] is None
