@@ -34,6 +34,7 @@ from leavewatch.sources.shared_storage import cut_lineage
 
 NAME = "trees"
 ROUNDS = 100
+TASK_VALUES = 1 << 20  # rows x features in a task of a fit; never more tasks than the stored table has parts
 _LEAF = re.compile(r"^\s*Predict: (\S+)", re.M)
 _TREE = re.compile(r"^\s*Tree \d+ \(weight (\S+)\):$", re.M)
 
@@ -156,11 +157,13 @@ def fit_tree_models(table: DataFrame, points: Sequence[TreePoint], scores: Score
                     rounds: int = ROUNDS, test_percent: int = 25, metric: str = "fMeasureByLabel",
                     stop_percent: int = 0, parallelism: int = 8, key: str = modelling.KEY) -> TreeFit:
     """Fit and score what the score table does not have yet."""
-    rows, _ = prepared(table, folds, test_percent)
+    rows, columns = prepared(table, folds, test_percent)
     stops = hash_percent(F.col(key), "stop:") < stop_percent
     train = cut_lineage(rows.where(F.col("split") == "train").select(
         "label", "fold", stops.alias("stops"), array_to_vector("x").alias("features")))
-    modelling.check_folds(train, folds)
+    n_rows = modelling.check_folds(train, folds)
+    # Every tree level is a job; of a small table its time goes into starting tasks, and other fits can use the cores.
+    train = train.coalesce(max(1, -(-n_rows * len(columns) // TASK_VALUES)))
     known = scores.done(NAME)
     by_size = {s: sorted((p for p in points if p.split_size == s), key=lambda p: p.depth) for s in {p.split_size for p in points}}
     chains = [(own, fold) for _, own in sorted(by_size.items()) for fold in range(folds)]

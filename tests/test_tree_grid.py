@@ -89,6 +89,27 @@ def test_early_stop_never_looks_at_the_held_out(features, spark):
     assert last[0][0] == last[1][0] < n
 
 
+def test_tasks_of_a_fit_follow_the_training_table(features, spark, monkeypatch):
+    """Few for a small table, as many as it is stored in for a large one; the scores are the same."""
+    parts, fit_once = [], GBTClassifier.fit
+
+    def counted(self, data):
+        parts.append(data.rdd.getNumPartitions())
+        return fit_once(self, data)
+
+    monkeypatch.setattr(GBTClassifier, "fit", counted)
+    split, point = features.repartition(6), tree_grid.TreePoint(2, 2)
+    few = tree_grid.fit_tree_models(split, [point], table(spark), folds=2, rounds=2)
+    assert parts == [1, 1]
+    parts.clear()
+    monkeypatch.setattr(tree_grid, "TASK_VALUES", 1)
+    many = tree_grid.fit_tree_models(split, [point], table(spark), folds=2, rounds=2)
+    assert parts == [6, 6]
+    scores = [[(r["fold"], r["score"]) for r in f.scores.read().orderBy("fold").collect()] for f in (few, many)]
+    assert [s[0] for s in scores[0]] == [s[0] for s in scores[1]]
+    assert [s[1] for s in scores[0]] == pytest.approx([s[1] for s in scores[1]])
+
+
 def test_both_estimators_in_one_ranking(features, spark):
     scores = table(spark)
     elastic_net.fit_elastic_models(features, elastic_net.penalty_points({"elasticNetParam": [0.5], "regParam": [0.1]}), folds=2, scores=scores)
