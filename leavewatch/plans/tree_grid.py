@@ -1,10 +1,13 @@
 """Gradient-boosted trees over a grid of depths and node sizes, scored after every round.
 
-Each (depth, node size, fold) is one boosted fit. Its held-out rows are scored
-by every prefix of its trees in one pass: each row's leaf numbers come from the
-fitted model, and sums over their values are the margins round by round. Rows
-of a finished fit go to the score table at once, so a lost job goes on where it
-was. Depths are tried from the least: where no tree reaches the limit, greater
+Each (depth, node size, fold) is one boosted fit, whose held-out rows are scored
+by every prefix of its trees. Where the training part has at most
+``FIT_VALUES`` values a fit is one task (:mod:`leavewatch.plans.task_trees`) and
+counts those rows as its trees grow. Beyond, Spark's learner deals out the rows
+and works level by level; then each row's leaf numbers come from the fitted
+model, and sums over their values are the margins round by round. Rows of a
+finished fit go to the score table at once, so a lost job goes on where it was.
+Depths are tried from the least: where no tree reaches the limit, greater
 limits give the same trees, and share the fit.
 
 With ``stop_percent`` a part of each fit's own training rows, fixed by the key,
@@ -30,11 +33,13 @@ from leavewatch.functions.numeric import hash_percent
 from leavewatch.plans import modelling
 from leavewatch.plans.elastic_net import cell_scores, prepared
 from leavewatch.plans.score_table import ScoreTable, ranked, staged_means
+from leavewatch.plans.task_trees import TaskGBT
 from leavewatch.sources.shared_storage import cut_lineage
 
 NAME = "trees"
 ROUNDS = 100
 TASK_VALUES = 1 << 20  # rows x features in a task of a fit; never more tasks than the stored table has parts
+FIT_VALUES = 1 << 25  # rows x features that one task fits, 256 MB before they are cut into bins
 _LEAF = re.compile(r"^\s*Predict: (\S+)", re.M)
 _TREE = re.compile(r"^\s*Tree \d+ \(weight (\S+)\):$", re.M)
 
@@ -95,9 +100,9 @@ def staged_cells(model: GBTClassificationModel, rows: DataFrame) -> np.ndarray:
     return out
 
 
-def learner(point: TreePoint, rounds: int) -> GBTClassifier:
-    return GBTClassifier(labelCol="label", featuresCol="features", maxIter=rounds, maxDepth=point.spark_depth,
-                         minInstancesPerNode=point.least_child, seed=42)
+def learner(point: TreePoint, rounds: int, kind: type[GBTClassifier] = GBTClassifier) -> GBTClassifier:
+    return kind(labelCol="label", featuresCol="features", maxIter=rounds, maxDepth=point.spark_depth,
+                minInstancesPerNode=point.least_child, seed=42)
 
 
 @dataclass
@@ -162,7 +167,8 @@ def fit_tree_models(table: DataFrame, points: Sequence[TreePoint], scores: Score
     train = cut_lineage(rows.where(F.col("split") == "train").select(
         "label", "fold", stops.alias("stops"), array_to_vector("x").alias("features")))
     n_rows = modelling.check_folds(train, folds)
-    # Every tree level is a job; of a small table its time goes into starting tasks, and other fits can use the cores.
+    in_task = n_rows * len(columns) <= FIT_VALUES
+    # Else every tree level is a job; of a small table its time goes into starting tasks, and other fits can use the cores.
     train = train.coalesce(max(1, -(-n_rows * len(columns) // TASK_VALUES)))
     known = scores.done(NAME)
     by_size = {s: sorted((p for p in points if p.split_size == s), key=lambda p: p.depth) for s in {p.split_size for p in points}}
@@ -170,9 +176,12 @@ def fit_tree_models(table: DataFrame, points: Sequence[TreePoint], scores: Score
 
     def fit(point: TreePoint, fold: int) -> tuple[list[float], bool]:
         """Score after each round, and whether a deeper limit would change anything."""
-        boosted = learner(point, rounds)
+        boosted = learner(point, rounds, TaskGBT if in_task else GBTClassifier)
         if stop_percent:
             boosted = boosted.setValidationIndicatorCol("stops")
+        if in_task:
+            staged = boosted.fit(train.withColumn("held", F.col("fold") == fold))
+            return cell_scores(staged.cells, metric).tolist(), bool(staged.full.any())
         model = boosted.fit(train.where(F.col("fold") != fold))
         cells = staged_cells(model, train.where(F.col("fold") == fold))
         reached = max(tree.depth for tree in model.trees)
