@@ -79,3 +79,24 @@ def test_split_points_are_the_nearest_to_even_shares():
         assert task_trees.split_points(values, 32).tolist() == plain
     assert task_trees.split_points(np.ones(50), 32).tolist() == []
     assert task_trees.split_points(np.array([3.0, 1.0, 1.0]), 32).tolist() == [2.0]
+
+
+def test_what_sparks_learner_refuses_is_an_error():
+    label, kind, x = np.array([0.0, 1.0, 1.0, 0.0]), np.array([0, 0, 1, 2]), np.arange(8.0).reshape(4, 2)
+    task_trees.binned(label, kind, [x], 32)
+    for bad in ((label * 2, kind, x), (np.where(label > 0, np.nan, label), kind, x), (label, kind, np.where(x > 6, np.nan, x)),
+                (label, kind, np.where(x > 6, np.inf, x)), (label, kind + 1, x)):
+        with pytest.raises(ValueError):
+            task_trees.binned(*bad[:2], [bad[2]], 32)
+
+
+@pytest.mark.parametrize("depth, least", [(4, 1), (9, 5)])
+def test_differences_of_siblings_are_their_sums(monkeypatch, depth, least):
+    """With targets whose sums are exact, trees are the same whichever way histograms are made."""
+    said = []
+    for most in (task_trees._IN_ORDER, 0):
+        monkeypatch.setattr(task_trees, "_IN_ORDER", most)
+        table, sign, *_ = made_table(3000)
+        said.append([table.grown(np.round(target * 64) / 64, depth, least) for target in (sign[:table.n_train], table.codes[0, :table.n_train] * sign[:table.n_train])])
+    for (a, full), (b, same_full) in zip(*said):
+        assert a.tolist() == b.tolist() and full == same_full
